@@ -1,22 +1,14 @@
 """Registered queries: each applies a library operator to the given tables, next to an
 independent SQL statement that must give the same rows."""
 
+import importlib
+
 from catalog.registry import ORACLES, QUERIES  # noqa: F401
 
+MODULES = ["functions", "projections", "joins", "aggregates", "picks", "merges", "changes"]
+
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from catalog import (  # noqa: F401
-        aggregates,
-        changes,
-        creatives,
-        functions,
-        gold,
-        joins,
-        landing,
-        merges,
-        picks,
-        projections,
-        streams,
-        sync,
-    )
+    for name in MODULES:
+        importlib.import_module(f"catalog.{name}")

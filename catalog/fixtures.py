@@ -257,8 +257,8 @@ from supplier where s_acctbal > 2000
 """
 
 FIXTURES["spend_channel"] = """
-select n_nationkey as source_channel_id, n_nationkey * 10.0 + 0.5 as average_impressions,
-  n_nationkey * 0.25 as average_spend
+select n_nationkey as source_channel_id, cast(n_nationkey * 10.0 + 0.5 as double) as average_impressions,
+  cast(n_nationkey * 0.25 as double) as average_spend
 from nation where n_nationkey <> 3
 """
 

@@ -57,11 +57,15 @@ def merge_objects(*objects: Column) -> Column:
         if merged is None:
             merged = right
         else:
-            kept = F.map_filter(merged, lambda k, _, r=right: ~F.map_contains_key(r, k))
-            merged = F.map_concat(kept, right)
+            merged = _overlay(merged, right)
     return F.to_json(merged)
 
 
+def _overlay(left: Column, right: Column) -> Column:
+    kept = F.map_filter(left, lambda k, _: ~F.map_contains_key(right, k))
+    return F.map_concat(kept, right)
+
+
 def array_size(json: Column) -> Column:
     """Length of a JSON array, NULL and non-arrays read as 0."""
     return F.coalesce(F.json_array_length(json), F.lit(0))
