@@ -20,6 +20,7 @@ from sightline.plans.enrich import (
     property_company_view,
 )
 from sightline.plans.families import mapped
+from sightline.session import materialize
 
 EVENT_KEY = ["country_iso_2_code", "provider_occurrence_id"]
 GOLD_KEY = ["country_iso_2_code", "capture_date", "capture_month", "provider_occurrence_id"]
@@ -373,11 +374,14 @@ def gold_events(
 
     Gold is insert-only here, so a run appends ``inserts`` and never rewrites stored events.
     """
-    fresh = new_events(changes)
-    added = new_chains(chains, deployment_chains(fresh), now)
+    # the changes, the new chains and the gated events are each read more than once
+    fresh = materialize(new_events(changes), "new-events")
+    added = materialize(new_chains(chains, deployment_chains(fresh), now), "chains")
     known = chains.unionByName(added, allowMissingColumns=True)
     combined = combine_events(fresh, buffer, dedupe_map, dims)
-    classified = gate_events(combined, creatives, known, dims, run_key)
+    classified = materialize(
+        gate_events(combined, creatives, known, dims, run_key), "classified"
+    )
     candidates = gold_candidates(classified, dims, next_id, now)
     return GoldRun(
         inserts=absent_rows(gold, candidates, GOLD_KEY),

@@ -14,6 +14,7 @@ from sightline.operators.joins import near_size_join
 from sightline.operators.merge import absent_rows, insert_only, merge, update_by_keys
 from sightline.operators.picks import earliest_per_key, first_per_key
 from sightline.plans.enrich import Dims, active, city_key_of, enrich_media_market
+from sightline.session import materialize
 
 HASH = "creative_url_hash"
 
@@ -312,6 +313,14 @@ def mark_staged(registry: DataFrame, staged: DataFrame) -> DataFrame:
     )
 
 
+def scored_candidates(
+    events: DataFrame, registry: DataFrame, chaff: DataFrame, dims: Dims
+) -> tuple[DataFrame, DataFrame]:
+    """Stored candidates and stored rejects."""
+    candidates = materialize(new_creatives(events, registry, chaff, dims), "candidates")
+    return candidates, materialize(autochaff(candidates, dims), "rejected")
+
+
 @dataclass(frozen=True)
 class Push:
     """Results of one push run."""
@@ -329,11 +338,14 @@ def push(
     next_id: int,
     now: Column,
 ) -> Push:
-    """Candidate to registry in one go; the caller writes the three tables, then the mark."""
-    candidates = new_creatives(events, registry, chaff, dims)
-    rejected = autochaff(candidates, dims)
+    """Candidate to registry in one go; the caller writes the three tables, then the mark.
+
+    Candidates, rejects and staged rows are each stored once because several results read
+    them: the events are scanned a single time.
+    """
+    candidates, rejected = scored_candidates(events, registry, chaff, dims)
     kept = exclude_autochaff(candidates, rejected)
-    staged = stage_creatives(kept, registry, next_id, now)
+    staged = materialize(stage_creatives(kept, registry, next_id, now), "staged")
     records = autochaff_records(candidates, rejected, now)
     return Push(
         staged=staged,

@@ -13,6 +13,7 @@ from sightline.operators.joins import constant_lookup
 from sightline.operators.merge import accumulate, count_first_days, merge, park_release
 from sightline.operators.picks import latest_per_key
 from sightline.plans.enrich import Dims, city_key_of, enrich_media_market
+from sightline.session import materialize
 
 BUFFER_KEY = ["provider_occurrence_id", "provider_code"]
 BUFFER_COLUMNS = [
@@ -126,8 +127,11 @@ def occurrence_summary(
     The caller must apply a batch once: store the result under the batch's id (as
     ``TableStore.commit`` does) so that a retry does not add the counts twice.
     """
-    candidates = summary_candidates(events, buffer, registry, chaff, dims)
-    daily = daily_counts(candidates)
+    # stored, because the counts and the buffer both read them
+    candidates = materialize(
+        summary_candidates(events, buffer, registry, chaff, dims), "summary-candidates"
+    )
+    daily = materialize(daily_counts(candidates), "daily-counts")
     resolved: Column = F.col("creative_id").isNotNull()
     return Summary(
         candidates=candidates,

@@ -34,20 +34,16 @@ def _lookups(base: DataFrame, entity: Sequence[str]) -> DataFrame:
 
     shape = jsons.SECONDARY_PRODUCT[len("array<"):-1]
     nothing = F.lit(None).cast(shape)
+    none = F.array().cast(f"array<struct<system_id:int,mapping_hash:string,element:{shape}>>")
+
+    def extra(system: str) -> Column:
+        return F.transform(secondary, lambda e: row(e["product_id"], e, system, None))
+
+    primary = [
+        row(F.col("primary_product_id"), nothing, s, joined_ids) for s in SYSTEMS.values()
+    ]
     rows = F.concat(
-        F.array(
-            *[
-                row(F.col("primary_product_id"), nothing, s, joined_ids)
-                for s in SYSTEMS.values()
-            ]
-        ),
-        *[
-            F.coalesce(
-                F.transform(secondary, lambda e, s=s: row(e["product_id"], e, s, None)),
-                F.array().cast(f"array<struct<system_id:int,mapping_hash:string,element:{shape}>>"),
-            )
-            for s in SYSTEMS.values()
-        ],
+        F.array(*primary), *[F.coalesce(extra(s), none) for s in SYSTEMS.values()]
     )
     return base.select(*entity, F.explode(rows).alias("_r")).select(*entity, "_r.*")
 
