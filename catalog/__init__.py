@@ -5,7 +5,7 @@ import importlib
 
 from catalog.registry import ORACLES, QUERIES  # noqa: F401
 
-MODULES = ["functions", "projections", "joins", "aggregates", "picks", "merges", "changes", "landing", "creatives", "sync", "gold"]
+MODULES = ["functions", "projections", "joins", "aggregates", "picks", "merges", "changes", "landing", "creatives", "sync", "gold", "streams"]
 
 
 def load_all() -> None:

@@ -54,9 +54,9 @@ def union_evolved(old: DataFrame, new: DataFrame) -> DataFrame:
 def refresh_table(store: TableStore, name: str, source: DataFrame, now: dt.datetime) -> int:
     """Replace a table in one step; readers see the old version until the new one is listed."""
     load = normalize_types(source)
-    if store.current_version(name) is not None:
-        schema = store.read(name).drop("version").schema
-        load = evolve_additive(schema, load)
+    current = store.find(name)
+    if current is not None:
+        load = evolve_additive(current.drop("version").schema, load)
     return store.commit(name, load, kind=REPLACE, now=now)
 
 

@@ -59,45 +59,56 @@ class TableStore:
         partition_by: list[str] | None = None,
     ) -> int:
         """Write a new version. A batch id that is already listed is not written again."""
-        done = self.manifest(name)
-        if batch is not None:
-            seen = done.filter(F.col("batch") == batch).agg(F.max("version")).first()[0]
-            if seen is not None:
-                return seen
-        version = (self.current_version(name) or 0) + 1
+        same_batch = F.when(F.col("batch") == F.lit(batch), F.col("version"))
+        newest, seen = self.manifest(name).agg(F.max("version"), F.max(same_batch)).first()
+        if seen is not None:
+            return seen
+        version = (newest or 0) + 1
         writer = df.write.mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(f"{self._data(name)}/version={version}")
-        row = self.spark.createDataFrame([(version, kind, now, batch)], MANIFEST)
-        row.coalesce(1).write.mode("append").parquet(f"{self.root}/{name}/manifest")
+        entry = self.spark.range(1).select(
+            F.lit(version).cast("bigint").alias("version"),
+            F.lit(kind).alias("kind"),
+            F.lit(now).cast("timestamp").alias("committed_at"),
+            F.lit(batch).cast("string").alias("batch"),
+        )
+        entry.write.mode("append").parquet(f"{self.root}/{name}/manifest")
         return version
 
     def read(self, name: str, as_of: int | None = None) -> DataFrame:
         """The table as of a version: the last full version plus the batches after it."""
-        listed = self.manifest(name)
-        if as_of is not None:
-            listed = listed.filter(F.col("version") <= as_of)
-        full = F.max(F.when(F.col("kind") == REPLACE, F.col("version")))
-        base = listed.agg(full).first()[0] or 1
-        return self._scan(name, listed.filter(F.col("version") >= base))
+        table = self.find(name, as_of)
+        if table is None:
+            raise ValueError(f"table {name} has no version")
+        return table
+
+    def find(self, name: str, as_of: int | None = None) -> DataFrame | None:
+        """As :meth:`read`, or None when nothing was committed yet."""
+        listed = self._listed(name)
+        visible = [v for v in listed if as_of is None or v <= as_of]
+        if not visible:
+            return None
+        base = max((v for v in visible if listed[v] == REPLACE), default=1)
+        return self._scan(name, [v for v in visible if v >= base])
 
     def changes(self, name: str, after: int | None, upto: int) -> DataFrame:
         """Rows appended in ``(after, upto]``; the whole table at ``upto`` without a mark."""
         if after is None:
             return self.read(name, upto)
-        if after >= upto:
-            return self.read(name, upto).limit(0)
-        version = F.col("version")
-        return self._scan(name, self.manifest(name).filter((version > after) & (version <= upto)))
+        versions = [v for v in self._listed(name) if after < v <= upto]
+        return self._scan(name, versions) if versions else self.read(name, upto).limit(0)
 
-    def _scan(self, name: str, listed: DataFrame) -> DataFrame:
+    def _listed(self, name: str) -> dict[int, str]:
+        """Kind by version: one entry per commit, like a file listing."""
+        rows = self.manifest(name).select("version", "kind").collect()
+        return {r["version"]: r["kind"] for r in rows}
+
+    def _scan(self, name: str, versions: list[int]) -> DataFrame:
         """Only the folders of listed versions are opened, with the newest one's schema."""
-        versions = sorted(r["version"] for r in listed.select("version").collect())
-        if not versions:
-            raise ValueError(f"table {name} has no version")
         root = self._data(name)
-        paths = [f"{root}/version={v}" for v in versions]
+        paths = [f"{root}/version={v}" for v in sorted(versions)]
         schema = self.spark.read.option("basePath", root).parquet(paths[-1]).schema
         return self.spark.read.schema(schema).option("basePath", root).parquet(*paths)
 

@@ -70,9 +70,8 @@ def copy_available(stream: DataFrame, checkpoint: str, out: str, *, partition_by
 
 
 def _state(store: TableStore, name: str, like: DataFrame) -> DataFrame:
-    if store.current_version(name) is None:
-        return like.limit(0)
-    return store.read(name).drop("version")
+    table = store.find(name)
+    return like.limit(0) if table is None else table.drop("version")
 
 
 def append_once(store: TableStore, name: str, on: list[str], now: dt.datetime,
