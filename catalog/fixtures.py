@@ -450,7 +450,7 @@ select
 from orders left join returned on l_orderkey = o_orderkey
 """
 
-FIXTURES["product_map"] = """
+FIXTURES["product_map_source"] = """
 select upper(md5(cast(p_partkey as string) || '1')) as mapping_hash, 1 as system_id,
   p_partkey + 100000 as target_product_id, p_partkey as primary_product_id, p_size % 2 as set_id,
   timestamp '2024-01-01 00:00:00' + p_size * interval 1 day as change_dt
@@ -472,6 +472,13 @@ select distinct upper(md5(cast(o_custkey as string) || '2' || ids)) as mapping_h
 from orders join returned on l_orderkey = o_orderkey where o_orderpriority <> '2-HIGH'
 """
 
+# one code per key: the concatenated texts of different ids can be equal
+FIXTURES["product_map"] = """
+select mapping_hash, system_id, max(target_product_id) as target_product_id,
+  max(primary_product_id) as primary_product_id, max(set_id) as set_id, max(change_dt) as change_dt
+from product_map_source group by mapping_hash, system_id
+"""
+
 FIXTURES["advertiser_map"] = """
 select n_nationkey as vx0_company_id, 'A' || cast(n_nationkey as string) as vx2_code from nation
 """

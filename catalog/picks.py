@@ -7,7 +7,12 @@ from pyspark.sql import functions as F
 from catalog.registry import query
 from sightline import constants as C
 from sightline.operators.ids import assign_dense_ids, remap_ids
-from sightline.operators.picks import collected, earliest_per_key, first_per_key, latest_per_key
+from sightline.operators.picks import (
+    earliest_per_key,
+    first_per_key,
+    latest_per_key,
+    with_collected,
+)
 from sightline.session import new_scratch
 from sightline.sources.tables import newest_one, sorted_by_month
 
@@ -123,21 +128,19 @@ def _(t):
 @query(
     "window_collect",
     """
-SELECT c_custkey, c_nationkey, string_agg(c_mktsegment, '|' ORDER BY c_mktsegment)
-  OVER (PARTITION BY c_nationkey ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS labels
-FROM (SELECT c_custkey, c_nationkey * 100 + c_custkey % 20 AS c_nationkey,
-  CASE WHEN c_acctbal > 0 THEN c_mktsegment END AS c_mktsegment FROM customer)
+SELECT l_orderkey, l_partkey, l_linenumber, l_quantity, string_agg(flag, '|' ORDER BY flag)
+  OVER (PARTITION BY l_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS labels
+FROM (SELECT *, CASE WHEN l_discount > 0.02 THEN l_returnflag END AS flag FROM lineitem)
 """,
 )
 def _(t):
-    rows = t.customer.select(
-        "c_custkey",
-        (F.col("c_nationkey") * 100 + F.col("c_custkey") % 20).alias("c_nationkey"),
-        F.when(F.col("c_acctbal") > 0, F.col("c_mktsegment")).alias("label"),
+    rows = t.lineitem.select(
+        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity",
+        F.when(F.col("l_discount") > 0.02, F.col("l_returnflag")).alias("flag"),
     )
-    labels = collected("label", ["c_nationkey"])
-    return rows.withColumn("a", labels).select(
-        "c_custkey", "c_nationkey", F.when(F.size("a") > 0, F.array_join("a", "|")).alias("labels")
+    return with_collected(rows, ["l_orderkey"], "flag", "a").select(
+        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity",
+        F.when(F.size("a") > 0, F.array_join("a", "|")).alias("labels"),
     )
 
 

@@ -26,6 +26,11 @@ def earliest_per_key(df: DataFrame, keys: Sequence[str], ts: str, *ties: Column)
     return first_per_key(df, keys, [F.col(ts).asc_nulls_last(), *ties])
 
 
-def collected(value: str, keys: Sequence[str]) -> Column:
-    """All non-NULL values of the key on every row, sorted."""
-    return F.array_sort(F.collect_list(value).over(Window.partitionBy(*keys)))
+def with_collected(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
+    """Add the sorted array of a key's non-NULL values to each of its rows.
+
+    The array is built once per key, with partial aggregation, and joined back; a window would
+    send all rows of a key to one task.
+    """
+    arrays = df.groupBy(*keys).agg(F.array_sort(F.collect_list(value)).alias(out))
+    return df.join(arrays, list(keys))

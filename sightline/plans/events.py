@@ -125,10 +125,26 @@ def region_json() -> Column:
     return F.when(is_social, jsons.object_typed(social)).otherwise(jsons.object_typed(plain))
 
 
+def compact_events(changes: DataFrame) -> DataFrame:
+    """Only the columns gold needs, with the region JSON in place of the raw JSON.
+
+    Run before the first shuffle: the raw JSON is most of an event's bytes.
+    """
+    return changes.select(
+        "country_iso_2_code", "provider_code", "source_channel", "provider_occurrence_id",
+        "provider_creative_id", "creative_url_hash", "capture_date", "capture_month",
+        "capture_timestamp", "created_timestamp", "retransmit", "publisher_id",
+        "purchase_method_id", *CAMPAIGN, "daisy_chain", "ad_insertion_point",
+        region_json().alias("provider_raw_json"),
+    )
+
+
 def combine_events(
     fresh: DataFrame, held: DataFrame, dedupe_map: DataFrame, dims: Dims
 ) -> DataFrame:
     """New and held events, the held copy first, with chain key, parent, property and market."""
+    if "provider_raw_json" not in fresh.columns:
+        fresh = compact_events(fresh)
     new_side = fresh.select(
         F.lit(C.SOURCE_NEW).alias("source_flag"),
         "creative_url_hash", "country_iso_2_code", "provider_code", "source_channel",
@@ -138,8 +154,7 @@ def combine_events(
         text.url_host(F.col("provider_campaign_landing_page")).alias(
             "provider_campaign_landing_page_domain"
         ),
-        "ad_insertion_point", region_json().alias("provider_raw_json"), "daisy_chain",
-        "publisher_id",
+        "ad_insertion_point", "provider_raw_json", "daisy_chain", "publisher_id",
     )
     held_side = held.select(
         F.lit(C.SOURCE_HELD).alias("source_flag"),
@@ -189,21 +204,53 @@ def combine_events(
 # ---- gate ----------------------------------------------------------------------------------
 
 
+def subjects(creatives: DataFrame, dedupe_map: DataFrame) -> DataFrame:
+    """Per creative hash: the advert an event of it belongs to, and whether it is one itself.
+
+    A mapped creative's advert is its parent, any other's is itself. The tables joined here
+    are of the size of the creatives, so that the far larger events need only one join, on the
+    same key that already brought them their parent.
+    """
+    adverts = creatives.filter(F.col("classification_type") == C.ADVERT)
+    fields = [
+        F.col("creative_url_hash").alias("_subject"),
+        "creative_id",
+        "primary_product_id",
+        "classification_type",
+        F.col("creative_mime_type").alias("_mime"),
+    ]
+    links = mapped(dedupe_map).filter(F.col("parent_creative_id").isNotNull()).select(
+        F.col("child_creative_url_hash").alias("creative_url_hash"),
+        F.col("parent_creative_url_hash").alias("_parent"),
+    ).distinct()
+    children = membership(
+        links, adverts, {"creative_url_hash": "creative_url_hash"}, "_own_is_advert"
+    ).withColumn("_target", F.coalesce("_parent", "creative_url_hash"))
+    of_children = children.join(
+        adverts.select(*fields), F.col("_target") == F.col("_subject"), "left"
+    ).drop("_target")
+    alone = adverts.join(links, "creative_url_hash", "left_anti").select(
+        "creative_url_hash",
+        F.lit(None).cast("bigint").alias("_parent"),
+        F.lit(True).alias("_own_is_advert"),
+        *fields,
+    )
+    return of_children.unionByName(alone)
+
+
 def gate_events(
-    combined: DataFrame, creatives: DataFrame, chains: DataFrame, dims: Dims, run_key: Column
+    combined: DataFrame,
+    creatives: DataFrame,
+    dedupe_map: DataFrame,
+    chains: DataFrame,
+    dims: Dims,
+    run_key: Column,
 ) -> DataFrame:
     """Combined events with hold flag, delete flag and house-ad flag, one row per event."""
-    adverts = creatives.filter(F.col("classification_type") == C.ADVERT)
-    subject = adverts.select(
-        F.col("creative_url_hash").alias("_hash"), "creative_id", "primary_product_id",
-        "classification_type", F.col("creative_mime_type").alias("_mime"),
-    )
-    keyed = combined.withColumn(
-        "_hash", F.coalesce("parent_creative_url_hash", "creative_url_hash")
-    )
-    seen = keyed.join(subject.withColumn("_found", F.lit(True)), "_hash", "left")
-    seen = membership(
-        seen, adverts, {"creative_url_hash": "creative_url_hash"}, "_own_is_advert"
+    lookup = subjects(creatives, dedupe_map).withColumnRenamed("creative_url_hash", "_own")
+    seen = combined.join(lookup, F.col("creative_url_hash") == F.col("_own"), "left").filter(
+        # an event row belongs to one of its creative's parents
+        F.col("_own").isNull() | F.col("parent_creative_url_hash").eqNullSafe(F.col("_parent"))
     )
     origins = active(dims.origin).select(
         F.lower("origin_channel_name").alias("source_channel"), "origin_channel_id"
@@ -236,12 +283,12 @@ def gate_events(
         .join(current, "_cur", "left")
         .join(companies, ["media_property_id", "source_channel_id"], "left")
     ).filter(rules.passes_video_guard(F.col("source_channel"), F.col("_mime")))
-    found = F.coalesce("_found", F.lit(False))
-    parent_ready = (F.col("_hash") == F.col("parent_creative_url_hash")) & F.col("_own_is_advert")
-    own_ready = F.col("_hash") == F.col("creative_url_hash")
+    subject = F.col("_subject")
+    parent_ready = (subject == F.col("parent_creative_url_hash")) & F.col("_own_is_advert")
+    own_ready = subject == F.col("creative_url_hash")
     has_product = F.coalesce("primary_product_id", F.lit(-1)) != -1
     # the stricter rules with a known chain are special cases of these two
-    ready = found & has_product & (parent_ready | own_ready)
+    ready = has_product & (parent_ready | own_ready)
     rejected = F.col("classification_type").isin(C.NON_AD, C.BAD_AD)
     owner = F.col("vx0_parent_company_id")
     house = (owner == F.coalesce("_p2", "_p1")) | (owner == F.coalesce("_s2", "_s1"))
@@ -257,8 +304,8 @@ def gate_events(
             "job_log_key": run_key,
         }
     ).drop(
-        "_hash", "_found", "_own_is_advert", "_mime", "_chain", "_chain_id", "_cur", "_p1", "_s1",
-        "_p2", "_s2",
+        "_own", "_parent", "_subject", "_own_is_advert", "_mime", "_chain", "_chain_id", "_cur",
+        "_p1", "_s1", "_p2", "_s2",
     )
     return latest_per_key(
         flagged,
@@ -375,12 +422,12 @@ def gold_events(
     Gold is insert-only here, so a run appends ``inserts`` and never rewrites stored events.
     """
     # the changes, the new chains and the gated events are each read more than once
-    fresh = materialize(new_events(changes), "new-events")
+    fresh = materialize(new_events(compact_events(changes)), "new-events")
     added = materialize(new_chains(chains, deployment_chains(fresh), now), "chains")
     known = chains.unionByName(added, allowMissingColumns=True)
     combined = combine_events(fresh, buffer, dedupe_map, dims)
     classified = materialize(
-        gate_events(combined, creatives, known, dims, run_key), "classified"
+        gate_events(combined, creatives, dedupe_map, known, dims, run_key), "classified"
     )
     candidates = gold_candidates(classified, dims, next_id, now)
     return GoldRun(

@@ -122,7 +122,7 @@ def apply_event_id(creatives: DataFrame, found: DataFrame, now: Column) -> DataF
 
 def last_seen(events: DataFrame, since: Column) -> DataFrame:
     """Latest live event of each creative with a changed event."""
-    changed = events.filter(F.col("updated_timestamp") > since).select("creative_id")
+    changed = events.filter(F.col("updated_timestamp") > since).select("creative_id").distinct()
     live = events.filter(F.col("delete_flag") == F.lit(False)).select(
         "creative_id", "capture_timestamp"
     )

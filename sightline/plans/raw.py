@@ -90,14 +90,18 @@ def typed_projection(staging: DataFrame, now: Column) -> DataFrame:
     )
 
 
-def whitelisted(raw: DataFrame, publishers: Sequence[int] = C.RAW_PUBLISHER_IDS) -> DataFrame:
-    return raw.filter(
+def is_whitelisted(publishers: Sequence[int] = C.RAW_PUBLISHER_IDS) -> Column:
+    return (
         (F.col("creative_type") == C.RAW_CREATIVE_TYPE)
         & (F.col("creative_mime_type") == C.RAW_MIME_TYPE)
         & F.col("publisher_id").isin(list(publishers))
     )
 
 
+def whitelisted(raw: DataFrame, publishers: Sequence[int] = C.RAW_PUBLISHER_IDS) -> DataFrame:
+    return raw.filter(is_whitelisted(publishers))
+
+
 def raw_occurrences(
     staging: DataFrame,
     target: DataFrame | None,
@@ -106,13 +110,23 @@ def raw_occurrences(
 ) -> DataFrame:
     """New raw rows: latest landed row per occurrence id, whitelisted, not yet in the target.
 
-    The pick runs before the whitelist because only the newest delivery of an id counts.
+    Only the newest delivery of an id counts, so the pick comes before the whitelist. Rows that
+    are not whitelisted take part in the pick without their payload, which keeps the shuffle
+    close to the size of the result.
     """
     typed = typed_projection(staging, now)
+    columns = [c for c in typed.columns if c not in ("_loaded_at", "_index")]
+    slim = typed.select(
+        "provider_occurrence_id",
+        "_loaded_at",
+        "_index",
+        F.xxhash64("raw_json").alias("_tie"),
+        F.when(is_whitelisted(publishers), F.struct(*columns)).alias("_row"),
+    )
     newest = latest_per_key(
-        typed, ["provider_occurrence_id"], "_loaded_at", F.desc("_index"), F.desc("raw_json")
-    ).drop("_loaded_at", "_index")
-    fresh = whitelisted(newest, publishers)
+        slim, ["provider_occurrence_id"], "_loaded_at", F.desc("_index"), F.desc("_tie")
+    )
+    fresh = newest.filter(F.col("_row").isNotNull()).select("_row.*")
     if target is None:
         return fresh
     return absent_rows(target, fresh, ["provider_occurrence_id", "capture_month"])
