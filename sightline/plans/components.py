@@ -7,9 +7,7 @@ from pyspark.sql import functions as F
 
 from sightline import constants as C
 from sightline.functions import jsons, keys
-from sightline.operators.collect import ordered_list
 from sightline.operators.increments import reread_held
-from sightline.operators.joins import only_needed
 from sightline.operators.merge import merge, park_release
 
 ENTITY = ["component_coding_id", "creative_id"]
@@ -48,10 +46,7 @@ def explode_components(
     advertisers: DataFrame,
     value_map: DataFrame,
 ) -> DataFrame:
-    """One row per attribute with its translation; only completed components are translated.
-
-    The large code and product tables are cut down to the needed keys before they are joined.
-    """
+    """One row per attribute with its translation; only completed components are translated."""
     attributes = jsons.parsed(F.col("attribute_response"), jsons.ATTRIBUTES)
     firsts = F.array_min(
         F.transform(
@@ -84,25 +79,24 @@ def explode_components(
             .try_cast("bigint"),
         }
     )
-    codes = only_needed(
-        product_map.filter(F.col("system_id") == int(C.SYSTEM_VX2)),
-        "mapping_hash", coded, "mapping_hash",
-    ).select("mapping_hash", F.col("target_product_id").alias("vx2_id"))
-    names = only_needed(products, "prseq", codes, "vx2_id").select(
-        F.col("prseq").alias("vx2_id"), "prname"
+    codes = product_map.filter(F.col("system_id") == int(C.SYSTEM_VX2)).select(
+        "mapping_hash", F.col("target_product_id").alias("vx2_id")
     )
-    makers = only_needed(advertiser_map, "vx0_company_id", coded, "vx0_company_id").select(
+    names = products.select(F.col("prseq").alias("vx2_id"), "prname")
+    makers = advertiser_map.select(
         "vx0_company_id", F.col("vx2_code").alias("vx2_manufacture")
     )
-    maker_names = only_needed(advertisers, "code", makers, "vx2_manufacture").select(
+    maker_names = advertisers.select(
         F.col("code").alias("vx2_manufacture"), F.col("name").alias("vx2_manufacture_name")
     )
     values = value_map.select(
         F.col("vx0_component_value").alias("fkey_value"), "vx2_component_value"
     )
     return (
-        coded.join(codes.join(names, "vx2_id", "left"), "mapping_hash", "left")
-        .join(makers.join(maker_names, "vx2_manufacture", "left"), "vx0_company_id", "left")
+        coded.join(codes, "mapping_hash", "left")
+        .join(names, "vx2_id", "left")
+        .join(makers, "vx0_company_id", "left")
+        .join(maker_names, "vx2_manufacture", "left")
         .join(values, "fkey_value", "left")
         .select(
             *ENTITY, "status", "seq", "fkey", "fkey_value", "id", "reference_type", "unit",
@@ -115,52 +109,70 @@ def explode_components(
 def rebuild_components(
     components: DataFrame, exploded: DataFrame, mattress_map: DataFrame
 ) -> DataFrame:
-    """Both attribute arrays per component, in order, and the holding flag."""
-    makers = exploded.groupBy(*ENTITY).agg(
-        F.max("vx2_manufacture").alias("_maker"), F.max("advert_product").alias("_advert")
-    )
-    mattress = mattress_map.select(
-        F.col("vx2_mattress_product").alias("_advert"),
-        F.col("vx2_advertiser_code").alias("_code"),
-        F.col("cmp_seq").cast("string").alias("_seq"),
-    )
-    placed = makers.withColumn("_code", F.coalesce("_maker", F.lit(""))).join(
+    """Both attribute arrays per component, in order, and the holding flag.
+
+    The attributes are gathered once per component, together with the maker and the mattress
+    value that decide the mattress code; both arrays are then built inside the row.
+    """
+    kind = F.col("fkey")
+    is_product = kind == PRODUCT
+    gathered = exploded.groupBy(*ENTITY).agg(
+        F.array_sort(
+            F.collect_list(
+                F.struct(
+                    "seq", "fkey", "fkey_value", "id", "reference_type", "unit", "prname",
+                    "vx2_id", "vx2_manufacture", "vx2_manufacture_name", "vx2_component_value",
+                )
+            )
+        ).alias("_parts"),
+        F.max("status").alias("_status"),
+        F.max("vx2_manufacture").alias("_maker"),
+        F.max("advert_product").alias("_advert"),
+        F.count_if(is_product & F.col("id").isNotNull()).alias("_n_vx0"),
+        F.count_if(is_product & F.col("vx2_id").isNotNull()).alias("_n_vx2"),
+    )
+    mattress = mattress_map.groupBy(
+        F.col("vx2_mattress_product").alias("_advert"), F.col("vx2_advertiser_code").alias("_code")
+    ).agg(F.min("cmp_seq").cast("string").alias("_seq"))
+    placed = gathered.withColumn("_code", F.coalesce("_maker", F.lit(""))).join(
         mattress, ["_advert", "_code"], "left"
     )
-    elements = exploded.join(placed.select(*ENTITY, "_seq"), ENTITY)
-    kind = F.col("fkey")
 
-    def element(value: Column, id: Column) -> Column:
+    def element(p: Column, value: Column, id: Column) -> Column:
         return F.create_map(
-            F.lit("fkey"), kind,
+            F.lit("fkey"), p["fkey"],
             F.lit("fkey_value"), value,
             F.lit("id"), id,
-            F.lit("referenceType"), F.col("reference_type"),
-            F.lit("unit"), F.col("unit"),
+            F.lit("referenceType"), p["reference_type"],
+            F.lit("unit"), p["unit"],
         )
 
-    new_value = (
-        F.when(kind == PRODUCT, F.col("prname"))
-        .when(kind == MANUFACTURER, F.col("vx2_manufacture_name"))
-        .when(kind.isin(MAPPED_KINDS), F.col("vx2_component_value"))
-        .otherwise(F.col("fkey_value"))
-    )
-    new_id = (
-        F.when(kind == PRODUCT, F.col("vx2_id").cast("string"))
-        .when(kind == MANUFACTURER, F.col("vx2_manufacture"))
-        .when(kind == MATTRESS, F.col("_seq"))
-        .otherwise(F.col("id"))
-    )
-    old = F.to_json(element(F.col("fkey_value"), F.col("id")))
-    new = F.to_json(element(new_value, new_id))
-    as_array = lambda parts: F.concat(F.lit("["), F.array_join(parts, ","), F.lit("]"))
-    rebuilt = elements.groupBy(*ENTITY).agg(
-        as_array(ordered_list(F.col("seq"), old)).alias("attribute_response"),
+    def as_stored(p: Column) -> Column:
+        return element(p, p["fkey_value"], p["id"])
+
+    def as_translated(p: Column) -> Column:
+        value = (
+            F.when(p["fkey"] == PRODUCT, p["prname"])
+            .when(p["fkey"] == MANUFACTURER, p["vx2_manufacture_name"])
+            .when(p["fkey"].isin(MAPPED_KINDS), p["vx2_component_value"])
+            .otherwise(p["fkey_value"])
+        )
+        id = (
+            F.when(p["fkey"] == PRODUCT, p["vx2_id"].cast("string"))
+            .when(p["fkey"] == MANUFACTURER, p["vx2_manufacture"])
+            .when(p["fkey"] == MATTRESS, F.col("_seq"))
+            .otherwise(p["id"])
+        )
+        return element(p, value, id)
+
+    rebuilt = placed.select(
+        *ENTITY,
+        F.to_json(F.transform("_parts", as_stored)).alias("attribute_response"),
         F.when(
-            F.max("status") == C.CODING_COMPLETED, as_array(ordered_list(F.col("seq"), new))
+            F.col("_status") == C.CODING_COMPLETED, F.to_json(F.transform("_parts", as_translated))
         ).alias("attribute_response_vx2"),
-        F.count_if((kind == PRODUCT) & F.col("id").isNotNull()).alias("_n_vx0"),
-        F.count_if((kind == PRODUCT) & F.col("vx2_id").isNotNull()).alias("_n_vx2"),
+        "_n_vx0",
+        "_n_vx2",
     )
     zero = F.lit(0)
     return (

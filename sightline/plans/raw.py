@@ -33,12 +33,14 @@ struct<
 
 def typed_projection(staging: DataFrame, now: Column) -> DataFrame:
     """The 42 raw columns from landed JSON; a value that does not fit its type is NULL."""
-    j = F.from_json("json_data", _LANDED)
-    rows = staging.withColumn("_j", j)
+    # projections of their own, so that text is parsed once per row however often it is used
+    rows = staging.withColumn("_j", F.from_json("json_data", _LANDED)).withColumn(
+        "_captured", times.parse_capture(F.col("_j.occurrence.captureDate"))
+    )
     occ, creative = F.col("_j.occurrence"), F.col("_j.occurrence.creative")
     source, region = occ["source"], occ["source"]["region"]
     campaign = occ["campaign"]
-    captured = times.parse_capture(occ["captureDate"])
+    captured = F.col("_captured")
     null = F.lit(None)
     return rows.select(
         F.upper(region["countryId"]).alias("country_iso_2_code"),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from sightline import constants as C
 from sightline.functions import jsons, keys, nested
-from sightline.operators.joins import in_any, only_needed
+from sightline.operators.joins import in_any
 from sightline.operators.merge import merge
 from sightline.operators.increments import changes_inclusive
 
@@ -20,10 +20,21 @@ SYSTEMS = {"vx1": C.SYSTEM_VX1, "vx2": C.SYSTEM_VX2}
 def _lookups(base: DataFrame, entity: Sequence[str]) -> DataFrame:
     """One row per code to translate: the primary product and each secondary one, per system.
 
-    All lookups of a creative go through one join with the code map instead of four.
+    All lookups of a creative go through one join with the code map instead of four. The
+    secondary products are parsed once per row, in a projection of their own.
     """
-    secondary = jsons.parsed(F.col("secondary_products"), jsons.SECONDARY_PRODUCT)
-    joined_ids = nested.sorted_ids(F.transform(secondary, lambda e: e["product_id"]))
+    shape = jsons.SECONDARY_PRODUCT[len("array<"):-1]
+    parsed = base.select(
+        *entity,
+        "primary_product_id",
+        F.coalesce(
+            jsons.parsed(F.col("secondary_products"), jsons.SECONDARY_PRODUCT),
+            F.array().cast(jsons.SECONDARY_PRODUCT),
+        ).alias("_sec"),
+    )
+    keyed = parsed.withColumn(
+        "_ids", nested.sorted_ids(F.transform("_sec", lambda e: e["product_id"]))
+    )
 
     def row(product: Column, element: Column, system: str, tail: Column | None) -> Column:
         return F.struct(
@@ -32,52 +43,69 @@ def _lookups(base: DataFrame, entity: Sequence[str]) -> DataFrame:
             element.alias("element"),
         )
 
-    shape = jsons.SECONDARY_PRODUCT[len("array<"):-1]
-    nothing = F.lit(None).cast(shape)
-    none = F.array().cast(f"array<struct<system_id:int,mapping_hash:string,element:{shape}>>")
-
     def extra(system: str) -> Column:
-        return F.transform(secondary, lambda e: row(e["product_id"], e, system, None))
+        return F.transform("_sec", lambda e: row(e["product_id"], e, system, None))
 
+    nothing = F.lit(None).cast(shape)
     primary = [
-        row(F.col("primary_product_id"), nothing, s, joined_ids) for s in SYSTEMS.values()
+        row(F.col("primary_product_id"), nothing, s, F.col("_ids")) for s in SYSTEMS.values()
     ]
-    rows = F.concat(
-        F.array(*primary), *[F.coalesce(extra(s), none) for s in SYSTEMS.values()]
-    )
-    return base.select(*entity, F.explode(rows).alias("_r")).select(*entity, "_r.*")
+    rows = F.concat(F.array(*primary), *[extra(s) for s in SYSTEMS.values()])
+    return keyed.select(*entity, F.explode(rows).alias("_r")).select(*entity, "_r.*")
 
 
 def translate_codes(base: DataFrame, product_map: DataFrame, entity: Sequence[str]) -> DataFrame:
-    """Primary and secondary codes per entity. One missing secondary makes the array NULL."""
-    wanted = _lookups(base, entity)
-    small = only_needed(product_map, "mapping_hash", wanted, "mapping_hash").select(
+    """Primary and secondary codes per entity. One missing secondary makes the array NULL.
+
+    The map is joined as it is: a map too large to broadcast is sort-merge joined, which
+    spills, so it need not be cut down first.
+    """
+    small = product_map.select(
         "mapping_hash", F.col("system_id").cast("int").alias("system_id"), "target_product_id"
     )
-    found = wanted.join(small, ["mapping_hash", "system_id"], "left")
-    outputs: list[Column] = []
-    for name, system in SYSTEMS.items():
-        of_system = F.col("system_id") == int(system)
-        primary = of_system & F.col("element").isNull()
-        extra = of_system & F.col("element").isNotNull()
-        e = F.col("element")
-        rebuilt = F.struct(
-            e["sort_order"].alias("sort_order"),
-            e["type"].alias("type"),
-            e["subtype"].alias("subtype"),
-            F.col("target_product_id").alias("product_id"),
-            e["is_dominant"].alias("is_dominant"),
-        )
-        n = F.count_if(extra)
-        complete = (n > 0) & (n == F.count(F.when(extra, F.col("target_product_id"))))
-        array = F.array_sort(F.collect_list(F.when(extra, rebuilt)))
-        outputs += [
-            F.max(F.when(primary, F.col("target_product_id"))).alias(f"{name}_product_id"),
-            F.when(complete, F.to_json(array, {"ignoreNullFields": "false"})).alias(
-                f"{name}_secondary_products"
-            ),
-        ]
-    return found.groupBy(*entity).agg(*outputs)
+    found = _lookups(base, entity).join(small, ["mapping_hash", "system_id"], "left")
+    e = F.col("element")
+    # one list per entity; it is split by system afterwards
+    gathered = found.groupBy(*entity).agg(
+        *[
+            F.max(
+                F.when((F.col("system_id") == int(s)) & e.isNull(), F.col("target_product_id"))
+            ).alias(f"{name}_product_id")
+            for name, s in SYSTEMS.items()
+        ],
+        F.collect_list(
+            F.when(
+                e.isNotNull(),
+                F.struct(
+                    "system_id",
+                    F.struct(
+                        e["sort_order"].alias("sort_order"),
+                        e["type"].alias("type"),
+                        e["subtype"].alias("subtype"),
+                        F.col("target_product_id").alias("product_id"),
+                        e["is_dominant"].alias("is_dominant"),
+                    ).alias("product"),
+                ),
+            )
+        ).alias("_all"),
+    )
+
+    def array(system: str) -> Column:
+        of_system = F.filter("_all", lambda p: p["system_id"] == int(system))
+        return F.array_sort(F.transform(of_system, lambda p: p["product"]))
+
+    split = gathered.withColumns({f"_{name}": array(s) for name, s in SYSTEMS.items()})
+
+    def complete(name: str) -> Column:
+        whole = F.forall(f"_{name}", lambda p: p["product_id"].isNotNull())
+        json = F.to_json(f"_{name}", {"ignoreNullFields": "false"})
+        return F.when((F.size(f"_{name}") > 0) & whole, json)
+
+    return split.select(
+        *entity,
+        *[f"{name}_product_id" for name in SYSTEMS],
+        *[complete(name).alias(f"{name}_secondary_products") for name in SYSTEMS],
+    )
 
 
 def competitor_codes(base: DataFrame, advertiser_map: DataFrame, entity: Sequence[str]) -> DataFrame:
@@ -86,8 +114,8 @@ def competitor_codes(base: DataFrame, advertiser_map: DataFrame, entity: Sequenc
     rows = base.select(*entity, ids.alias("_c")).select(
         *entity, F.col("_c.id").alias("vx0_company_id")
     )
-    small = only_needed(advertiser_map, "vx0_company_id", rows, "vx0_company_id")
-    coded = rows.join(small.select("vx0_company_id", "vx2_code"), "vx0_company_id", "left")
+    small = advertiser_map.select("vx0_company_id", "vx2_code")
+    coded = rows.join(small, "vx0_company_id", "left")
     codes = F.array_sort(
         F.collect_list(F.when(F.col("vx2_code").isNotNull(), F.struct(F.col("vx2_code").alias("code"))))
     )
