@@ -198,10 +198,11 @@ SELECT creative_id, creative_url_hash, provider_occurrence_id AS occurrence_id,
   capture_timestamp AS occurrence_timestamp, capture_timestamp + INTERVAL 4 HOUR AS due_timestamp,
   data_provider_id AS provider_id, media_property_name, CAST(publisher_id AS INT) AS provider_publisher_id,
   market_id, market_name, provider_campaign_landing_page FROM staged
-WHERE creative_url_hash NOT IN (SELECT creative_url_hash FROM first_seen)""",
+WHERE creative_url_hash NOT IN (SELECT creative_url_hash FROM first_seen WHERE media_property_id > 10)""",
 )
 def _(t):
-    return push.seed_first_seen(t.first_seen, pushed(t).staged, dims(t), F.lit(NOW)).select(
+    stored = t.first_seen.filter("media_property_id > 10")
+    return push.seed_first_seen(stored, pushed(t).staged, dims(t), F.lit(NOW)).select(
         "creative_id", "creative_url_hash", "occurrence_id", "occurrence_timestamp",
         "due_timestamp", "provider_id", "media_property_name", "provider_publisher_id",
         "market_id", "market_name", "provider_campaign_landing_page",

@@ -1,5 +1,6 @@
 """Laws of the pipelines: a second run changes nothing, buffer and gold do not overlap."""
 
+import dataclasses
 import datetime as dt
 
 from pyspark.sql import functions as F
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 from catalog.enrichment import dims
 from sightline import constants as C
 from sightline.plans import events, push, summary
+from sightline.session import materialize
 
 
 
@@ -26,6 +28,9 @@ def test_gold_run_twice(spark, tables):
     # a parked row is always a copy of an event, so start with an empty buffer
     first = run_gold(t, t.event_buffer.limit(0), t.gold_stored, chains)
     key = events.GOLD_KEY
+    first = dataclasses.replace(
+        first, inserts=materialize(first.inserts, "inserts"), buffer=materialize(first.buffer, "buffer")
+    )
     gold = t.gold_stored.select(key).unionByName(first.inserts.select(key))
     assert first.inserts.count() > 0
     waiting = first.buffer.select(key)
@@ -36,7 +41,7 @@ def test_gold_run_twice(spark, tables):
     second = run_gold(t, first.buffer, gold, known, t.raw_events)
     assert second.inserts.count() == 0
     assert second.chains.count() == 0
-    again, before = second.buffer.select(key), first.buffer.select(key)
+    again, before = materialize(second.buffer.select(key), "again"), first.buffer.select(key)
     assert again.count() == before.count()
     assert again.join(before, key, "left_anti").count() == 0
 
