@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from catalog.registry import query
+from catalog.registry import Tables, query
 from sightline.session import new_scratch
 from sightline.sources.tables import TableStore
 from sightline.streaming import flows
@@ -91,6 +91,7 @@ def _(t):
 )
 def _(t):
     # a purchase is delivered again after one hour, inside the delay
+    t = Tables(flows.state_session(t.spark), t.folder)
     rows = t.deliveries.select("event_id", "ts", "user_id", "event_type")
     out, position = new_scratch(t.spark, "deduped"), mark(t)
 

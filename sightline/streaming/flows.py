@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sightline.operators.merge import absent_rows, accumulate, count_first_days, merge, park_release
+from sightline.session import configure
 from sightline.sources.tables import APPEND, REPLACE, TableStore
 
 #: a micro-batch and its id
@@ -47,6 +48,23 @@ def file_stream(
     return reader.load(path)
 
 
+def state_session(spark: SparkSession, partitions: int | None = None) -> SparkSession:
+    """A session for streams that keep keyed state.
+
+    The number of state partitions is fixed for the life of a checkpoint, so it is chosen here
+    (by default the cluster's cores) and not taken from the caller's session. State lives in
+    RocksDB, off the heap.
+    """
+    session = configure(spark.newSession())
+    count = partitions or spark.sparkContext.defaultParallelism
+    session.conf.set("spark.sql.shuffle.partitions", str(count))
+    session.conf.set(
+        "spark.sql.streaming.stateStore.providerClass",
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    )
+    return session
+
+
 def run_available(stream: DataFrame, checkpoint: str, handle: Batch) -> None:
     """Run a batch function over everything available, then stop."""
     query = (
