@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import _parse_datatype_string
+from pyspark.sql.types import StructType, _parse_datatype_string
 
 from sightline.session import configure
 
@@ -53,13 +53,13 @@ def with_long_id(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
 
-def map_texts(docs: DataFrame, text: str, keep: list[str], make, schema: str) -> DataFrame:
+def map_texts(docs: DataFrame, text: str, keep: list[str], make, schema: str | StructType) -> DataFrame:
     """``make(texts, columns) -> list of columns`` over Arrow batches.
 
     ``make`` gets the texts as strings or None and the kept columns as Arrow arrays; what it
     returns follows ``schema``. Kept columns travel as Arrow, so ids with nulls stay exact.
     """
-    target = to_arrow_schema(_parse_datatype_string(schema))
+    target = to_arrow_schema(_parse_datatype_string(schema) if isinstance(schema, str) else schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
