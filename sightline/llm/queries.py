@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sightline.llm import neardup
+from sightline.llm import neardup, packing, pii, quality, sharding, wavelet
 from sightline.llm.text import table
+from sightline.session import new_scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -18,6 +20,34 @@ def query(build: Callable[[SparkSession, str], DataFrame]):
     return build
 
 
+@query
+def op1_quality_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.assess(table(spark, folder, "documents"))
+
+
+@query
+def op3_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.digest(table(spark, folder, "documents"))
+
+
+@query
+def op4_sampled_splitters(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.shard_table(table(spark, folder, "documents"))
+
+
+@query
+def op5_bounded_packing(spark: SparkSession, folder: str) -> DataFrame:
+    p = packing.Packing(public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack(table(spark, folder, "documents"), p)
+
+
+@query
+def op7_wavelet_files(spark: SparkSession, folder: str) -> DataFrame:
+    p = wavelet.TokenFiles(public_tokenizers.path("byte_bpe_50k.json"))
+    files = wavelet.write_files(table(spark, folder, "documents"), new_scratch(spark, "wavelet"), p)
+    return wavelet.read_files(files)
+
+
 @query
 def op9_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.near_components(table(spark, folder, "documents"))
