@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sightline.llm import neardup, packing, pii, quality, sharding, wavelet
+from sightline.llm import mixing, neardup, packing, permutation, pii, quality, sharding, tagpaths, toxicity, wavelet
 from sightline.llm.text import table
 from sightline.session import new_scratch
 
@@ -25,6 +25,11 @@ def op1_quality_divergence(spark: SparkSession, folder: str) -> DataFrame:
     return quality.assess(table(spark, folder, "documents"))
 
 
+@query
+def op2_permutation_index(spark: SparkSession, folder: str) -> DataFrame:
+    return permutation.nearest_neighbours(table(spark, folder, "embeddings"))
+
+
 @query
 def op3_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return pii.digest(table(spark, folder, "documents"))
@@ -41,6 +46,11 @@ def op5_bounded_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), p)
 
 
+@query
+def op6_tag_path_text(spark: SparkSession, folder: str) -> DataFrame:
+    return tagpaths.extracted(table(spark, folder, "pages"))
+
+
 @query
 def op7_wavelet_files(spark: SparkSession, folder: str) -> DataFrame:
     p = wavelet.TokenFiles(public_tokenizers.path("byte_bpe_50k.json"))
@@ -48,6 +58,16 @@ def op7_wavelet_files(spark: SparkSession, folder: str) -> DataFrame:
     return wavelet.read_files(files)
 
 
+@query
+def op8_weak_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity_table(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query
 def op9_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.near_components(table(spark, folder, "documents"))
+
+
+@query
+def op10_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix_table(table(spark, folder, "documents"))
