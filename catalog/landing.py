@@ -11,7 +11,7 @@ from sightline.functions.keys import url_fingerprint
 from sightline.operators.collect import run_summary
 from sightline.session import new_scratch
 from sightline.sources import landing, refresh
-from sightline.sources.tables import APPEND, TableStore, sorted_by_month
+from sightline.sources.tables import TableStore, sorted_by_month
 from sightline.streaming import flows
 
 NOW = dt.datetime(2024, 2, 1)
@@ -116,37 +116,46 @@ def _(t):
     )
 
 
-@query("land_once", "SELECT json_data AS value FROM landed")
+STAGED = """
+SELECT json_data, json_extract_string(json_data, '$.occurrence.creative.url') IS NOT NULL AS hashed, TRUE AS gapless
+FROM landed
+"""
+
+
+@query("land_once", STAGED)
 def _(t):
     early = F.col("_version") <= 15
     folder = landed_folder(t, t.landed.filter(early), 2)
-    out, mark = new_scratch(t.spark, "staging"), new_scratch(t.spark, "mark")
+    tables, mark = store(t), new_scratch(t.spark, "mark")
+    # processed files are moved aside after the next batch is committed
+    archive = new_scratch(t.spark, "archive")
 
     def run() -> None:
-        flows.copy_available(flows.file_stream(t.spark, folder, format="text"), mark, out)
+        files = flows.landed_files(t.spark, folder, archive=archive)
+        flows.run_available(files, mark, flows.land_batches(tables, "staging", NOW))
 
     run()
     late = t.landed.filter(~early).select(F.col("json_data").alias("value"))
     late.write.mode("append").option("compression", "bzip2").text(folder)
     run()
     run()  # nothing new
-    return t.spark.read.parquet(out).select("value")
+    staged = tables.read("staging")
+    per_file = staged.groupBy("blob_name").agg(
+        (F.max("record_index") + 1 == F.countDistinct("record_index")).alias("gapless")
+    )
+    return staged.join(per_file, "blob_name").select(
+        "json_data", F.col("creative_url_hash").isNotNull().alias("hashed"), "gapless"
+    )
 
 
 @query("bounded_append", "SELECT COUNT(*) AS n_rows, 3 AS n_batches, TRUE AS bounded FROM landed")
 def _(t):
     folder = landed_folder(t, t.landed, 6)
     tables = store(t)
-    stream = flows.file_stream(t.spark, folder, format="text", max_files=2).withColumn(
-        "file", F.col("_metadata.file_path")
-    )
-
-    def append(batch, batch_id):
-        tables.commit("staging", batch, kind=APPEND, now=NOW, batch=str(batch_id))
-
-    flows.run_available(stream, new_scratch(t.spark, "mark"), append)
+    files = flows.landed_files(t.spark, folder, max_files=2)
+    flows.run_available(files, new_scratch(t.spark, "mark"), flows.land_batches(tables, "staging", NOW))
     per_batch = tables.read("staging").groupBy("version").agg(
-        F.count(F.lit(1)).alias("n"), F.countDistinct("file").alias("files")
+        F.count(F.lit(1)).alias("n"), F.countDistinct("blob_name").alias("files")
     )
     return per_batch.agg(
         F.sum("n").alias("n_rows"),

@@ -87,20 +87,17 @@ def _(t):
 
 @query(
     "stream_near_repeats",
-    "SELECT event_id, user_id, event_type FROM events",
+    "SELECT event_id, user_id, event_type, FALSE AS is_late FROM events",
 )
 def _(t):
     # a purchase is delivered again after one hour, inside the delay
-    t = Tables(flows.state_session(t.spark), t.folder)
-    rows = t.deliveries.select("event_id", "ts", "user_id", "event_type")
-    out, position = new_scratch(t.spark, "deduped"), mark(t)
-
-    def run(stream):
-        once = flows.drop_near_repeats(stream, ["event_id"], "ts", "2 days")
-        flows.copy_available(once, position, out)
-
-    feed(t, rows, run)
-    return t.spark.read.parquet(out).select("event_id", "user_id", "event_type")
+    rows = t.deliveries.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type")
+    tables, position = store(t), mark(t)
+    handle = flows.once_within(tables, "events", "late", ["event_id"], "ts", dt.timedelta(days=2), NOW)
+    feed(t, rows, lambda stream: flows.run_available(stream, position, handle))
+    columns = ["event_id", "user_id", "event_type"]
+    parts = [tables.read(n).select(*columns, F.lit(n == "late").alias("is_late")) for n in ("events", "late")]
+    return parts[0].unionByName(parts[1])
 
 
 @query(

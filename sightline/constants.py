@@ -96,3 +96,16 @@ DURATION_BUCKETS = [
 # --- fixed values: code systems of the product map --------------------------------
 SYSTEM_VX1 = "1"
 SYSTEM_VX2 = "2"
+
+# --- fixed values: classification hold --------------------------------------------
+HOLD_EXEMPT_PROVIDER_IDS = [2, 19]
+HOLD_URL_PROVIDER_IDS = [16, 18]
+HOLD_ALWAYS_PROVIDER_IDS = [11, 13, 18]
+HOLD_SCORED_PROVIDER_ID = 16
+CLASS_ADVERT = 1
+SETTLED_CLASS_IDS = [2, 3, 4]
+SETTLED_ATTRIBUTION_IDS = [2, 3, 4]
+STEP_MANUAL = 3
+STEP_ENGINE = 5
+ENGINE_ANSWERED = 1
+ENGINE_FAILED_IDS = [2, 3]

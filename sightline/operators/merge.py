@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 Keys = Sequence[str]
@@ -53,12 +53,13 @@ def merge(
     insert: bool = True,
     null_safe: bool = False,
 ) -> DataFrame:
-    """General merge of a source with at most one row per key.
+    """General merge of a source with at most one row per key; the job fails on a second one.
 
     ``update``: columns taken from the source on a match (default: all non-key columns both
     sides share). ``values``: columns computed from both sides. ``when``: extra condition of
     the update. ``insert``: add unmatched source rows.
     """
+    source = require_single_match(source, on, null_safe=null_safe)
     values = values or {}
     shared = [c for c in target.columns if c in source.columns and c not in on]
     taken = list(shared if update is None else update)
@@ -111,7 +112,11 @@ def merge(
 
 
 def upsert(target: DataFrame, source: DataFrame, on: Keys) -> DataFrame:
-    """Whole-row upsert: kept target rows and all source rows; no column-wise work."""
+    """Whole-row upsert: kept target rows and all source rows; no column-wise work.
+
+    The job fails when a key occurs more than once in the source.
+    """
+    source = require_single_match(source, on)
     kept = target.join(source.select(*on), list(on), "left_anti")
     return kept.unionByName(source.select(target.columns))
 
@@ -202,16 +207,18 @@ def multi_matches(source: DataFrame, on: Keys) -> DataFrame:
     return counts.filter(F.col("matches") > 1)
 
 
-def require_single_match(source: DataFrame, on: Keys) -> DataFrame:
-    """The source itself; the job fails when a key occurs more than once."""
-    rest = [c for c in source.columns if c not in on]
-    grouped = source.groupBy(*on).agg(
-        F.count(F.lit(1)).alias("_n"), F.any_value(F.struct(*rest)).alias("_row")
-    )
-    key = F.to_json(F.struct(*on))
-    message = F.concat(F.lit("more than one source row for "), key)
-    checked = F.when(F.col("_n") > 1, F.raise_error(message).cast("boolean")).otherwise(True)
-    return grouped.filter(checked).select(*on, "_row.*").select(source.columns)
+def require_single_match(source: DataFrame, on: Keys, *, null_safe: bool = False) -> DataFrame:
+    """The source itself; the job fails when a key occurs more than once.
+
+    NULL keys match no target row and may repeat, unless ``null_safe``. The rows are counted in a
+    window on the key, which is the partitioning that a sort-merge join of the source needs next.
+    """
+    repeated = F.count(F.lit(1)).over(Window.partitionBy(*on)) > 1
+    if not null_safe:
+        repeated = repeated & reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in on])
+    message = F.concat(F.lit("more than one source row for "), F.to_json(F.struct(*on)))
+    checked = F.when(repeated, F.raise_error(message).cast("boolean")).otherwise(True)
+    return source.withColumn("_single", checked).filter("_single").drop("_single")
 
 
 def spread_flag(rows: DataFrame, family: DataFrame, *, id: str, flag: str) -> DataFrame:

@@ -7,6 +7,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,7 +31,10 @@ def with_collected(df: DataFrame, keys: Sequence[str], value: str, out: str) ->
     """Add the sorted array of a key's non-NULL values to each of its rows.
 
     The array is built once per key, with partial aggregation, and joined back; a window would
-    send all rows of a key to one task.
+    send all rows of a key to one task. Rows with a NULL key are a key of their own.
     """
-    arrays = df.groupBy(*keys).agg(F.array_sort(F.collect_list(value)).alias(out))
-    return df.join(arrays, list(keys))
+    arrays = df.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(
+        F.array_sort(F.collect_list(value)).alias(out)
+    )
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
+    return df.join(arrays, same).drop(*[f"_k_{k}" for k in keys])

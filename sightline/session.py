@@ -32,12 +32,15 @@ def local_session(cpus: str | int = "*", shuffle_partitions: int = 8) -> SparkSe
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir``.
 
-    Only when the session names none (as in tests) a fresh temporary folder is set.
+    Only a local session that names none (as in tests) gets a fresh temporary folder. On a cluster
+    each executor would write that to its own disk, so there it is an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         folder = spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="sightline-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")

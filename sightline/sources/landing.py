@@ -25,27 +25,41 @@ _PASSTHROUGH_KEYS = (
 POSITION_MASK = (1 << 33) - 1  # monotonically_increasing_id: low 33 bits count rows of a partition
 
 
+#: Hadoop's names of stores and the names that the file library uses for the same
+SCHEMES = {"s3a": "s3", "s3n": "s3", "wasb": "abfs", "wasbs": "abfss", "gs": "gs", "file": "file", "hdfs": "hdfs",
+           "viewfs": "viewfs", "s3": "s3", "abfs": "abfs", "abfss": "abfss"}
+
+
+def library_uri(uri: str) -> str:
+    """A Hadoop path as a URI of the file library; raises for a scheme that is not known."""
+    scheme, mark, rest = uri.partition(":")
+    if not mark or "/" in scheme:
+        return f"file://{uri}"
+    if scheme not in SCHEMES:
+        raise ValueError(f"files of {scheme}: cannot be opened by tasks: {uri}")
+    return f"{SCHEMES[scheme]}:{rest}"
+
+
 def _sniff(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     from pyarrow import fs
 
     for frame in frames:
         flags = []
         for uri in frame["path"]:
-            system, path = fs.FileSystem.from_uri(uri)
+            system, path = fs.FileSystem.from_uri(library_uri(uri))
             with system.open_input_stream(path, compression=None) as stream:
                 flags.append(stream.read(len(BZIP2_MAGIC)) == BZIP2_MAGIC)
         yield pd.DataFrame({"path": frame["path"], "is_bzip2": flags})
 
 
 def list_landed(spark: SparkSession, path: str) -> DataFrame:
-    """Files of a landing folder with ``is_bzip2`` by magic bytes; content is not loaded."""
-    files = (
+    """Paths of the files of a landing folder; content is not loaded."""
+    return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.bz2")
         .load(path)
         .select("path")
     )
-    return files.mapInPandas(_sniff, "path string, is_bzip2 boolean")
 
 
 def _tagged(lines: DataFrame) -> DataFrame:
@@ -57,11 +71,18 @@ def _tagged(lines: DataFrame) -> DataFrame:
 
 
 def land_json_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Non-blank trimmed lines of every landed file, with file and block of origin.
+    """Non-blank trimmed lines of every landed file, with file and block of origin."""
+    return land_files(list_landed(spark, path))
+
 
-    Only the file names reach the driver, as they do for any Spark file listing.
+def land_files(files: DataFrame) -> DataFrame:
+    """As :func:`land_json_lines`, of the files whose ``path`` is listed.
+
+    The kind of each file is read from its first bytes, by tasks. File names reach the driver, as
+    they do for any Spark file listing; a stream of files bounds them by its batch size.
     """
-    listed = list_landed(spark, path).collect()
+    spark = files.sparkSession
+    listed = files.mapInPandas(_sniff, "path string, is_bzip2 boolean").collect()
     packed = [r["path"] for r in listed if r["is_bzip2"]]
     plain = [r["path"] for r in listed if not r["is_bzip2"]]
     parts = []
@@ -83,16 +104,15 @@ def json_array_rows(lines: DataFrame) -> DataFrame:
 
     Malformed lines are left out here and returned by :func:`rejected_lines`.
     """
-    elements = F.transform(
-        F.try_parse_json("value").cast("array<variant>"), lambda v: F.to_json(v)
-    )
-    is_array = F.col("value").startswith("[")
-    rows = F.when(is_array, elements).otherwise(F.array("value"))
-    return (
-        lines.filter(F.try_parse_json("value").isNotNull())
-        .withColumn("json_data", F.explode(rows))
-        .drop("value")
-    )
+
+    def rows(parsed: Column) -> Column:
+        # a lambda binds the parsed value, so each line is parsed once; a NULL array has no rows
+        elements = F.transform(parsed.cast("array<variant>"), lambda v: F.to_json(v))
+        several = F.when(F.col("value").startswith("["), elements).otherwise(F.array("value"))
+        return F.when(parsed.isNotNull(), several)
+
+    found = F.transform(F.array(F.try_parse_json("value")), rows)[0]
+    return lines.withColumn("json_data", F.explode(found)).drop("value")
 
 
 def rejected_lines(lines: DataFrame) -> DataFrame:

@@ -9,17 +9,37 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from concurrent.futures import Future
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.types import _parse_datatype_string
 
-from sightline.operators.merge import absent_rows, accumulate, count_first_days, merge, park_release
+from sightline.operators.merge import absent_rows, accumulate, count_first_days, merge
+from sightline.operators.picks import first_per_key
 from sightline.session import configure
+from sightline.sources import landing
 from sightline.sources.tables import APPEND, REPLACE, TableStore
 
-#: a micro-batch and its id
-Batch = Callable[[DataFrame, int], None]
+@dataclass(frozen=True)
+class BatchKey:
+    """A micro-batch of one consumer.
+
+    ``consumer`` is the id that Spark stores in the checkpoint folder. Batch numbers start at 0
+    in every checkpoint, so a number alone does not name a batch of a table.
+    """
+
+    consumer: str
+    number: int
+
+    def __str__(self) -> str:
+        return f"{self.consumer}/{self.number}"
+
+
+#: a micro-batch and its key
+Batch = Callable[[DataFrame, BatchKey], None]
 
 
 def file_stream(
@@ -67,15 +87,51 @@ def state_session(spark: SparkSession, partitions: int | None = None) -> SparkSe
 
 def run_available(stream: DataFrame, checkpoint: str, handle: Batch) -> None:
     """Run a batch function over everything available, then stop."""
+    consumer: Future[str] = Future()
+
+    def keyed(batch: DataFrame, number: int) -> None:
+        handle(batch, BatchKey(consumer.result(), number))
+
     query = (
-        stream.writeStream.foreachBatch(handle)
+        stream.writeStream.foreachBatch(keyed)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+    consumer.set_result(str(query.id))
     query.awaitTermination()
 
 
+#: the columns of Spark's file listing; only the path is read
+LISTING = "path string, modificationTime timestamp, length long, content binary"
+
+
+def landed_files(
+    spark: SparkSession, path: str, *, max_files: int = 1000, archive: str | None = None
+) -> DataFrame:
+    """New landed files as a stream of paths; their content is not read.
+
+    Hand the batches to :func:`land_batches`: whether a ``.bz2`` file is packed is only known from
+    its first bytes, which a text stream does not look at.
+    """
+    stream = file_stream(
+        spark, path, _parse_datatype_string(LISTING), format="binaryFile", max_files=max_files,
+        archive=archive, glob="*.bz2",
+    )
+    return stream.select("path")
+
+
+def land_batches(store: TableStore, name: str, now: dt.datetime) -> Batch:
+    """Append the staging rows of each batch of landed files; at most ``max_files`` files each."""
+
+    def handle(batch: DataFrame, key: BatchKey) -> None:
+        rows = landing.json_array_rows(landing.land_files(batch))
+        staged = landing.staging_rows(rows, F.lit(now))
+        store.commit(name, staged, kind=APPEND, now=now, batch=str(key))
+
+    return handle
+
+
 def copy_available(stream: DataFrame, checkpoint: str, out: str, *, partition_by: str | None = None) -> None:
     """Append everything available to a folder with the exactly-once file sink."""
     writer = stream.writeStream.format("parquet").option("path", out)
@@ -95,12 +151,11 @@ def _state(store: TableStore, name: str, like: DataFrame) -> DataFrame:
 def append_once(store: TableStore, name: str, on: list[str], now: dt.datetime,
                 order: list[Column]) -> Batch:
     """Append rows whose key is not in the table yet; exact across batches and retries."""
-    from sightline.operators.picks import first_per_key
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
+    def handle(batch: DataFrame, key: BatchKey) -> None:
         rows = first_per_key(batch, on, order)
         stored = _state(store, name, rows)
-        store.commit(name, absent_rows(stored, rows, on), kind=APPEND, now=now, batch=str(batch_id))
+        store.commit(name, absent_rows(stored, rows, on), kind=APPEND, now=now, batch=str(key))
 
     return handle
 
@@ -114,9 +169,9 @@ def merge_batches(
 ) -> Batch:
     """Replace the table by ``step(table, batch)`` for each batch."""
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
+    def handle(batch: DataFrame, key: BatchKey) -> None:
         stored = _state(store, name, like(batch))
-        store.commit(name, step(stored, batch), kind=REPLACE, now=now, batch=str(batch_id))
+        store.commit(name, step(stored, batch), kind=REPLACE, now=now, batch=str(key))
 
     return handle
 
@@ -132,23 +187,22 @@ def wait_for_dimension(
 ) -> Batch:
     """Events leave when their dimension row is there; until then they wait in a buffer.
 
-    ``dimension`` gives the dimension as known at a batch. The output is committed first: if
-    the run stops before the buffer is, the retry finds the output done and only moves the
-    buffer.
+    ``dimension`` gives the dimension as known at a batch. The output is committed first and the
+    buffer is what the output does not hold, so a batch that is run again moves exactly the rows
+    whose output was stored, also when the dimension has grown in between. Of copies of an event
+    the first by all columns in order stays.
     """
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
+    def handle(batch: DataFrame, key: BatchKey) -> None:
         waiting = _state(store, buffer, batch)
-        rows = batch.unionByName(waiting).dropDuplicates(event_key)
-        known = dimension(batch_id).select(on).distinct().withColumn("_known", F.lit(True))
-        tagged = rows.join(known, on, "left").withColumn("_known", F.col("_known").isNotNull())
-        ready = tagged.filter("_known").drop("_known")
+        every = batch.unionByName(waiting.select(batch.columns))
+        rows = first_per_key(every, event_key, [F.asc(c) for c in sorted(batch.columns)])
+        known = dimension(key.number).select(on).distinct()
+        ready = rows.join(known, on, "left_semi").select(batch.columns)
         store.commit(out, absent_rows(_state(store, out, batch), ready, event_key),
-                     kind=APPEND, now=now, batch=str(batch_id))
-        next_buffer = park_release(
-            waiting, tagged, event_key, F.col("_known"), ~F.col("_known")
-        )
-        store.commit(buffer, next_buffer, kind=REPLACE, now=now, batch=str(batch_id))
+                     kind=APPEND, now=now, batch=str(key))
+        still = absent_rows(_state(store, out, batch), rows, event_key).select(batch.columns)
+        store.commit(buffer, still, kind=REPLACE, now=now, batch=str(key))
 
     return handle
 
@@ -185,5 +239,31 @@ def first_days_summary(on: list[str], *, day: str, days: int):
 
 
 def drop_near_repeats(stream: DataFrame, key: list[str], ts: str, delay: str) -> DataFrame:
-    """Drop repeats that arrive within ``delay`` of each other, with bounded state."""
+    """Drop repeats that arrive within ``delay`` of each other, with bounded state.
+
+    Rows older than the watermark are dropped without a trace; where they matter, use
+    :func:`once_within`.
+    """
     return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark(key)
+
+
+def once_within(store: TableStore, name: str, late: str, on: list[str], ts: str,
+                delay: dt.timedelta, now: dt.datetime) -> Batch:
+    """Append rows whose key was not seen within ``delay``; rows older than that go to ``late``.
+
+    The mark is the newest stored time less ``delay``, as before the batch. Only stored rows after
+    the mark are compared, by a filter that reaches the scan, so old data is not read.
+    """
+
+    def handle(batch: DataFrame, key: BatchKey) -> None:
+        stored = _state(store, name, batch)
+        newest = stored.agg(F.max(ts)).first()[0]
+        old, recent = F.lit(False), stored
+        if newest is not None:
+            mark = F.lit(newest - delay)
+            old, recent = F.coalesce(F.col(ts) < mark, F.lit(False)), stored.filter(F.col(ts) >= mark)
+        rows = first_per_key(batch.filter(~old), on, [F.asc(ts), *[F.asc(c) for c in sorted(batch.columns)]])
+        store.commit(late, batch.filter(old), kind=APPEND, now=now, batch=str(key))
+        store.commit(name, absent_rows(recent, rows, on).select(batch.columns), kind=APPEND, now=now, batch=str(key))
+
+    return handle

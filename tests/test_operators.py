@@ -202,3 +202,23 @@ def test_first_per_key_is_stable(spark, skewed):
     a = sorted(map(tuple, first_per_key(df, ["k"], order).collect()), key=str)
     b = sorted(map(tuple, first_per_key(df.repartition(3), ["k"], order).collect()), key=str)
     assert a == b
+
+
+def test_second_source_row_fails_a_merge(spark):
+    t = spark.createDataFrame([(1, 10)], "k int, v int")
+    twice = spark.createDataFrame([(1, 11), (1, 12)], "k int, v int")
+    for run in (lambda: m.merge(t, twice, ["k"]), lambda: m.upsert(t, twice, ["k"])):
+        with pytest.raises(Exception, match="more than one source row"):
+            run().collect()
+    nulls = spark.createDataFrame([(None, 1), (None, 2)], "k int, v int")
+    assert m.merge(t, nulls, ["k"]).count() == 3
+
+
+def test_collected_keeps_rows_without_a_key(spark):
+    from sightline.operators.picks import with_collected
+
+    df = spark.createDataFrame([(1, "b"), (1, "a"), (None, "c"), (None, None)], "k int, v string")
+    out = [(r["k"], r["v"], r["all"]) for r in with_collected(df, ["k"], "v", "all").collect()]
+    assert sorted(out, key=str) == sorted(
+        [(1, "b", ["a", "b"]), (1, "a", ["a", "b"]), (None, "c", ["c"]), (None, None, ["c"])], key=str
+    )

@@ -1,20 +1,13 @@
-"""Every registered query against its SQL counterpart on the smallest data."""
+"""Every registered query of the library against its SQL counterpart on the smallest data."""
 
 import pytest
 
-from __spark_entry__ import oracle_sql, queries
+from catalog import ORACLES as SQL
+from catalog import QUERIES, load_all
 from check import compare, connect
 from conftest import SF
 
-QUERIES, SQL = queries(), oracle_sql()
-
-# pipelines whose parts are compared by other keys in this list; all keys run in check.py
-REPEATED = {
-    "exclude_autochaff", "autochaff_records", "seed_first_seen", "stage_creatives",
-    "summary_buffer_next", "gold_buffer", "gate_events", "translation_hold", "resync_apply",
-    "rebuild_components", "expand_creatives", "stream_summary", "stream_near_repeats",
-    "land_once", "refresh_many",
-}
+load_all()
 
 
 @pytest.fixture(scope="module")
@@ -26,7 +19,7 @@ def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
 
 
-@pytest.mark.parametrize("key", [k for k in QUERIES if k not in REPEATED])
+@pytest.mark.parametrize("key", list(QUERIES))
 def test_query(spark, db, key):
     ok, note = compare(spark, db, SF, key, QUERIES[key], SQL[key])
     assert ok, note

@@ -135,3 +135,104 @@ def test_batch_that_fails_after_its_commit_is_not_applied_twice(spark, folder):
     spark.range(2).selectExpr("id as k", "1L as n").write.mode("append").parquet(src)
     run()
     assert {r["k"]: r["n"] for r in store.read("sum").collect()} == {0: 5, 1: 4, 2: 3}
+
+
+def test_two_consumers_of_one_table_do_not_share_batch_names(spark, folder):
+    store, src = TableStore(spark, folder + "/s"), folder + "/src"
+    spark.range(5).write.parquet(src)
+    handle = flows.append_once(store, "rows", ["id"], NOW, [F.asc("id")])
+
+    def run(mark):
+        flows.run_available(flows.file_stream(spark, src, spark.read.parquet(src).schema), mark, handle)
+
+    run(folder + "/mark1")
+    spark.range(5, 8).write.mode("append").parquet(src)
+    run(folder + "/mark2")  # a new checkpoint counts its batches from 0 again
+    assert sorted(r["id"] for r in store.read("rows").collect()) == list(range(8))
+
+
+def test_stream_lands_both_kinds_of_files_and_archives_them(spark, tmp_path):
+    source, archive = tmp_path / "in", tmp_path / "done"
+    source.mkdir()
+    store = TableStore(spark, str(tmp_path / "s"))
+
+    def run():
+        files = flows.landed_files(spark, str(source), max_files=1, archive=str(archive))
+        flows.run_available(files, str(tmp_path / "mark"), flows.land_batches(store, "staging", NOW))
+
+    (source / "packed.json.bz2").write_bytes(bz2.compress(f"{line(1)}\n".encode()))
+    (source / "plain.json.bz2").write_text(f"[{line(2)},{line(3)}]\n{line(4)}")
+    run()
+    (source / "late.json.bz2").write_text(line(5))
+    run()
+    run()
+    rows = store.read("staging").collect()
+    assert sorted(json.loads(r["json_data"])["n"] for r in rows) == [1, 2, 3, 4, 5]
+    plain = {json.loads(r["json_data"])["n"]: r["record_index"] for r in rows if "plain" in r["blob_name"]}
+    assert plain == {2: 0, 3: 1, 4: 2}
+    assert any(archive.rglob("*.bz2"))
+
+
+def test_late_rows_are_kept_apart(spark, folder):
+    store = TableStore(spark, folder)
+    day = lambda n: dt.datetime(2024, 1, n)
+    handle = flows.once_within(store, "on_time", "late", ["k"], "ts", dt.timedelta(days=2), NOW)
+    batches = [[(1, day(10)), (1, day(10)), (2, day(9))], [(2, day(10)), (3, day(1)), (4, day(8))], [(5, None), (1, day(11))]]
+    for number, rows in enumerate(batches):
+        df = spark.createDataFrame(rows, "k int, ts timestamp")
+        for _ in range(2):  # a batch that runs again changes nothing
+            handle(df, flows.BatchKey("a", number))
+    assert sorted(r["k"] for r in store.read("on_time").collect()) == [1, 2, 4, 5]
+    assert [r["k"] for r in store.read("late").collect()] == [3]
+
+
+def test_retry_with_a_grown_dimension_loses_nothing(spark, folder):
+    store = TableStore(spark, folder)
+    known = {"ids": [1]}
+
+    def dimension(number):
+        return spark.createDataFrame([(i,) for i in known["ids"]], "d int")
+
+    handle = flows.wait_for_dimension(store, "out", "wait", dimension, "d", ["k"], NOW)
+    batch = spark.createDataFrame([(10, 1), (20, 2)], "k int, d int")
+    real, calls = TableStore.commit, []
+
+    def stops_before_the_buffer(self, name, *args, **kwargs):
+        if name == "wait" and not calls:
+            calls.append(name)
+            raise RuntimeError("stopped")
+        return real(self, name, *args, **kwargs)
+
+    TableStore.commit = stops_before_the_buffer
+    try:
+        with pytest.raises(RuntimeError):
+            handle(batch, flows.BatchKey("a", 0))
+        known["ids"] = [1, 2]
+        handle(batch, flows.BatchKey("a", 0))
+    finally:
+        TableStore.commit = real
+    # the output of the batch was stored with the old dimension, so the row waits
+    assert [r["k"] for r in store.read("wait").collect()] == [20]
+    handle(batch.limit(0), flows.BatchKey("a", 1))
+    assert sorted(r["k"] for r in store.read("out").collect()) == [10, 20]
+    assert store.read("wait").count() == 0
+
+
+def test_names_of_stores():
+    assert landing.library_uri("s3a://b/x") == "s3://b/x"
+    assert landing.library_uri("wasbs://c@a/x") == "abfss://c@a/x"
+    assert landing.library_uri("file:/tmp/x") == "file:/tmp/x"
+    assert landing.library_uri("/tmp/x") == "file:///tmp/x"
+    with pytest.raises(ValueError, match="ftp"):
+        landing.library_uri("ftp://h/x")
+
+
+def test_no_local_scratch_on_a_cluster():
+    from types import SimpleNamespace
+
+    from sightline.session import shared_folder
+
+    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=context)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(session)
