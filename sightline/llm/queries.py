@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sightline.llm import mixing, neardup, packing, permutation, pii, quality, sharding, tagpaths, toxicity, wavelet
+from sightline.llm import mixing, neardup, oracles, packing, permutation, pii, quality, sharding, tagpaths, toxicity, wavelet
 from sightline.llm.text import table
 from sightline.session import new_scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_quality_divergence": oracles.QUALITY,
+    "op9_near_duplicates": oracles.NEAR_DUPLICATES,
+}
 
 
 def query(build: Callable[[SparkSession, str], DataFrame]):
@@ -22,7 +26,8 @@ def query(build: Callable[[SparkSession, str], DataFrame]):
 
 @query
 def op1_quality_divergence(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.assess(table(spark, folder, "documents"))
+    found = quality.assess(table(spark, folder, "documents"))
+    return found.withColumns({c: F.round(c, 6) for c in ("char_distance", "word_distance")})
 
 
 @query
