@@ -413,7 +413,7 @@ select l_orderkey, l_partkey,
   || case when l_quantity > 25 then 'null' else '"s"' end || ',"product_id":'
   || cast(l_partkey as string) || ',"is_dominant":'
   || case when l_quantity > 40 then 'true' else 'false' end || '}' as elem
-from lineitem where l_returnflag = 'R'
+from lineitem
 """
 
 FIXTURES["returned"] = {

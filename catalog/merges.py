@@ -324,10 +324,12 @@ FROM advert_coded WHERE NOT holding_flag
 """,
 )
 def _(t):
-    from sightline.plans.sync import change_log
+    from sightline import constants as C
+    from sightline.plans.sync import change_log, completed
 
     j = F.col("json_log")
-    return change_log(t.advert_coded, F.lit(NOW)).select(
+    rows = completed(t.advert_coded, C.LOGGED_COLUMNS)
+    return change_log(rows, F.lit(NOW)).select(
         "creative_id", "created_timestamp", "psql_updated_timestamp",
         jsons.text_at(j, "$.creative_title").alias("title"),
         jsons.text_at(j, "$.classification_type").alias("kind"),

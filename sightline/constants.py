@@ -109,3 +109,49 @@ STEP_MANUAL = 3
 STEP_ENGINE = 5
 ENGINE_ANSWERED = 1
 ENGINE_FAILED_IDS = [2, 3]
+
+# --- fixed values: gold creative columns a later sync changes ----------------------
+UPDATED_COLUMNS = """
+creative_duration creative_duration_bucket creative_tier_id primary_product_id vx1_product_id vx2_product_id
+mr_company_id secondary_products vx1_secondary_products vx2_secondary_products mr_secondary_company_ids
+primary_language_code classification_type classified_by_user_id classification_comments classified_timestamp
+updated_timestamp classification_process_step creative_title creative_headline attribution_first_audio
+attribution_lead_text attribution_visual attribution_summary attribution_other_details attribution_description
+attribution_hashtag attribution_competitor attribution_celebrity attribution_slogan_tagline
+attribution_revision_description attribution_comments attribution_creative_tags custom_attributes
+attribution_timestamp attribution_by_user_id attribution_status is_sponsored_video is_component_eligible
+component_entry_status component_entry_by_user_id component_entry_timestamp additional_multi_product_flag
+additional_coop_product_flag send_to_adscope_unattributed first_seen_media first_seen_provider_occurrence_id
+first_seen_occurrence_id first_seen_occurrence_timestamp first_seen_provider_code first_seen_media_property_id
+first_seen_media_property_name first_seen_media_category_id first_seen_media_category_code
+first_seen_provider_creative_link_url first_seen_provider_publisher_id first_seen_provider_publisher_domain
+first_seen_provider_campaign_id first_seen_provider_campaign_name first_seen_provider_advertiser_id
+first_seen_provider_advertiser_name first_seen_provider_product_id first_seen_provider_product_name
+first_seen_provider_campaign_landing_page first_seen_market_id first_seen_market_name first_seen_daypart_id
+first_seen_daypart_name first_seen_affiliate_id first_seen_affiliate_name due_timestamp last_seen_timestamp
+print_ad_nli print_ad_equ print_ad_cost print_ad_size print_null_cost_comments print_los_id print_ad_type_id
+print_ad_col_inch print_ad_weighted_col_inch print_recalculate_cost print_matching_ads print_ad_images
+is_resegment product_mapping_status is_reclassified print_no_cost attribution_competitor_vx2 creative_payload
+machine_learning_payload
+""".split()
+
+# --- fixed values: gold creative fields in the change log --------------------------
+LOGGED_COLUMNS = """
+creative_duration creative_duration_bucket creative_tier_id primary_language_code primary_product_id vx1_product_id
+vx2_product_id secondary_products vx1_secondary_products vx2_secondary_products classification_type
+classified_by_user_id classification_comments classified_timestamp classification_process_step creative_title
+creative_headline attribution_first_audio attribution_lead_text attribution_visual attribution_summary
+attribution_other_details attribution_description attribution_hashtag attribution_competitor attribution_celebrity
+attribution_slogan_tagline attribution_revision_description attribution_comments attribution_creative_tags
+custom_attributes attribution_timestamp attribution_by_user_id attribution_status is_component_eligible
+component_entry_status component_entry_by_user_id component_entry_timestamp additional_multi_product_flag
+additional_coop_product_flag send_to_adscope_unattributed first_seen_media first_seen_provider_occurrence_id
+first_seen_occurrence_id first_seen_occurrence_timestamp first_seen_provider_code first_seen_media_property_id
+first_seen_media_property_name first_seen_media_category_id first_seen_media_category_code
+first_seen_provider_creative_link_url first_seen_provider_publisher_id first_seen_provider_publisher_domain
+first_seen_provider_campaign_id first_seen_provider_campaign_name first_seen_provider_advertiser_id
+first_seen_provider_advertiser_name first_seen_provider_product_id first_seen_provider_product_name
+first_seen_market_id first_seen_market_name first_seen_daypart_id first_seen_daypart_name first_seen_affiliate_id
+first_seen_affiliate_name due_timestamp last_seen_timestamp attribution_competitor_vx2 occurrence_description
+legacy_creative_id creative_payload machine_learning_payload is_resegment product_mapping_status is_reclassified
+""".split()

@@ -507,6 +507,44 @@ def set_delete_flag(gold: DataFrame, changed: DataFrame, now: Column) -> DataFra
     )
 
 
+def touched_months(
+    gold: DataFrame, changed: DataFrame, moves: DataFrame, month: str = "capture_month"
+) -> DataFrame:
+    """Months with an event that moves or is flagged; reads only key columns of gold."""
+    keys = gold.select("occurrence_id", "creative_id", "delete_flag", month)
+    rejected = changed.filter(F.col("classification_type").isin(C.NON_AD, C.BAD_AD))
+    moved = keys.join(moves.select("occurrence_id"), "occurrence_id", "left_semi")
+    live = keys.filter(~F.col("delete_flag"))
+    flagged = live.join(rejected.select("creative_id"), "creative_id", "left_semi")
+    return moved.select(month).union(flagged.select(month)).distinct()
+
+
+def react_in_place(
+    path: str, creatives: DataFrame, dedupe_map: DataFrame, since: Column, now: Column,
+    month: str = "capture_month",
+) -> int:
+    """As :func:`react_to_creatives` on a table partitioned by month; rewrites only touched months.
+
+    Gold is read by its key columns to find the moves and the months, and then in whole only in
+    those months. The new months are written to the shared folder first, so a lost executor never
+    reads what is being replaced; a repeated reaction gives the same rows. Returns the number of
+    months written.
+    """
+    spark = creatives.sparkSession
+    gold = spark.read.parquet(path)
+    changed = materialize(newest_creatives(creatives, since), "changed")
+    moves = materialize(reparented(gold, changed, dedupe_map), "moves")
+    months = materialize(touched_months(gold, changed, moves, month), "months")
+    count = months.count()
+    if count:
+        part = gold.join(months, month, "left_semi").select(gold.columns)
+        after = set_delete_flag(apply_reparent(part, moves, now), changed, now)
+        fresh = materialize(after, "reacted")
+        writer = fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(month).parquet(path)
+    return count
+
+
 def react_to_creatives(
     gold: DataFrame, creatives: DataFrame, dedupe_map: DataFrame, since: Column, now: Column
 ) -> DataFrame:
