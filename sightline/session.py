@@ -60,4 +60,16 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = new_scratch(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored._scratch = path
+    return stored
+
+
+def discard(*stored: DataFrame) -> None:
+    """Remove the files of :func:`materialize` results that nothing will read again."""
+    for df in stored:
+        path = getattr(df, "_scratch", None)
+        if path is not None:
+            jvm = df.sparkSession._jvm
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
