@@ -19,29 +19,27 @@ from sightline.session import materialize
 class NearDup:
     """``similar`` of 100 is the least Jaccard similarity of a link.
 
-    A pair at 0.75 shares no band with probability (1 - 0.75^5)^45 < 6e-6. The odd sketch has
-    ``bits`` bits and only drops a candidate whose estimate lies below ``floor``, over five
-    standard deviations under 0.75.
+    A pair at 0.75 shares no band with probability (1 - 0.75^5)^45 < 6e-6. The odd sketch folds one
+    MinHash sample for each of ``bins`` parts of the hash range into ``bits`` parities. It only
+    drops a candidate whose estimate lies below ``floor``: a set with fewer shingles than bins is
+    sketched nearly whole, and for the largest sets the floor is four standard deviations under
+    0.75. ``parts`` splits a bucket where neighbours are compared.
     """
 
     width: int = 5
     similar: int = 75
     bands: int = 45
     rows: int = 5
-    bits: int = 1024
-    floor: float = 0.55
+    bins: int = 1024
+    bits: int = 2048
+    floor: float = 0.67
+    parts: int = 64
     seed: int = 20240607
 
     @property
     def samples(self) -> int:
         return self.bands * self.rows
 
-    @property
-    def most_bits(self) -> int:
-        """Largest population count of the XOR of two sketches that still may be a link."""
-        differing = 2 * self.samples * (1 - self.floor)
-        return int(self.bits / 2 * (1 - (1 - 2 / self.bits) ** differing)) + 1
-
 
 def shingles(text: str | None, width: int) -> np.ndarray:
     """The distinct shingles of a text as sorted 64-bit hashes."""
@@ -66,39 +64,44 @@ def samples(own: np.ndarray, factors: np.ndarray, offsets: np.ndarray) -> np.nda
     return least
 
 
-def odd_sketch(least: np.ndarray, bits: int) -> np.ndarray:
-    """Parity bitmap of the samples as 64-bit words."""
-    numbered = least.astype(np.uint64) ^ (np.arange(len(least), dtype=np.uint64) << np.uint64(32))
-    numbered = (numbered ^ (numbered >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-    numbered ^= numbered >> np.uint64(27)
-    numbered *= np.uint64(0x94D049BB133111EB)
-    parity = np.bincount((numbered >> np.uint64(40)) % np.uint64(bits), minlength=bits) & 1
-    return np.packbits(parity.astype(np.uint8)).view(np.int64)
+def odd_sketch(own: np.ndarray, p: NearDup) -> tuple[int, np.ndarray]:
+    """How many bins have a sample, and the parities of the samples as 64-bit words.
+
+    ``own`` is sorted, so the least hash of a bin is the first in it.
+    """
+    part = own >> np.uint64(64 - (p.bins - 1).bit_length())
+    least = own[np.append(True, part[1:] != part[:-1])]
+    mixed = (least ^ (least >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    mixed = (mixed ^ (mixed >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    parity = np.bincount(((mixed >> np.uint64(33)) % np.uint64(p.bits)).astype(np.int64), minlength=p.bits) & 1
+    return len(least), np.packbits(parity.astype(np.uint8)).view(np.int64)
 
 
 def describe(docs: DataFrame, p: NearDup) -> DataFrame:
-    """``doc_id, n_shingles, digest, bands, sketch`` per row; null for a document without words."""
+    """``doc_id, n_shingles, digest, bands, n_samples, sketch`` per row; null for a document without words."""
 
     def make(texts, kept):
         rng = np.random.default_rng(p.seed)
         factors = rng.integers(0, 1 << 32, (p.samples, 1), np.uint32) | np.uint32(1)
         offsets = rng.integers(0, 1 << 32, (p.samples, 1), np.uint32)
-        counts, digests, bands, sketches = [], [], [], []
+        counts, digests, bands, sizes, sketches = [], [], [], [], []
         for text in texts:
             own = shingles(text, p.width)
             counts.append(len(own))
             if not len(own):
-                for column in (digests, bands, sketches):
+                for column in (digests, bands, sizes, sketches):
                     column.append(None)
                 continue
             least = samples(own, factors, offsets)
             digests.append(xxhash.xxh3_128_digest(own.tobytes()))
             banded = enumerate(least.reshape(p.bands, p.rows))
             bands.append([xxhash.xxh3_64_intdigest(band.tobytes(), seed=i) - (1 << 63) for i, band in banded])
-            sketches.append(odd_sketch(least, p.bits))
-        return kept["doc_id"], counts, digests, bands, sketches
+            size, sketch = odd_sketch(own, p)
+            sizes.append(size)
+            sketches.append(sketch)
+        return kept["doc_id"], counts, digests, bands, sizes, sketches
 
-    schema = "doc_id long, n_shingles long, digest binary, bands array<long>, sketch array<long>"
+    schema = "doc_id long, n_shingles long, digest binary, bands array<long>, n_samples int, sketch array<long>"
     return map_texts(with_long_id(docs), "text", ["doc_id"], make, schema)
 
 
@@ -112,21 +115,38 @@ def shingle_sets(docs: DataFrame, p: NearDup) -> DataFrame:
 
 
 def _near(p: NearDup) -> Column:
-    """A pair whose sizes and sketches allow a link (columns of sides ``x`` and ``y``)."""
-    differing = reduce(
+    """A pair whose sizes and sketches allow a link (columns of sides ``x`` and ``y``).
+
+    The population count of the XOR gives the number of samples on one side only, and so that of
+    the samples on both, ``same``. Bins with a different sample on each side count for two: how
+    many there are follows from the sizes of two sets at ``floor``, with shared and own shingles
+    spread over the bins at random.
+    """
+    odd = reduce(
         Column.__add__,
         (F.bit_count(F.col("x.sketch")[i].bitwiseXOR(F.col("y.sketch")[i])) for i in range(p.bits // 64)),
     )
-    small, large = F.least("x.n_shingles", "y.n_shingles"), F.greatest("x.n_shingles", "y.n_shingles")
-    return (small * 100 >= large * p.similar) & (differing <= p.most_bits)
+    differing = -F.log(1 - F.least(odd, F.lit(p.bits // 2 - 1)) * (2.0 / p.bits)) * (p.bits / 2)
+    a, b = F.col("x.n_samples"), F.col("y.n_samples")
+    same = (a + b - differing) / 2
+    n_x, n_y = F.col("x.n_shingles"), F.col("y.n_shingles")
+    shared = (n_x + n_y) * (p.floor / (1 + p.floor))
+    empty = lambda n: F.exp(-n / p.bins)
+    both = 1 - empty(n_x) - empty(n_y) + empty(n_x + n_y - shared)
+    twice = (both - (1 - empty(n_x + n_y - shared)) * p.floor) * p.bins
+    sizes = F.least(n_x, n_y) * 100 >= F.greatest(n_x, n_y) * p.similar
+    return sizes & (same >= (a + b - same - twice) * p.floor)
+
+
+def likely(pairs: DataFrame, sketches: DataFrame, p: NearDup) -> DataFrame:
+    """The pairs ``(a, b)`` that sizes and sketches leave over."""
+    x, y = sketches.alias("x"), sketches.alias("y")
+    both = pairs.join(x, F.col("a") == F.col("x.doc_id")).join(y, F.col("b") == F.col("y.doc_id"))
+    return both.filter(_near(p)).select("a", "b").distinct()
 
 
-def confirm(docs: DataFrame, pairs: DataFrame, p: NearDup) -> DataFrame:
+def confirm(sets: DataFrame, pairs: DataFrame, p: NearDup) -> DataFrame:
     """The pairs ``(a, b)`` whose full shingle sets are similar enough."""
-    pairs = materialize(pairs, "pairs")
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    chosen = with_long_id(docs).join(wanted, "doc_id", "left_semi")
-    sets = materialize(shingle_sets(chosen, p), "sets")
     left = sets.select(F.col("doc_id").alias("a"), F.col("own").alias("own_a"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("own").alias("own_b"))
     shared = F.size(F.array_intersect("own_a", "own_b"))
@@ -134,64 +154,83 @@ def confirm(docs: DataFrame, pairs: DataFrame, p: NearDup) -> DataFrame:
     return both.filter(F.col("shared") * 100 >= (F.col("total") - F.col("shared")) * p.similar).select("a", "b").distinct()
 
 
+def open_members(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """``bucket, doc_id, component`` of the buckets that still hold more than one component."""
+    labelled = members.join(labels, members.doc_id == labels.node, "left").select(
+        "bucket", "doc_id", F.coalesce("component", "doc_id").alias("component")
+    )
+    mixed = labelled.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    return materialize(labelled.join(mixed.filter("low < high").select("bucket"), "bucket", "left_semi"), "open")
+
+
+def chained(members: DataFrame, p: NearDup) -> DataFrame:
+    """Pairs of neighbours of different components, in a random order of each part of a bucket."""
+    part = F.pmod(F.xxhash64("doc_id", F.lit(p.seed)), F.lit(p.parts))
+    order = Window.partitionBy("bucket", "part").orderBy(F.xxhash64("bucket", "doc_id"), "doc_id")
+    near = members.withColumn("part", part)
+    for k in (1, 2):
+        near = near.withColumns({f"doc{k}": F.lag("doc_id", k).over(order), f"component{k}": F.lag("component", k).over(order)})
+    found = [near.filter(F.col(f"component{k}") != F.col("component")).select("doc_id", F.col(f"doc{k}").alias("other")) for k in (1, 2)]
+    return found[0].union(found[1]).select(F.least("doc_id", "other").alias("a"), F.greatest("doc_id", "other").alias("b")).distinct()
+
+
+def across(members: DataFrame, classes: DataFrame, p: NearDup) -> DataFrame:
+    """All pairs of one bucket and different components that sizes and sketches leave over.
+
+    A pair that meets in several buckets comes from the smallest of them.
+    """
+    sides = classes.select("doc_id", "n_shingles", "n_samples", "sketch", "bands")
+    members = materialize(members.join(sides, "doc_id"), "across")
+    x, y = members.alias("x"), members.alias("y")
+    first = F.array_min(F.array_intersect("x.bands", "y.bands")) == F.col("x.bucket")
+    both = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.component") < F.col("y.component")) & _near(p) & first)
+    return both.select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b")).distinct()
+
+
 def near_components(docs: DataFrame, p: NearDup | None = None) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``.
 
     Equal shingle sets are one class, of which the smallest ``doc_id`` stands for all. Classes
-    meet in bands. First each class is compared with the smallest one of each bucket; after that
-    only classes of one bucket that are still in different components are compared, so a bucket
-    full of copies costs one comparison each and no pair of the bucket is left undecided. Sketches
-    discard hopeless pairs; a link counts only when the full sets confirm it.
+    meet in bands, and a bucket is worked off in three steps, each only where the one before left
+    several components: its members against its smallest, neighbours in a random order, and then
+    every pair of different components. So a bucket full of copies costs a few comparisons each,
+    and no pair of a bucket is left undecided. Sketches discard hopeless pairs; a link counts only
+    when the full sets confirm it.
 
     A null or empty text has no shingles and is linked with nothing. Rows with one ``doc_id`` are
-    one document that is linked by any of its texts. An empty table gives an empty result; further
-    columns are ignored.
+    one document that is linked by any of its texts; rows without one are linked with nothing. An
+    empty table gives an empty result; further columns are ignored.
     """
     p = p or NearDup()
     rows = materialize(describe(docs, p), "minhash")
     full = rows.filter(F.col("digest").isNotNull())
-    # the first row of each class; Spark cuts each task to one row per class before the shuffle
-    classes = materialize(_first_of(full).select("digest", "doc_id", "n_shingles", "bands", "sketch"), "classes")
+    classes = materialize(_first_of(full).select("digest", "doc_id", "n_shingles", "bands", "n_samples", "sketch"), "classes")
+    sketches = classes.select("doc_id", "n_shingles", "n_samples", "sketch")
 
-    posted = classes.select(F.explode("bands").alias("bucket"), "doc_id")
+    posted = classes.filter("doc_id is not null").select(F.explode("bands").alias("bucket"), "doc_id")
     buckets = posted.groupBy("bucket").agg(F.min("doc_id").alias("lead"), F.max("doc_id").alias("last"))
     buckets = buckets.filter("lead < last").select("bucket", "lead")
     members = materialize(posted.join(buckets, "bucket"), "members")
-    sketches = classes.select("doc_id", "n_shingles", "sketch")
+    # texts are always met by a sort-merge join, so that the plan is the same at every size
+    wanted = members.select("doc_id").distinct().hint("merge")
+    sets = materialize(shingle_sets(with_long_id(docs).join(wanted, "doc_id", "left_semi"), p), "sets")
+
+    def linked(labels: DataFrame | None, pairs: DataFrame) -> DataFrame:
+        edges = confirm(sets, pairs, p)
+        if labels is not None:
+            edges = edges.union(labels.select("node", "component"))
+        return components(edges, "a", "b")
+
+    star = members.filter("doc_id != lead").select(F.col("lead").alias("a"), F.col("doc_id").alias("b")).distinct()
+    labels = linked(None, likely(star, sketches, p))
+    left = open_members(members.select("bucket", "doc_id"), labels)
+    labels = linked(labels, likely(chained(left, p), sketches, p))
+    left = open_members(left.select("bucket", "doc_id"), labels)
+    edges = confirm(sets, across(left, classes, p), p).union(labels.select("node", "component"))
 
-    tried = members.filter("doc_id != lead").select(F.col("lead").alias("a"), F.col("doc_id").alias("b")).distinct()
-    x, y = sketches.alias("x"), sketches.alias("y")
-    likely = tried.join(x, F.col("a") == F.col("x.doc_id")).join(y, F.col("b") == F.col("y.doc_id"))
-    links = confirm(docs, likely.filter(_near(p)).select("a", "b").distinct(), p)
-    first = materialize(components(links, "a", "b"), "components")
-
-    labelled = members.join(first, members.doc_id == first.node, "left").select(
-        "bucket", "doc_id", F.coalesce("component", "doc_id").alias("component")
-    )
-    open_buckets = labelled.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    open_buckets = open_buckets.filter("low < high").select("bucket")
-    open_members = labelled.join(open_buckets, "bucket", "left_semi").join(sketches, "doc_id")
-    open_members = materialize(open_members, "open")
-    x, y = open_members.alias("x"), open_members.alias("y")
-    across = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.component") < F.col("y.component")) & _near(p))
-    across = across.select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b"))
-    links = confirm(docs, across.distinct().join(tried, ["a", "b"], "left_anti"), p)
-
-    # between the components found so far, and from every row to the first of its class
-    label = first.select(F.col("node"), F.col("component"))
-    joined = (
-        links.join(label.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left")
-        .join(label.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left")
-        .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
-    )
     named = classes.select("digest", F.col("doc_id").alias("head"))
     copies = full.select("doc_id", "digest").join(named, "digest").filter("doc_id != head")
-    edges = (
-        first.select(F.col("node").alias("a"), F.col("component").alias("b"))
-        .union(joined)
-        .union(copies.select(F.col("doc_id").alias("a"), F.col("head").alias("b")))
-    )
-    final = materialize(components(edges, "a", "b"), "components")
+    final = components(edges.union(copies.select("doc_id", "head")), "a", "b")
     out = rows.select("doc_id", "n_shingles").join(final, rows.doc_id == final.node, "left")
     component = F.coalesce("component", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), (component == F.col("doc_id")).alias("kept"))
