@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sightline.session import materialize
+from sightline.session import discard, materialize
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -39,7 +39,8 @@ def components(edges: DataFrame, a: str, b: str, most_rounds: int = 60) -> DataF
             .union(centre.select("u", F.col("m").alias("v")))
             .distinct()
         )
-        edges = materialize(small, "edges")
+        edges, old = materialize(small, "edges"), edges
+        discard(old)
         after = _state(edges)
         if after == before:
             break

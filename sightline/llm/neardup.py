@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from sightline.llm.graph import components
 from sightline.llm.text import map_texts, split_words, with_long_id
-from sightline.session import materialize
+from sightline.session import discard, materialize
 
 
 @dataclass(frozen=True)
@@ -222,15 +222,17 @@ def near_components(docs: DataFrame, p: NearDup | None = None) -> DataFrame:
         return components(edges, "a", "b")
 
     star = members.filter("doc_id != lead").select(F.col("lead").alias("a"), F.col("doc_id").alias("b")).distinct()
-    labels = linked(None, likely(star, sketches, p))
+    labels = materialize(linked(None, likely(star, sketches, p)), "labels")
     left = open_members(members.select("bucket", "doc_id"), labels)
-    labels = linked(labels, likely(chained(left, p), sketches, p))
+    discard(members)
+    labels = materialize(linked(labels, likely(chained(left, p), sketches, p)), "labels")
     left = open_members(left.select("bucket", "doc_id"), labels)
     edges = confirm(sets, across(left, classes, p), p).union(labels.select("node", "component"))
 
     named = classes.select("digest", F.col("doc_id").alias("head"))
     copies = full.select("doc_id", "digest").join(named, "digest").filter("doc_id != head")
-    final = components(edges.union(copies.select("doc_id", "head")), "a", "b")
+    final = materialize(components(edges.union(copies.select("doc_id", "head")), "a", "b"), "components")
+    discard(classes, sets, left, labels)
     out = rows.select("doc_id", "n_shingles").join(final, rows.doc_id == final.node, "left")
     component = F.coalesce("component", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), (component == F.col("doc_id")).alias("kept"))

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sightline.session import materialize
+from sightline.session import discard, materialize
 
 
 @dataclass(frozen=True)
@@ -141,6 +141,7 @@ def shard_table(docs: DataFrame, p: Sharding | None = None) -> DataFrame:
     cuts, shards = fitted(rows, p)
     shard = F.element_at(F.array(*map(F.lit, shards)), F.col("range") + 1)
     placed = materialize(located(rows, cuts).withColumn("shard", shard), "placed")
+    discard(rows)
     counts = sorted(tuple(r) for r in placed.groupBy("shard", "range").agg(F.count(F.lit(1))).collect())
     starts, before = [0] * len(shards), {}
     for s, number, n in counts:  # one row for each range
