@@ -56,11 +56,11 @@ def changed_ids(*parts: tuple[DataFrame, str, str, Column]) -> DataFrame:
 def reread_held(all_rows: DataFrame, changed: Column, hold: DataFrame, on: str) -> DataFrame:
     """Changed rows together with parked ones, each once.
 
-    One pass over the table: a row is read when it changed or when its id is parked.
+    The change condition stands alone on its side, so it reaches the scan and skips files; the
+    parked rows that did not change come from a semi join with the hold set.
     """
-    marks = hold.select(on).distinct().withColumn("_held", F.lit(True))
-    hit = F.coalesce(changed, F.lit(False)) | F.col("_held").isNotNull()
-    return all_rows.join(marks, on, "left").filter(hit).drop("_held")
+    parked = all_rows.join(hold.select(on).distinct(), on, "left_semi").select(all_rows.columns)
+    return all_rows.filter(changed).unionByName(parked.filter(~F.coalesce(changed, F.lit(False))))
 
 
 # ---- marks on versions ---------------------------------------------------------------------

@@ -11,6 +11,7 @@ from sightline import constants as C
 from sightline.functions import text, times
 from sightline.operators.merge import absent_rows
 from sightline.operators.picks import latest_per_key
+from sightline.session import materialize
 
 # every leaf is read as text and cast safely afterwards; one parse per row
 _LANDED = """
@@ -131,4 +132,6 @@ def raw_occurrences(
     fresh = newest.filter(F.col("_row").isNotNull()).select("_row.*")
     if target is None:
         return fresh
+    # stored once: the merge reads it twice, and its JSON must not be parsed twice
+    fresh = materialize(fresh, "raw")
     return absent_rows(target, fresh, ["provider_occurrence_id", "capture_month"])

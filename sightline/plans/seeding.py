@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sightline.operators.ids import remap_ids
 from sightline.operators.merge import replace_scope, upsert
 from sightline.operators.picks import first_per_key
+from sightline.session import materialize
 
 NEW, UPDATE, ALL = "NEW", "UPDATE", "ALL"
 HASH = "creative_url_hash"
@@ -122,7 +123,8 @@ def seed_footprint(
     Single-row tables are upserted; the scope of multi-row tables is replaced, so rows removed
     at the source disappear. Values we know ourselves win over the source's.
     """
-    ids = id_map(anchors, own.staging, source.creative, source.dedupe_map)
+    # stored once: every dependent table is built from these four
+    ids = materialize(id_map(anchors, own.staging, source.creative, source.dedupe_map), "ids")
     external = ids.filter(~F.col("is_own"))
     own_scope = ids.select(F.col("own_id").alias("creative_id"))
 
@@ -133,8 +135,8 @@ def seed_footprint(
         external.select(F.col("own_id").alias("creative_id")),
         ["creative_id"],
     )
-
-    dedupe = _own_dedupe(own, source, ids, first_seen, media, now)
+    first_seen = materialize(first_seen, "first_seen")
+    dedupe = materialize(_own_dedupe(own, source, ids, first_seen, media, now), "dedupe")
     parents = dedupe.join(
         own_scope.select(F.col("creative_id").alias("child_creative_id")),
         "child_creative_id", "left_semi",
@@ -143,6 +145,7 @@ def seed_footprint(
     related = ids.filter("is_own").unionByName(
         ids.filter(~F.col("is_own")).join(parents, "own_id", "left_semi").select(ids.columns)
     )
+    related = materialize(related, "related")
 
     summary = own.summary
     if summary is not None:
