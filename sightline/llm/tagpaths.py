@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from html.parser import HTMLParser
 
 import numpy as np
@@ -45,6 +45,8 @@ MARKS = frozenset(
     "sponsored subscribe toolbar widget alert complementary contentinfo search".split()
 )
 HEADER_MARKS = frozenset(("header", "topbar"))
+#: fixed values: of these, the ones that a layout also gives to what surrounds the article
+LAYOUT = frozenset("sidebar widget search menu nav navbar navigation toolbar banner alert footer form modal".split())
 PUNCTUATION = re.compile(r"[.,;:!?…。，、！？]")
 
 
@@ -66,6 +68,7 @@ class Element:
     silent: bool = False
     marked: bool = False
     in_article: bool = False
+    layout: bool = False  # marked by nothing but words of the page's layout
 
 
 @dataclass
@@ -141,10 +144,16 @@ class Page(HTMLParser):
         above = self.elements[self.open[-1]]
         header = (tag == "header" or bool(marks & HEADER_MARKS)) and not above.in_article
         marked = tag not in ROOTS and (tag in FRAME or header or bool(marks & MARKS) or hidden)
+        layout = marked and tag not in FRAME and not hidden and not header and marks & MARKS <= LAYOUT
+        if tag in ("article", "main") and above.layout:  # "has-sidebar" around an article hides nothing
+            above = replace(above, marked=False)
         name = ".".join([tag, *sorted(marks)])
         within = above.in_article or tag in ("article", "main")
         self.elements.append(
-            Element(tag, f"{above.path}/{name}", self.open[-1], above.silent or tag in SILENT, above.marked or marked, within)
+            Element(
+                tag, f"{above.path}/{name}", self.open[-1], above.silent or tag in SILENT, above.marked or marked, within,
+                (layout or not marked) and (above.layout or not above.marked) and (marked or above.marked),
+            )
         )
         self.open.append(len(self.elements) - 1)
 

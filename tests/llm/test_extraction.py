@@ -29,6 +29,13 @@ def test_other_template():
     )
 
 
+def test_layout_words_around_an_article():
+    body = "<article><p>The text, as it is. And more, of it.</p></article>"
+    other = "<section id='comments'><article><p>I think, not so. At all, ever, my friend.</p></article></section>"
+    assert tagpaths.main_text(f"<div class='has-sidebar'>{body}{other}</div>", P) == "The text, as it is. And more, of it."
+    assert tagpaths.main_text(f"<nav>Menu, one. Two, three, four.{body}", P) == "The text, as it is. And more, of it."
+
+
 def test_odd_pages(spark):
     rows = [
         (1, "u", None), (2, "u", ""), (3, "u", "<nav>Menu</nav>"), (4, None, "plain words only"), (5, "u", "<p>cut off, here. <b"),
