@@ -171,4 +171,6 @@ def passing(docs: DataFrame, p: Quality | None = None) -> DataFrame:
     """The rows of ``docs`` that pass, with all their columns."""
     p = p or Quality()
     base = docs.select("text", "lang", F.struct(*docs.columns).alias("_row"))
-    return judged(base, references(base, p), p).filter("kept").select("_row.*")
+    rows = judged(base, references(base, p), p)
+    # not a filter: that would be pushed below, and each count in it written out once per use
+    return rows.select(F.inline(F.when(F.col("kept"), F.array("_row"))))
