@@ -66,8 +66,6 @@ def test_kept_rows(spark):
 
 
 def test_sketch_keeps_links_and_drops_others(spark):
-    from pyspark.sql import functions as F
-
     p, rng, rows = neardup.NearDup(), np.random.default_rng(0), []
     for n in (20, 150, 600, 3000):
         for kind, similar in (("link", 0.76), ("other", 0.55)):
