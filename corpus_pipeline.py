@@ -42,7 +42,9 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def sequence_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token sequences: where each lies in its block and in its sequence."""
     prepared(spark)
-    return packing.pack(docs, packing.Packing(public_tokenizers.path("word_bpe_49k.json")))
+    # workers of the stages before may still be alive beside this one, so it remembers less
+    p = packing.Packing(public_tokenizers.path("word_bpe_49k.json"), pieces=300_000)
+    return packing.pack(docs, p)
 
 
 STAGES = [

@@ -32,6 +32,7 @@ class Packing:
     windows: int = 64
     least_cut: int = 16
     fan_in: int = 256
+    pieces: int = 900_000  # that a worker's tokenizer remembers, about 250 bytes each
 
 
 @dataclass
@@ -126,7 +127,7 @@ def _first_level(docs: DataFrame, p: Packing) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, number = TaskContext.get().partitionId(), 0
-        packer, tokens = Packer(p), loaded(p.tokenizer, p.attached)
+        packer, tokens = Packer(p), loaded(p.tokenizer, p.attached, p.pieces)
         end = p.end_id.to_bytes(4, "little")
 
         def rows(more: list[tuple]) -> pa.RecordBatch:

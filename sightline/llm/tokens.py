@@ -125,10 +125,11 @@ class PieceTokenizer:
 _LOADED: dict[tuple, PieceTokenizer] = {}
 
 
-def loaded(path: str, attached: bool) -> PieceTokenizer:
+def loaded(path: str, attached: bool, most: int = 900_000) -> PieceTokenizer:
     """The worker's tokenizer of this file, with what it has learnt in earlier tasks."""
     if (path, attached) not in _LOADED:
         _LOADED[path, attached] = PieceTokenizer(path, attached)
+    _LOADED[path, attached].most = most
     return _LOADED[path, attached]
 
 
