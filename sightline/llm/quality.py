@@ -32,7 +32,11 @@ COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 @dataclass(frozen=True)
 class Quality:
-    """Limits. A text shorter than a guard is not compared, as its histogram says too little."""
+    """Limits. A text shorter than a guard is not compared, as its histogram says too little.
+
+    ``far_words`` must lie below the distance of a text without any common word, which a reference
+    with a fifth of common words puts at 0.31 to 0.33: a menu or a keyword list can be no farther.
+    """
 
     least_words: int = 10
     most_repeated: int = 20  # percent of the words
@@ -40,7 +44,7 @@ class Quality:
     guard_chars: int = 200
     guard_words: int = 60
     far_chars: float = 0.35
-    far_words: float = 0.45
+    far_words: float = 0.28
     languages: dict[str, str] = field(default_factory=lambda: COMMON_WORDS)
 
 

@@ -53,6 +53,25 @@ def test_divergent_documents_go_and_guards_hold(spark):
     assert kept[101] and kept[102] and kept[103]  # too short, and no reference
 
 
+def test_menus_and_texts_without_function_words_go(spark):
+    rows, bad = [], {}
+    for lang, listed in quality.COMMON_WORDS.items():
+        rng, common = random.Random(lang), listed.split()
+        for i in range(60):  # a fifth of the words are common ones
+            found = [rng.choice(common) if rng.random() < 0.2 else w for w in prose(f"{lang}{i}", 150).split()]
+            rows.append((len(rows), " ".join(found), lang))
+        other = [w for w in prose(f"{lang}x", 400).split() if w not in common]
+        bad |= {len(rows): "menu", len(rows) + 1: "no function words", len(rows) + 2: "one of them"}
+        rows += [(len(rows), " | ".join(other[:70]), lang), (len(rows) + 1, " ".join(other[:120]), lang)]
+        rows.append((len(rows), " ".join([*other[:119], common[0]]), lang))
+        rows.append((len(rows), " | ".join(other[:29]), lang))  # 57 words: under the guard
+    docs = table(spark, rows, "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r for r in quality.assess(docs).collect()}
+    for i, r in got.items():
+        assert not r["base_failed"] and r["char_distance"] <= quality.Quality().far_chars, i  # words alone decide
+        assert r["kept"] == (i not in bad), (i, bad.get(i), r["word_distance"])
+
+
 def test_columns_stay_and_empty_table(spark):
     docs = documents(spark, [prose(5, 50), None])
     out = quality.passing(docs)
