@@ -21,9 +21,10 @@ class NearDup:
 
     A pair at 0.75 shares no band with probability (1 - 0.75^5)^45 < 6e-6. The odd sketch folds one
     MinHash sample for each of ``bins`` parts of the hash range into ``bits`` parities. It only
-    drops a candidate whose estimate lies below ``floor``: a set with fewer shingles than bins is
-    sketched nearly whole, and for the largest sets the floor is four standard deviations under
-    0.75. ``parts`` splits a bucket where neighbours are compared.
+    drops a candidate whose estimate lies below ``floor``: for the largest sets the floor is four
+    standard deviations under 0.75. Where a side has ``small`` shingles or fewer, one bin that two
+    of them share may move the estimate under the floor, so sketches are not asked there. ``parts``
+    splits a bucket where neighbours are compared.
     """
 
     width: int = 5
@@ -33,6 +34,7 @@ class NearDup:
     bins: int = 1024
     bits: int = 2048
     floor: float = 0.67
+    small: int = 64
     parts: int = 64
     seed: int = 20240607
 
@@ -138,11 +140,17 @@ def _near(p: NearDup) -> Column:
     return sizes & (same >= (a + b - same - twice) * p.floor)
 
 
+def _open(p: NearDup) -> Column:
+    """A pair that only full sets may discard: sizes allow a link, and sketches too unless a side is small."""
+    few, many = F.least("x.n_shingles", "y.n_shingles"), F.greatest("x.n_shingles", "y.n_shingles")
+    return (few * 100 >= many * p.similar) & ((few <= p.small) | _near(p))
+
+
 def likely(pairs: DataFrame, sketches: DataFrame, p: NearDup) -> DataFrame:
     """The pairs ``(a, b)`` that sizes and sketches leave over."""
     x, y = sketches.alias("x"), sketches.alias("y")
     both = pairs.join(x, F.col("a") == F.col("x.doc_id")).join(y, F.col("b") == F.col("y.doc_id"))
-    return both.filter(_near(p)).select("a", "b").distinct()
+    return both.filter(_open(p)).select("a", "b").distinct()
 
 
 def confirm(sets: DataFrame, pairs: DataFrame, p: NearDup) -> DataFrame:
@@ -183,7 +191,7 @@ def across(members: DataFrame, classes: DataFrame, p: NearDup) -> DataFrame:
     members = materialize(members.join(sides, "doc_id"), "across")
     x, y = members.alias("x"), members.alias("y")
     first = F.array_min(F.array_intersect("x.bands", "y.bands")) == F.col("x.bucket")
-    both = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.component") < F.col("y.component")) & _near(p) & first)
+    both = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.component") < F.col("y.component")) & _open(p) & first)
     return both.select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b")).distinct()
 
 
@@ -194,8 +202,8 @@ def near_components(docs: DataFrame, p: NearDup | None = None) -> DataFrame:
     meet in bands, and a bucket is worked off in three steps, each only where the one before left
     several components: its members against its smallest, neighbours in a random order, and then
     every pair of different components. So a bucket full of copies costs a few comparisons each,
-    and no pair of a bucket is left undecided. Sketches discard hopeless pairs; a link counts only
-    when the full sets confirm it.
+    and every pair of a bucket is looked at. Sketches discard hopeless pairs of larger sets, small
+    ones go to the full sets at once; a link counts only when the full sets confirm it.
 
     A null or empty text has no shingles and is linked with nothing. Rows with one ``doc_id`` are
     one document that is linked by any of its texts; rows without one are linked with nothing. An

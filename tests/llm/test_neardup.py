@@ -80,6 +80,21 @@ def test_sketch_keeps_links_and_drops_others(spark):
     assert passed["link"] == 240 and passed["other"] < 12
 
 
+def test_links_of_small_sets_are_never_dropped(spark):
+    p, rng, sides, pairs = neardup.NearDup(), np.random.default_rng(5), [], []
+    for shared, union in ((3, 4), (6, 8), (9, 12), (4, 5), (5, 6), (7, 9), (54, 72)):
+        for _ in range(2000):
+            pool = rng.integers(0, 1 << 64, union, dtype=np.uint64)
+            middle = shared + (union - shared) // 2
+            for own in (np.sort(pool[:middle]), np.sort(np.concatenate([pool[:shared], pool[middle:]]))):
+                size, sketch = neardup.odd_sketch(own, p)
+                sides.append((len(sides), len(own), size, sketch.tolist()))
+            pairs.append((len(sides) - 2, len(sides) - 1))
+    sketches = spark.createDataFrame(sides, "doc_id long, n_shingles long, n_samples int, sketch array<long>")
+    found = neardup.likely(spark.createDataFrame(pairs, "a long, b long"), sketches, p)
+    assert found.count() == len(pairs)
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 50)] + [(7, 7), (None, 3)]
     df = spark.createDataFrame(edges, "a long, b long")
