@@ -2,8 +2,9 @@
 
 A page is read into blocks, each with the path of tags from the root. Text length and punctuation
 are summed per path and divided by the path's blocks, smoothed along the page, fused, and paths
-above a threshold of the page's own spread are content. The element that holds nearly all content
-is the article; every block in it that is not marked as something else belongs to the text.
+above a threshold of the page's own spread are content. The article or main element around nearly
+all content is the article, else the element around all of it; every block in it that is not marked
+as something else belongs to the text.
 """
 
 from __future__ import annotations
@@ -47,13 +48,17 @@ MARKS = frozenset(
 HEADER_MARKS = frozenset(("header", "topbar"))
 #: fixed values: of these, the ones that a layout also gives to what surrounds the article
 LAYOUT = frozenset("sidebar widget search menu nav navbar navigation toolbar banner alert footer form modal".split())
+#: fixed values: pieces of running text, never the whole of an article
+PIECES = frozenset(
+    "p h1 h2 h3 h4 h5 h6 hgroup ul ol li dl dt dd blockquote pre figure figcaption address summary table thead tbody tfoot tr".split()
+)
 PUNCTUATION = re.compile(r"[.,;:!?…。，、！？]")
 
 
 @dataclass(frozen=True)
 class TagPaths:
     """``kernel`` smooths along the page; ``spread`` scales the threshold; ``covered`` is the share
-    of content text that the article's element must hold."""
+    of content text that an article or main element must hold."""
 
     kernel: tuple[float, ...] = (0.25, 0.5, 0.25)
     spread: float = 0.5
@@ -180,6 +185,16 @@ def read_page(html: str) -> Page:
     return page
 
 
+def weights(page: Page, own: list[int]) -> np.ndarray:
+    """Per element the sum over the blocks in it; ``own`` has a number for each block."""
+    total = np.zeros(len(page.elements))
+    for b, n in zip(page.blocks, own, strict=True):
+        total[b.element] += n
+    for i in range(len(total) - 1, 0, -1):  # children come after their parents
+        total[page.elements[i].parent] += total[i]
+    return total
+
+
 def content_blocks(page: Page, p: TagPaths) -> np.ndarray:
     """Which blocks stand on a path above the page's threshold."""
     length, points, number = defaultdict(float), defaultdict(float), defaultdict(int)
@@ -216,22 +231,19 @@ def main_text(html: str | None, p: TagPaths) -> str:
     chosen = content_blocks(page, p)
     if not chosen.any():  # no punctuation or length anywhere: whatever is not marked
         chosen = np.array([not b.marked for b in page.blocks])
-    mass = np.zeros(len(page.elements))
-    for b, yes in zip(page.blocks, chosen, strict=True):
-        at = b.element if yes else -1
-        while at >= 0:
-            mass[at] += len(b.text)
-            at = page.elements[at].parent
+    mass = weights(page, [len(b.text) * int(yes) for b, yes in zip(page.blocks, chosen, strict=True)])
     if not mass[0]:
         return ""
     # the last element that holds enough is the innermost: children come after their parents
-    best = int(np.flatnonzero(mass >= p.covered * mass[0])[-1])
-    at = best
-    while at > 0:  # an article or main element around it is the better frame
-        if page.elements[at].tag in ("article", "main"):
-            best = at
-            break
+    at = int(np.flatnonzero(mass >= p.covered * mass[0])[-1])
+    while at > 0 and page.elements[at].tag not in ("article", "main"):
         at = page.elements[at].parent
+    best = at
+    if not best:  # no such frame: the innermost element around all content that is not a mere piece of it
+        best = int(np.flatnonzero(mass == mass[0])[-1])
+        holds = {e.parent for e in page.elements}
+        while best > 0 and (page.elements[best].tag in PIECES or best not in holds):
+            best = page.elements[best].parent
     inside = {best}
     for i in range(best + 1, len(page.elements)):
         if page.elements[i].parent in inside:

@@ -36,6 +36,22 @@ def test_layout_words_around_an_article():
     assert tagpaths.main_text(f"<nav>Menu, one. Two, three, four.{body}", P) == "The text, as it is. And more, of it."
 
 
+LONG = "One long paragraph, with points. " * 20
+
+
+def test_no_article_element_keeps_all_content():
+    def read(body):
+        return tagpaths.main_text(f"<html><body><nav>Home, now.</nav>{body}<footer>(c) x</footer></body></html>", P)
+
+    long = LONG.strip()
+    assert read(f"<div id=content><h1>Title</h1><p>{LONG}</p><p>short one</p></div>") == f"Title {long} short one"
+    assert read(f"<div id=content><h1>Title</h1><p>{LONG}</p></div>") == f"Title {long}"
+    assert read(f"<div id=content><h1>Title</h1><div class=text>{LONG}</div></div>") == f"Title {long}"
+    small = "The rest, as it is. And more, of it. " * 4
+    both = f"<section class=one><p>{LONG}</p></section><section class=two><p>{small}</p></section>"
+    assert read(f"<div id=content>{both}</div>") == f"{long} {small.strip()}"
+
+
 def test_odd_pages(spark):
     rows = [
         (1, "u", None), (2, "u", ""), (3, "u", "<nav>Menu</nav>"), (4, None, "plain words only"), (5, "u", "<p>cut off, here. <b"),
