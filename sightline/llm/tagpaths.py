@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
 import numpy as np
@@ -48,6 +48,8 @@ MARKS = frozenset(
 HEADER_MARKS = frozenset(("header", "topbar"))
 #: fixed values: of these, the ones that a layout also gives to what surrounds the article
 LAYOUT = frozenset("sidebar widget search menu nav navbar navigation toolbar banner alert footer form modal".split())
+#: fixed values: what may stand in a head; anything else starts the body
+HEAD = frozenset("html head base basefont bgsound link meta noframes noscript script style template title".split())
 #: fixed values: pieces of running text, never the whole of an article
 PIECES = frozenset(
     "p h1 h2 h3 h4 h5 h6 hgroup ul ol li dl dt dd blockquote pre figure figcaption address summary table thead tbody tfoot tr".split()
@@ -74,6 +76,16 @@ class Element:
     marked: bool = False
     in_article: bool = False
     layout: bool = False  # marked by nothing but words of the page's layout
+    own: bool = False  # itself marked, by words of the page's layout alone if ``own_layout``
+    own_layout: bool = False
+    firm: bool = False  # marked by a tag or hidden, or in such an element: not by words alone
+
+    def inherit(self, above: Element) -> None:
+        """Marks from its own and those of the element above."""
+        # "has-sidebar" around an article hides nothing
+        around = above.marked and not (self.tag in ("article", "main") and above.layout)
+        self.marked = around or self.own
+        self.layout = (self.own_layout or not self.own) and (above.layout or not around) and self.marked
 
 
 @dataclass
@@ -128,7 +140,16 @@ class Page(HTMLParser):
             if tag in fence:
                 return
 
+    def _start_body(self) -> None:
+        """Close a head that was left open."""
+        if self.elements[self.open[-1]].tag == "head":
+            self._pop({"head"})
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
+        if tag == "body":
+            self._pop({"head"})
+        elif tag not in HEAD:
+            self._start_body()
         if tag in VOID:
             if tag == "hr":
                 self.flush()
@@ -150,16 +171,14 @@ class Page(HTMLParser):
         header = (tag == "header" or bool(marks & HEADER_MARKS)) and not above.in_article
         marked = tag not in ROOTS and (tag in FRAME or header or bool(marks & MARKS) or hidden)
         layout = marked and tag not in FRAME and not hidden and not header and marks & MARKS <= LAYOUT
-        if tag in ("article", "main") and above.layout:  # "has-sidebar" around an article hides nothing
-            above = replace(above, marked=False)
         name = ".".join([tag, *sorted(marks)])
         within = above.in_article or tag in ("article", "main")
-        self.elements.append(
-            Element(
-                tag, f"{above.path}/{name}", self.open[-1], above.silent or tag in SILENT, above.marked or marked, within,
-                (layout or not marked) and (above.layout or not above.marked) and (marked or above.marked),
-            )
-        )
+        firm = above.firm or tag in FRAME or header or hidden
+        own = Element(
+            tag, f"{above.path}/{name}", self.open[-1], above.silent or tag in SILENT, in_article=within, own=marked, own_layout=layout, firm=firm,
+        )
+        own.inherit(above)
+        self.elements.append(own)
         self.open.append(len(self.elements) - 1)
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
@@ -172,6 +191,8 @@ class Page(HTMLParser):
             self._pop({tag})
 
     def handle_data(self, data: str) -> None:
+        if not data.isspace():
+            self._start_body()
         self.parts.append(data)
         if self.links:
             self.linked += len(data.strip())
@@ -182,6 +203,7 @@ def read_page(html: str) -> Page:
     page.feed(html)
     page.close()
     page.flush()
+    release(page)
     return page
 
 
@@ -195,6 +217,29 @@ def weights(page: Page, own: list[int]) -> np.ndarray:
     return total
 
 
+def release(page: Page) -> None:
+    """Take back marks by words alone from what holds nearly all of the page's text.
+
+    Such an element holds over half of the text outside firm marks, and nine times what is not
+    marked at all. A page with unmarked text in an article or main element keeps all marks.
+    """
+    every = page.elements
+    if not any(e.own and not e.firm for e in every):
+        return
+    mass = weights(page, [0 if every[b.element].firm else len(b.text) for b in page.blocks])
+    free = sum(len(b.text) for b in page.blocks if not b.marked)
+    if any(every[b.element].in_article and not b.marked for b in page.blocks):
+        return
+    for i, e in enumerate(every):  # from the outside in
+        if e.own and not e.firm and 2 * mass[i] > mass[0] and 9 * free <= mass[i]:
+            e.own = e.own_layout = False
+            for x in every[1:]:
+                x.inherit(every[x.parent])
+            for b in page.blocks:
+                b.marked = every[b.element].marked
+            free = sum(len(b.text) for b in page.blocks if not b.marked)
+
+
 def content_blocks(page: Page, p: TagPaths) -> np.ndarray:
     """Which blocks stand on a path above the page's threshold."""
     length, points, number = defaultdict(float), defaultdict(float), defaultdict(int)

@@ -52,6 +52,24 @@ def test_no_article_element_keeps_all_content():
     assert read(f"<div id=content>{both}</div>") == f"{long} {small.strip()}"
 
 
+def test_head_left_open():
+    for body in (f"<body><p>{LONG}</p></body>", f"<p>{LONG}</p>", f"<b>{LONG}</b>", LONG):
+        page = f"<html><head><meta charset=x><title>T</title><script>x()</script><style>p {{}}</style>{body}</html>"
+        assert tagpaths.main_text(page, P) == LONG.strip(), body[:9]
+
+
+def test_marked_wrapper_of_the_whole_page():
+    side = "<div class=sidebar><p>Side, bar, text. Yes.</p></div><section id=comments><p>I think, not so. At all.</p></section>"
+    for words in ("has-sidebar", "social-science", "search-engines", "related", "notice reply share"):
+        for inner in ("", "search-engines"):
+            page = f"<nav>Home, now.</nav><div id=page class='{words}'><div class='{inner}'><h1>T</h1><p>{LONG}</p></div>{side}</div>"
+            assert tagpaths.main_text(page, P) == f"T {LONG.strip()}", (words, inner)
+    page = f"<div id=content><p>{LONG}</p></div><div class=comments><p>{LONG}</p></div>"
+    assert tagpaths.main_text(page, P) == LONG.strip()
+    page = f"<article>short</article><div class=comments><p>{LONG}</p></div>"
+    assert tagpaths.main_text(page, P) == "short"
+
+
 def test_odd_pages(spark):
     rows = [
         (1, "u", None), (2, "u", ""), (3, "u", "<nav>Menu</nav>"), (4, None, "plain words only"), (5, "u", "<p>cut off, here. <b"),
