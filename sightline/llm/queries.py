@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sightline.llm import mixing, neardup, oracles, packing, permutation, pii, quality, sharding, tagpaths, toxicity, wavelet
+from sightline.llm import mixing, neardup, oracles, packing, permutation, pii, quality, secretscan, sharding, tagpaths, toxicity, wavelet
 from sightline.llm.text import table
 from sightline.session import new_scratch
 
@@ -76,3 +76,8 @@ def op9_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_table(table(spark, folder, "documents"))
+
+
+@query
+def op11_secret_structures(spark: SparkSession, folder: str) -> DataFrame:
+    return secretscan.digest(table(spark, folder, "documents"))
