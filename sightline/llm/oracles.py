@@ -76,3 +76,26 @@ roots AS (SELECT node, min(root) AS root FROM reach GROUP BY node)
 SELECT w.doc_id, CAST(COALESCE(n.n, 0) AS BIGINT) AS n_shingles, root AS component_id, root = w.doc_id AS kept
 FROM w JOIN roots ON node = w.doc_id LEFT JOIN n ON n.doc_id = w.doc_id
 """
+
+DIVERGENCE = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, COALESCE(lang, '') AS lang, COALESCE(source, '') AS source,
+    translate(COALESCE(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}') AS t FROM documents),
+w AS (SELECT rid, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS n FROM w GROUP BY ALL HAVING count(DISTINCT rid) >= 30),
+g AS (SELECT DISTINCT lang, source FROM d),
+v AS (SELECT lang, count(*) AS v, CAST(sum(n) AS BIGINT) AS total FROM kept GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS n FROM w SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+every AS (SELECT g.lang, g.source, k.term, k.n AS lang_n, COALESCE(c.n, 0) AS n FROM g JOIN kept k ON k.lang = g.lang
+  LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+p AS (SELECT lang, source, term, n, 1 + 1000000000 * (n + 5) // (CAST(sum(n) OVER (PARTITION BY lang, source) AS BIGINT) + 5 * v) AS p,
+    1 + 1000000000 * (lang_n + 5) // (total + 5 * v) AS q FROM every JOIN v USING (lang)),
+sums AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM p a
+  JOIN p b ON b.lang = a.lang AND b.term = a.term AND b.source <> a.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(COALESCE(s.value, 0) AS BIGINT) AS value
+  FROM g a JOIN g b ON b.lang = a.lang AND b.source <> a.source
+  LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+over_used AS (SELECT lang, source, 'term' AS part, term AS item, CAST(p - q AS BIGINT) AS value FROM p WHERE n > 0 AND p > q),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+  FROM (FROM pairs UNION ALL FROM over_used))
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 50
+"""

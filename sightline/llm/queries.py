@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sightline.llm import mixing, neardup, oracles, packing, permutation, pii, quality, secretscan, sharding, tagpaths, toxicity, wavelet
+from sightline.llm import divergence, mixing, neardup, oracles, packing, permutation, pii, quality, secretscan, sharding, tagpaths, toxicity, wavelet
 from sightline.llm.text import table
 from sightline.session import new_scratch
 
@@ -16,6 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {
     "op1_quality_divergence": oracles.QUALITY,
     "op9_near_duplicates": oracles.NEAR_DUPLICATES,
+    "op12_source_divergence": oracles.DIVERGENCE,
 }
 
 
@@ -81,3 +82,8 @@ def op10_source_mix(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op11_secret_structures(spark: SparkSession, folder: str) -> DataFrame:
     return secretscan.digest(table(spark, folder, "documents"))
+
+
+@query
+def op12_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(table(spark, folder, "documents"))
