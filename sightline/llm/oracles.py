@@ -99,3 +99,33 @@ ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORD
   FROM (FROM pairs UNION ALL FROM over_used))
 SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 50
 """
+
+#: the CRC-32 of a number's decimal digits: each byte is mixed in and then shifted out bit by bit
+_CRC32 = """xor(list_reduce(list_concat([4294967295], flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+  lambda c: [CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+  lambda a, b: CASE WHEN b >= 0 THEN xor(a, b) ELSE xor(a >> 1, 3988292384 * (a & 1)) END), 4294967295)"""
+
+PREFIX_TRIE = rf"""
+WITH t AS (SELECT conv_id, {{'role': COALESCE(role, ''), 'text': COALESCE(text, '')}} AS said,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, COALESCE(role, ''), COALESCE(text, '')) AS place
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, list(said ORDER BY place) AS own FROM t GROUP BY conv_id),
+h AS (SELECT *, {_CRC32} % 9 AS h FROM c),
+r AS (SELECT h.conv_id, list_concat(COALESCE(b.own, [])[1 : h.h], h.own[h.h + 1 :]) AS path
+  FROM h LEFT JOIN c b ON b.conv_id = h.conv_id - h.conv_id % 5),
+p AS (SELECT conv_id, depth, path[1 : depth] AS name, len(path) = depth AS ends
+  FROM r, unnest(range(0, len(path) + 1)) AS u(depth)),
+n AS (SELECT depth, name, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(COALESCE(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM p GROUP BY ALL),
+up AS (SELECT a.depth, a.name, b.conv_id AS parent_conv_id FROM n a JOIN n b ON b.depth = a.depth - 1 AND b.name = a.name[1 : a.depth - 1]),
+kids AS (SELECT depth - 1 AS depth, name[1 : depth - 1] AS name, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY ALL),
+own AS (SELECT n.*, COALESCE(n_children, 0) AS n_children,
+    CASE WHEN n.depth > 0 THEN (n_convs - 1) * octet_length(encode(n.name[-1].text)) ELSE 0 END AS saved
+  FROM n LEFT JOIN kids ON kids.depth = n.depth AND kids.name = n.name),
+below AS (SELECT d.depth, o.name[1 : d.depth] AS name, sum(CAST(o.n_children = 0 AS INTEGER)) AS n_leaves, sum(o.saved) AS saved
+  FROM own o, unnest(range(0, o.depth + 1)) AS d(depth) GROUP BY ALL)
+SELECT o.conv_id, o.depth, up.parent_conv_id, o.n_convs, CAST(o.n_children AS BIGINT) AS n_children,
+  CAST(n_leaves AS BIGINT) AS n_leaves, CAST(below.saved AS BIGINT) AS saved_tokens, o.ends_sha256
+FROM own o JOIN below ON below.depth = o.depth AND below.name = o.name LEFT JOIN up ON up.depth = o.depth AND up.name = o.name
+"""

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sightline.llm import divergence, mixing, neardup, oracles, packing, permutation, pii, quality, secretscan, sharding, tagpaths, toxicity, wavelet
+from sightline.llm import divergence, mixing, neardup, oracles, packing, permutation, pii, prefixtrie, quality, secretscan, sharding, tagpaths, toxicity, wavelet
 from sightline.llm.text import table
 from sightline.session import new_scratch
 
@@ -17,6 +17,7 @@ ORACLES: dict[str, str] = {
     "op1_quality_divergence": oracles.QUALITY,
     "op9_near_duplicates": oracles.NEAR_DUPLICATES,
     "op12_source_divergence": oracles.DIVERGENCE,
+    "op13_prefix_trie": oracles.PREFIX_TRIE,
 }
 
 
@@ -87,3 +88,8 @@ def op11_secret_structures(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op12_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.audit(table(spark, folder, "documents"))
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefixtrie.prefix_trie(table(spark, folder, "conversations"))
