@@ -11,7 +11,7 @@ from sightline.functions.keys import url_fingerprint
 from sightline.operators.collect import run_summary
 from sightline.session import new_scratch
 from sightline.sources import landing, refresh
-from sightline.sources.tables import TableStore, sorted_by_month
+from sightline.sources.tables import Tables, sorted_by_month
 from sightline.streaming import flows
 
 NOW = dt.datetime(2024, 2, 1)
@@ -25,8 +25,8 @@ def landed_folder(t, rows, files: int) -> str:
     return path
 
 
-def store(t) -> TableStore:
-    return TableStore(t.spark, new_scratch(t.spark, "tables"))
+def store(t) -> Tables:
+    return Tables(t.spark, new_scratch(t.spark, "tables"))
 
 
 @query("land_json_lines", "SELECT json_data AS value FROM landed")
@@ -126,20 +126,20 @@ FROM landed
 def _(t):
     early = F.col("_version") <= 15
     folder = landed_folder(t, t.landed.filter(early), 2)
-    tables, mark = store(t), new_scratch(t.spark, "mark")
+    out, mark = new_scratch(t.spark, "staging"), new_scratch(t.spark, "mark")
     # processed files are moved aside after the next batch is committed
     archive = new_scratch(t.spark, "archive")
 
     def run() -> None:
         files = flows.landed_files(t.spark, folder, archive=archive)
-        flows.run_available(files, mark, flows.land_batches(tables, "staging", NOW))
+        flows.run_available(files, mark, flows.land_batches(out, NOW))
 
     run()
     late = t.landed.filter(~early).select(F.col("json_data").alias("value"))
     late.write.mode("append").option("compression", "bzip2").text(folder)
     run()
     run()  # nothing new
-    staged = tables.read("staging")
+    staged = t.spark.read.parquet(out)
     per_file = staged.groupBy("blob_name").agg(
         (F.max("record_index") + 1 == F.countDistinct("record_index")).alias("gapless")
     )
@@ -148,19 +148,16 @@ def _(t):
     )
 
 
-@query("bounded_append", "SELECT COUNT(*) AS n_rows, 3 AS n_batches, TRUE AS bounded FROM landed")
+@query("bounded_append", "SELECT json_data, 3 AS n_batches, TRUE AS bounded FROM landed")
 def _(t):
-    folder = landed_folder(t, t.landed, 6)
-    tables = store(t)
+    folder, out = landed_folder(t, t.landed, 6), new_scratch(t.spark, "staging")
     files = flows.landed_files(t.spark, folder, max_files=2)
-    flows.run_available(files, new_scratch(t.spark, "mark"), flows.land_batches(tables, "staging", NOW))
-    per_batch = tables.read("staging").groupBy("version").agg(
-        F.count(F.lit(1)).alias("n"), F.countDistinct("blob_name").alias("files")
-    )
-    return per_batch.agg(
-        F.sum("n").alias("n_rows"),
-        F.count(F.lit(1)).cast("int").alias("n_batches"),
-        (F.max("files") <= 2).alias("bounded"),
+    flows.run_available(files, new_scratch(t.spark, "mark"), flows.land_batches(out, NOW))
+    rows = t.spark.read.parquet(out)
+    batches = rows.groupBy("version").agg(F.countDistinct("blob_name").alias("files"))
+    n_batches, most = F.count(F.lit(1)).cast("int"), F.max("files")
+    return rows.select(
+        "json_data", batches.agg(n_batches).scalar().alias("n_batches"), (batches.agg(most).scalar() <= 2).alias("bounded")
     )
 
 
@@ -168,9 +165,9 @@ def _(t):
 def _(t):
     tables = store(t)
     source = t.part.select("p_partkey", "p_name", "p_size")
-    refresh.refresh_table(tables, "part", source.filter("p_size <= 25"), NOW)
-    refresh.refresh_table(tables, "part", source, NOW)
-    return tables.read("part").drop("version")
+    refresh.refresh_table(tables, "part", source.filter("p_size <= 25"), 1)
+    refresh.refresh_table(tables, "part", source, 2)
+    return tables.replaced("part")
 
 
 @query(
@@ -207,9 +204,9 @@ UNION ALL SELECT 'supplier', COUNT(*) FROM supplier
 def _(t):
     tables = store(t)
     sources = {"customer": t.customer, "nation": t.nation, "supplier": t.supplier, "part": t.part}
-    done = refresh.refresh_many(tables, sources, NOW, ["customer", "nation", "supplier"])
+    done = refresh.refresh_many(tables, sources, 1, ["customer", "nation", "supplier"])
     parts = [
-        tables.read(name).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n")
+        tables.replaced(name).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n")
         for name in done
     ]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
@@ -239,10 +236,10 @@ def _(t):
     rows = t.orders.select(
         (F.year("o_orderdate") * 100 + F.month("o_orderdate")).alias("month"), "o_orderkey"
     )
-    for status in ("month < 199800", "month >= 199800"):
+    for version, status in enumerate(("month < 199800", "month >= 199800")):
         batch = sorted_by_month(rows.filter(status), "month", "o_orderkey")
-        tables.commit("orders", batch, now=NOW, partition_by=["month"])
-    return tables.read("orders").groupBy("month").agg(
+        tables.write("orders", batch, version, partition_by=["month"])
+    return tables.appended("orders").groupBy("month").agg(
         F.count(F.lit(1)).alias("n"), F.min("o_orderkey").alias("first_key")
     )
 
@@ -257,11 +254,11 @@ UNION ALL SELECT 'changes', event_id FROM events WHERE day(ts) > 10
 def _(t):
     tables = store(t)
     day = F.dayofmonth("ts")
-    for low, high in ((0, 10), (10, 20), (20, 31)):
+    for version, low, high in ((1, 0, 10), (2, 10, 20), (3, 20, 31)):
         batch = t.events.filter((day > low) & (day <= high)).select("event_id")
-        tables.commit("events", batch, now=NOW)
-    pinned = tables.read("events", as_of=2).select(F.lit("as of").alias("kind"), "event_id")
-    changes = tables.changes("events", 1, 3).select(F.lit("changes").alias("kind"), "event_id")
+        tables.write("events", batch, version)
+    pinned = tables.appended("events", upto=2).select(F.lit("as of").alias("kind"), "event_id")
+    changes = tables.appended("events", after=1, upto=3).select(F.lit("changes").alias("kind"), "event_id")
     return pinned.unionByName(changes)
 
 

@@ -6,25 +6,22 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from catalog.projections import HOLD_NOW, HOLD_SQL, hold_columns, hold_reason_of
 from catalog.registry import query
+from sightline.constants import NO_END
+from sightline.functions import rules
+from sightline.operators.buckets import BucketedState
 from sightline.session import new_scratch
-from sightline.sources.tables import TableStore
-from sightline.streaming import flows
+from sightline.streaming import flows, stateful
 
-NOW = dt.datetime(2024, 2, 1)
 
-
-def feed(t, rows, run) -> None:
-    """Append rows to a folder week by week and run the consumer after each week."""
+def feed(t, rows, run, session=None, backwards: bool = False) -> None:
+    """Append rows to a folder part by part and run the consumer after each."""
     path = new_scratch(t.spark, "stream")
-    week = F.floor((F.dayofmonth("ts") - 1) / 10)
-    for number in range(4):
-        rows.filter(week == number).write.mode("append").parquet(path)
-        run(flows.file_stream(t.spark, path, rows.schema))
-
-
-def store(t) -> TableStore:
-    return TableStore(t.spark, new_scratch(t.spark, "tables"))
+    part = F.floor((F.dayofmonth("ts") - 1) / 10)
+    for number in reversed(range(4)) if backwards else range(4):
+        rows.filter(part == number).write.mode("append").parquet(path)
+        run(flows.file_stream(session or t.spark, path, rows.schema))
 
 
 def mark(t) -> str:
@@ -77,12 +74,11 @@ SELECT event_id, user_id, event_type FROM (SELECT *, row_number() OVER (PARTITIO
 """,
 )
 def _(t):
-    tables = store(t)
     rows = t.deliveries.select("event_id", "ts", "user_id", "event_type")
-    handle = flows.append_once(tables, "events", ["event_id"], NOW, [F.asc("ts")])
-    position = mark(t)
+    out, position = new_scratch(t.spark, "events"), mark(t)
+    handle = flows.append_once(out, ["event_id"], [F.asc("ts")])
     feed(t, rows, lambda stream: flows.run_available(stream, position, handle))
-    return tables.read("events").select("event_id", "user_id", "event_type")
+    return flows.rows_so_far(t.spark, out, rows.schema).select("event_id", "user_id", "event_type")
 
 
 @query(
@@ -92,11 +88,13 @@ def _(t):
 def _(t):
     # a purchase is delivered again after one hour, inside the delay
     rows = t.deliveries.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type")
-    tables, position = store(t), mark(t)
-    handle = flows.once_within(tables, "events", "late", ["event_id"], "ts", dt.timedelta(days=2), NOW)
+    out, late, position = new_scratch(t.spark, "events"), new_scratch(t.spark, "late"), mark(t)
+    handle = flows.once_within(out, late, ["event_id"], "ts", dt.timedelta(days=2))
     feed(t, rows, lambda stream: flows.run_available(stream, position, handle))
-    columns = ["event_id", "user_id", "event_type"]
-    parts = [tables.read(n).select(*columns, F.lit(n == "late").alias("is_late")) for n in ("events", "late")]
+    parts = [
+        flows.rows_so_far(t.spark, path, rows.schema).select("event_id", "user_id", "event_type", F.lit(path == late).alias("is_late"))
+        for path in (out, late)
+    ]
     return parts[0].unionByName(parts[1])
 
 
@@ -115,13 +113,13 @@ def _(t):
         # a batch may come late: only a newer event replaces the stored one
         return merge(state, newest, ["user_id"], when=lambda t, s: t("ts") < s("ts"))
 
-    tables = store(t)
     rows = t.events.select(
         "user_id", F.col("event_id").alias("last_event"), F.col("ts").cast("timestamp").alias("ts")
     )
-    handle, position = flows.merge_batches(tables, "users", step, lambda b: b, NOW), mark(t)
+    state = BucketedState(t.spark, new_scratch(t.spark, "users"), ["user_id"], "user_id long, last_event long, ts timestamp", 16)
+    handle, position = flows.merge_batches(state, step), mark(t)
     feed(t, rows, lambda stream: flows.run_available(stream, position, handle))
-    return tables.read("users").drop("version")
+    return state.read()
 
 
 LATE = """
@@ -132,23 +130,25 @@ UNION ALL SELECT 'wait', event_id FROM events WHERE user_id NOT IN (SELECT c_cus
 
 @query("stream_late_dimension", LATE.replace("customer)", "customer WHERE c_acctbal > 0)"))
 def _(t):
-    tables = store(t)
-    known = t.customer.filter("c_acctbal > 0").select(
-        F.col("c_custkey").alias("user_id"), "c_nationkey"
-    )
-
-    def dimension(batch_id: int):
-        # half of the dimension arrives with the last batches
-        return known if batch_id >= 2 else known.filter("c_nationkey < 12")
-
+    # two streams: half of the dimension arrives before the last events, half after them
+    session = flows.state_session(t.spark)
+    known = t.customer.filter("c_acctbal > 0").select(F.col("c_custkey").alias("user_id"), "c_nationkey")
     rows = t.events.select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"))
-    handle = flows.wait_for_dimension(
-        tables, "events", "waiting", dimension, "user_id", ["event_id"], NOW
-    )
-    position = mark(t)
-    feed(t, rows, lambda stream: flows.run_available(stream, position, handle))
-    out = tables.read("events").select(F.lit("out").alias("kind"), "event_id")
-    return out.unionByName(tables.read("waiting").select(F.lit("wait").alias("kind"), "event_id"))
+    events, dimension, out, position = (new_scratch(t.spark, x) for x in ("events", "dimension", "out", "mark"))
+    day, early = F.dayofmonth("ts"), F.col("c_nationkey") < 12
+    known.limit(0).write.parquet(dimension)
+    for new_rows, new_known in ((day <= 10, None), (day.between(11, 20), early), (day > 20, None), (None, ~early)):
+        if new_rows is not None:
+            rows.filter(new_rows).write.mode("append").parquet(events)
+        if new_known is not None:
+            known.filter(new_known).write.mode("append").parquet(dimension)
+        stream = stateful.wait_for_dimension(
+            flows.file_stream(session, events, rows.schema), flows.file_stream(session, dimension, known.schema), "user_id", ["event_id"]
+        )
+        flows.copy_available(stream, position, out)
+    done = t.spark.read.parquet(out).select("kind", "event_id")
+    waiting = stateful.waiting_events(session, position, rows)
+    return done.unionByName(waiting.select(F.lit("wait").alias("kind"), "event_id"))
 
 
 @query(
@@ -158,24 +158,18 @@ SELECT user_id, event_type, COUNT(*) AS n, MIN(ts) AS first_run, MAX(ts) AS last
 """,
 )
 def _(t):
-    tables = store(t)
-    ts = F.col("ts").cast("timestamp")
-    rows = t.events.select("user_id", "event_type", ts.alias("ts"))
+    session = flows.state_session(t.spark)
+    rows = t.events.select("user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
     key = ["user_id", "event_type"]
-    delta = ["n", "first_run", "last_run"]
-    base = flows.running_summary(key, add=["n"], low=["first_run"], high=["last_run"])
 
-    def counted(batch):
-        return batch.groupBy(*key).agg(
+    def counted(stream):
+        return stream.groupBy(*key).agg(
             F.count(F.lit(1)).alias("n"), F.min("ts").alias("first_run"), F.max("ts").alias("last_run")
         )
 
-    handle = flows.merge_batches(
-        tables, "summary", lambda state, batch: base(state, counted(batch)), counted, NOW
-    )
-    position = mark(t)
-    feed(t, rows, lambda stream: flows.run_available(stream, position, handle))
-    return tables.read("summary").select(*key, *delta)
+    out, position = new_scratch(t.spark, "summary"), mark(t)
+    feed(t, rows, lambda stream: flows.run_available(counted(stream), position, flows.changed_rows(out), "update"), session)
+    return flows.newest_rows(t.spark, out, counted(rows).schema, key)
 
 
 @query(
@@ -187,20 +181,49 @@ FROM events e JOIN f ON f.user_id = e.user_id GROUP BY ALL
 """,
 )
 def _(t):
-    tables = store(t)
+    session = flows.state_session(t.spark)
     rows = t.events.select("user_id", F.col("ts").cast("timestamp").alias("ts"))
-    step = flows.first_days_summary(["user_id"], day="day", days=7)
+    key = ["user_id"]
+    # the last weeks arrive first
+    out, position, seen = new_scratch(t.spark, "days"), mark(t), []
 
-    def like(batch):
-        return batch.select(
-            "user_id", F.lit(0).cast("bigint").alias("n"), F.col("day").alias("first_day"),
-            F.lit(0).cast("bigint").alias("early"),
-        )
+    def run(stream):
+        parts = stateful.first_days(stream, key, "ts", days=7)
+        seen.append(parts.schema)
+        flows.run_available(parts, position, flows.changed_rows(out), "update")
 
-    handle, position = flows.merge_batches(tables, "days", step, like, NOW), mark(t)
+    feed(t, rows, run, session, backwards=True)
+    parts = flows.newest_rows(t.spark, out, seen[0], [*key, "_salt"])
+    return stateful.first_days_of(parts, key)
 
-    def run(stream):
-        flows.run_available(stream.withColumn("day", F.to_date("ts")), position, handle)
 
-    feed(t, rows, run)
-    return tables.read("days").drop("version")
+@query(
+    "stream_hold_timeout",
+    HOLD_SQL.replace("SELECT o_orderkey, reason, reason IN", "SELECT o_orderkey, CASE WHEN reason IN")
+    .replace(" AS hold FROM (", """ THEN CASE WHEN reason = 'not yet asked' AND o_orderdate + INTERVAL 48 HOUR
+  <= TIMESTAMP '1998-02-01 00:00:00' THEN 'timer' ELSE 'held' END ELSE 'at once' END AS released FROM (""")
+    .replace("SELECT o_orderkey, CASE WHEN o_orderdate <", "SELECT o_orderkey, o_orderdate, CASE WHEN o_orderdate <"),
+)
+def _(t):
+    # a month after the rules' time is over in some seconds; no row changes after the first run
+    session = flows.state_session(t.spark)
+    columns, reason = hold_columns(), F.col("reason")
+    rows = t.orders.select("o_orderkey", hold_reason_of(columns).alias("reason"), F.col("o_orderdate").cast("timestamp").alias("classified"))
+    end = rules.hold_end(reason, columns | {"classified_ts": F.col("classified"), "ai_sent_ts": F.lit(NO_END).cast("timestamp")})
+    path, out, position = new_scratch(t.spark, "rows"), new_scratch(t.spark, "out"), mark(t)
+    rows.write.parquet(path)
+    soon = dt.datetime.now(dt.timezone.utc) + dt.timedelta(seconds=6)
+    until = F.when(end <= F.lit(HOLD_NOW + dt.timedelta(days=31)), F.lit(soon)).when(end.isNotNull(), F.lit(NO_END).cast("timestamp"))
+
+    def run(at):
+        stream = flows.file_stream(session, path, rows.schema)
+        flows.run_timed(stateful.hold_until(stream, ["o_orderkey"], until, F.col("classified")), position, flows.changed_rows(out), at)
+
+    run(soon - dt.timedelta(seconds=6))
+    run(soon + dt.timedelta(seconds=1))
+    like = stateful.hold_until(flows.file_stream(session, path, rows.schema), ["o_orderkey"], until, F.col("classified")).schema
+    done = flows.rows_so_far(t.spark, out, like).select(
+        "o_orderkey", F.when(F.col("released_by_timer"), "timer").otherwise("at once").alias("released")
+    )
+    held = stateful.held_rows(session, position, rows)
+    return done.unionByName(held.select("o_orderkey", F.lit("held").alias("released")))

@@ -155,3 +155,6 @@ first_seen_market_id first_seen_market_name first_seen_daypart_id first_seen_day
 first_seen_affiliate_name due_timestamp last_seen_timestamp attribution_competitor_vx2 occurrence_description
 legacy_creative_id creative_payload machine_learning_payload is_resegment product_mapping_status is_reclassified
 """.split()
+
+#: the end of holds that no timeout ends
+NO_END = "9999-01-01 00:00:00"

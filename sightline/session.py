@@ -65,11 +65,14 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return stored
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+
+
 def discard(*stored: DataFrame) -> None:
     """Remove the files of :func:`materialize` results that nothing will read again."""
     for df in stored:
         path = getattr(df, "_scratch", None)
         if path is not None:
-            jvm = df.sparkSession._jvm
-            folder = jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+            remove_folder(df.sparkSession, path)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sightline.sources.tables import REPLACE, TableStore
+from sightline.sources.tables import Tables
 
 
 def normalize_types(df: DataFrame) -> DataFrame:
@@ -51,19 +51,22 @@ def union_evolved(old: DataFrame, new: DataFrame) -> DataFrame:
     return old.unionByName(new, allowMissingColumns=True)
 
 
-def refresh_table(store: TableStore, name: str, source: DataFrame, now: dt.datetime) -> int:
-    """Replace a table in one step; readers see the old version until the new one is listed."""
+def refresh_table(tables: Tables, name: str, source: DataFrame, version: int) -> None:
+    """Load a table anew under a version; readers stay at theirs until they are given the new one.
+
+    A load that is repeated under its version overwrites what a stopped one left.
+    """
     load = normalize_types(source)
-    current = store.find(name)
+    current = tables.replaced(name, before=version)
     if current is not None:
-        load = evolve_additive(current.drop("version").schema, load)
-    return store.commit(name, load, kind=REPLACE, now=now)
+        load = evolve_additive(current.schema, load)
+    tables.write(name, load, version)
 
 
 def refresh_many(
-    store: TableStore,
+    tables: Tables,
     sources: dict[str, DataFrame],
-    now: dt.datetime,
+    version: int,
     only: Iterable[str] | None = None,
 ) -> list[str]:
     """Refresh all or the named tables in order and stop at the first failure."""
@@ -72,7 +75,7 @@ def refresh_many(
     if unknown:
         raise KeyError(f"no such source: {', '.join(unknown)}")
     for name in names:
-        refresh_table(store, name, sources[name], now)
+        refresh_table(tables, name, sources[name], version)
     return names
 
 

@@ -1,21 +1,19 @@
-"""Tables on plain Parquet: batches kept by a ``version`` partition and listed in a manifest.
+"""Tables on plain Parquet whose rows carry the version they came with.
 
-A batch becomes visible when its manifest row is written, which is after its data. A crash in
-between leaves a version that no reader sees and that the retry overwrites.
+The version is a partition column. Appended tables are read by filters on it, which prune folders;
+tables that each load replaces are read at their newest version. A writer names the version (a
+batch number, or the version of the source it has read), so a run that is repeated overwrites what
+it wrote before. Readers pass the version their mark has reached.
 """
 
 from __future__ import annotations
 
-import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MANIFEST = "version long, kind string, committed_at timestamp, batch string"
-APPEND, REPLACE = "append", "replace"
-
 
 def sorted_by_month(df: DataFrame, month: str, order: str) -> DataFrame:
     """Layout for a month-partitioned table sorted by id.
@@ -27,90 +25,61 @@ def sorted_by_month(df: DataFrame, month: str, order: str) -> DataFrame:
 
 
 @dataclass(frozen=True)
-class TableStore:
+class Tables:
     """Versioned tables under one root folder; one writer per table."""
 
     spark: SparkSession
     root: str
 
-    def _data(self, name: str) -> str:
-        return f"{self.root}/{name}/data"
+    def path(self, name: str) -> str:
+        return f"{self.root}/{name}"
 
-    def manifest(self, name: str) -> DataFrame:
-        path = f"{self.root}/{name}/manifest"
+    def newest(self, name: str, *, before: int | None = None, upto: int | None = None) -> int | None:
+        """The highest version, also of an empty load; taken from the file listing by an aggregate."""
         try:
-            return self.spark.read.schema(MANIFEST).parquet(path)
+            files = self.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(self.path(name))
         except AnalysisException as error:
             if "PATH_NOT_FOUND" not in str(error):
                 raise
-            return self.spark.createDataFrame([], MANIFEST)
-
-    def current_version(self, name: str) -> int | None:
-        return self.manifest(name).agg(F.max("version")).first()[0]
-
-    def commit(
-        self,
-        name: str,
-        df: DataFrame,
-        *,
-        kind: str = APPEND,
-        now: dt.datetime,
-        batch: str | None = None,
-        partition_by: list[str] | None = None,
-    ) -> int:
-        """Write a new version. A batch id that is already listed is not written again."""
-        same_batch = F.when(F.col("batch") == F.lit(batch), F.col("version"))
-        newest, seen = self.manifest(name).agg(F.max("version"), F.max(same_batch)).first()
-        if seen is not None:
-            return seen
-        version = (newest or 0) + 1
+            return None
+        if "version" not in files.columns:
+            return None
+        return files.filter(_between(None, upto, before)).agg(F.max("version").cast("long")).first()[0]
+
+    def write(self, name: str, df: DataFrame, version: int, *, partition_by: list[str] | None = None) -> None:
+        """The rows of one version; what a stopped run left under the same number is overwritten."""
         writer = df.write.mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.parquet(f"{self._data(name)}/version={version}")
-        entry = self.spark.range(1).select(
-            F.lit(version).cast("bigint").alias("version"),
-            F.lit(kind).alias("kind"),
-            F.lit(now).cast("timestamp").alias("committed_at"),
-            F.lit(batch).cast("string").alias("batch"),
-        )
-        entry.write.mode("append").parquet(f"{self.root}/{name}/manifest")
-        return version
-
-    def read(self, name: str, as_of: int | None = None) -> DataFrame:
-        """The table as of a version: the last full version plus the batches after it."""
-        table = self.find(name, as_of)
-        if table is None:
-            raise ValueError(f"table {name} has no version")
-        return table
-
-    def find(self, name: str, as_of: int | None = None) -> DataFrame | None:
-        """As :meth:`read`, or None when nothing was committed yet."""
-        listed = self._listed(name)
-        visible = [v for v in listed if as_of is None or v <= as_of]
-        if not visible:
+        writer.parquet(f"{self.path(name)}/version={version}")
+
+    def appended(self, name: str, *, after: int | None = None, upto: int | None = None, before: int | None = None) -> DataFrame | None:
+        """Rows of the versions in ``(after, upto]``, earlier than ``before``; None without any version."""
+        newest = self.newest(name, upto=upto, before=before)
+        if newest is None:
+            return None
+        reader = self.spark.read.option("basePath", self.path(name))
+        schema = reader.parquet(f"{self.path(name)}/version={newest}").drop("version").schema
+        rows = self.spark.read.schema(schema.add("version", "long")).parquet(self.path(name))
+        return rows.filter(_between(after, upto, before))
+
+    def replaced(self, name: str, *, upto: int | None = None, before: int | None = None) -> DataFrame | None:
+        """Rows of the newest version alone, without its number; None without any version."""
+        newest = self.newest(name, upto=upto, before=before)
+        if newest is None:
             return None
-        base = max((v for v in visible if listed[v] == REPLACE), default=1)
-        return self._scan(name, [v for v in visible if v >= base])
-
-    def changes(self, name: str, after: int | None, upto: int) -> DataFrame:
-        """Rows appended in ``(after, upto]``; the whole table at ``upto`` without a mark."""
-        if after is None:
-            return self.read(name, upto)
-        versions = [v for v in self._listed(name) if after < v <= upto]
-        return self._scan(name, versions) if versions else self.read(name, upto).limit(0)
-
-    def _listed(self, name: str) -> dict[int, str]:
-        """Kind by version: one entry per commit, like a file listing."""
-        rows = self.manifest(name).select("version", "kind").collect()
-        return {r["version"]: r["kind"] for r in rows}
-
-    def _scan(self, name: str, versions: list[int]) -> DataFrame:
-        """Only the folders of listed versions are opened, with the newest one's schema."""
-        root = self._data(name)
-        paths = [f"{root}/version={v}" for v in sorted(versions)]
-        schema = self.spark.read.option("basePath", root).parquet(paths[-1]).schema
-        return self.spark.read.schema(schema).option("basePath", root).parquet(*paths)
+        return self.spark.read.parquet(f"{self.path(name)}/version={newest}")
+
+
+def _between(after: int | None, upto: int | None, before: int | None) -> Column:
+    version, wanted = F.col("version"), F.lit(True)
+    if after is not None:
+        wanted = wanted & (version > after)
+    if upto is not None:
+        wanted = wanted & (version <= upto)
+    if before is not None:
+        wanted = wanted & (version < before)
+    return wanted
 
 
 def as_of(df: DataFrame, version: int, column: str = "_version") -> DataFrame:

@@ -1,8 +1,9 @@
 """Incremental flows: a stream over an append-only table, one checkpoint per consumer.
 
 Every flow runs with ``availableNow``: it processes what is there, in bounded batches, and
-stops. Each micro-batch commits its result under the batch's id before the position moves, so a
-batch that is run again after a failure is recognised and not applied twice.
+stops. Each micro-batch writes its rows into a folder of its own, named by consumer and number, so a
+batch that is run again after a failure overwrites what it wrote and is not applied twice. State by
+key is in :mod:`sightline.streaming.stateful` and :mod:`sightline.operators.buckets`.
 """
 
 from __future__ import annotations
@@ -12,16 +13,18 @@ from collections.abc import Callable
 from concurrent.futures import Future
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.types import _parse_datatype_string
 
-from sightline.operators.merge import absent_rows, accumulate, count_first_days, merge
+from sightline.operators.buckets import BucketedState, Step
+from sightline.operators.merge import absent_rows, accumulate
 from sightline.operators.picks import first_per_key
 from sightline.session import configure
 from sightline.sources import landing
-from sightline.sources.tables import APPEND, REPLACE, TableStore
+
 
 @dataclass(frozen=True)
 class BatchKey:
@@ -85,8 +88,11 @@ def state_session(spark: SparkSession, partitions: int | None = None) -> SparkSe
     return session
 
 
-def run_available(stream: DataFrame, checkpoint: str, handle: Batch) -> None:
-    """Run a batch function over everything available, then stop."""
+def run_available(stream: DataFrame, checkpoint: str, handle: Batch, mode: str = "append") -> None:
+    """Run a batch function over everything available, then stop.
+
+    In ``mode`` "update" a batch holds the groups that changed.
+    """
     consumer: Future[str] = Future()
 
     def keyed(batch: DataFrame, number: int) -> None:
@@ -94,6 +100,7 @@ def run_available(stream: DataFrame, checkpoint: str, handle: Batch) -> None:
 
     query = (
         stream.writeStream.foreachBatch(keyed)
+        .outputMode(mode)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -102,6 +109,77 @@ def run_available(stream: DataFrame, checkpoint: str, handle: Batch) -> None:
     query.awaitTermination()
 
 
+def run_timed(
+    stream: DataFrame, checkpoint: str, handle: Batch, until: dt.datetime, *, every: str = "1 second", mode: str = "append"
+) -> None:
+    """Run a stream whose state has timers until it has no input left and all timers due at ``until``
+    have fired, then stop. ``availableNow`` does not end such a stream: a timer needs batches without
+    input (:func:`sightline.streaming.stateful.with_ticks`). A batch that the stop interrupts is run
+    again by the next start.
+    """
+    consumer: Future[str] = Future()
+
+    def keyed(batch: DataFrame, number: int) -> None:
+        handle(batch, BatchKey(consumer.result(), number))
+
+    query = (
+        stream.writeStream.foreachBatch(keyed)
+        .outputMode(mode)
+        .option("checkpointLocation", checkpoint)
+        .trigger(processingTime=every)
+        .start()
+    )
+    consumer.set_result(str(query.id))
+    goal = until if until.tzinfo else until.replace(tzinfo=dt.timezone.utc)
+    first = None
+    while not query.awaitTermination(0.1):
+        last = query.lastProgress
+        if not last:
+            continue
+        # the first batch of a start may be a stopped one, which keeps the time it had
+        first = last["batchId"] if first is None else first
+        rows = sum(source["numInputRows"] for source in last["sources"] if not source["description"].startswith("Rate"))
+        if last["batchId"] > first and not rows and dt.datetime.fromisoformat(last["timestamp"]) >= goal:
+            query.stop()
+
+
+def write_batch(rows: DataFrame, path: str, key: BatchKey) -> None:
+    """The rows of one batch, under its consumer and version; a repeated batch overwrites its own."""
+    rows.write.mode("overwrite").parquet(f"{path}/consumer={key.consumer}/version={key.number}")
+
+
+def rows_so_far(spark: SparkSession, path: str, like: T.StructType, but: BatchKey | None = None) -> DataFrame:
+    """Rows of all batches, with ``consumer`` and ``version``, but not what a stopped run of the batch
+    ``but`` may have written."""
+    schema = T.StructType([*like.fields]).add("consumer", "string").add("version", "long")
+    try:
+        rows = spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+        return spark.createDataFrame([], schema)
+    if but is None:
+        return rows
+    return rows.filter((F.col("consumer") != but.consumer) | (F.col("version") != but.number))
+
+
+def changed_rows(path: str) -> Batch:
+    """Write the groups that a batch changed, and nothing else; :func:`newest_rows` reads the state."""
+
+    def handle(batch: DataFrame, key: BatchKey) -> None:
+        write_batch(batch, path, key)
+
+    return handle
+
+
+def newest_rows(spark: SparkSession, path: str, like: T.StructType, on: list[str]) -> DataFrame:
+    """The row that each group got last; one consumer writes the path."""
+    rows = rows_so_far(spark, path, like)
+    values = F.struct(*[c for c in like.names if c not in on])
+    newest = rows.groupBy(*on).agg(F.max_by(values, "version").alias("_row"))
+    return newest.select(*on, "_row.*").select(*like.names)
+
+
 #: the columns of Spark's file listing; only the path is read
 LISTING = "path string, modificationTime timestamp, length long, content binary"
 
@@ -121,13 +199,12 @@ def landed_files(
     return stream.select("path")
 
 
-def land_batches(store: TableStore, name: str, now: dt.datetime) -> Batch:
+def land_batches(path: str, now: dt.datetime) -> Batch:
     """Append the staging rows of each batch of landed files; at most ``max_files`` files each."""
 
     def handle(batch: DataFrame, key: BatchKey) -> None:
         rows = landing.json_array_rows(landing.land_files(batch))
-        staged = landing.staging_rows(rows, F.lit(now))
-        store.commit(name, staged, kind=APPEND, now=now, batch=str(key))
+        write_batch(landing.staging_rows(rows, F.lit(now)), path, key)
 
     return handle
 
@@ -143,71 +220,37 @@ def copy_available(stream: DataFrame, checkpoint: str, out: str, *, partition_by
     query.awaitTermination()
 
 
-def _state(store: TableStore, name: str, like: DataFrame) -> DataFrame:
-    table = store.find(name)
-    return like.limit(0) if table is None else table.drop("version")
-
+def append_once(path: str, on: list[str], order: list[Column]) -> Batch:
+    """Append rows whose key is not in the table yet; exact across batches and retries.
 
-def append_once(store: TableStore, name: str, on: list[str], now: dt.datetime,
-                order: list[Column]) -> Batch:
-    """Append rows whose key is not in the table yet; exact across batches and retries."""
+    Stored keys are compared only in the range of the batch's keys. The range filter reaches the
+    scan, and every batch is written in key order, so row groups of other key ranges are skipped: with
+    keys that grow over time a batch reads the same number of row groups however long the table is.
+    """
 
     def handle(batch: DataFrame, key: BatchKey) -> None:
         rows = first_per_key(batch, on, order)
-        stored = _state(store, name, rows)
-        store.commit(name, absent_rows(stored, rows, on), kind=APPEND, now=now, batch=str(key))
+        stored = rows_so_far(batch.sparkSession, path, batch.schema, key)
+        lead = on[0]
+        low, high = batch.agg(F.min(lead), F.max(lead)).first()
+        if low is not None:
+            stored = stored.filter(F.col(lead).between(F.lit(low), F.lit(high)))
+        new = absent_rows(stored, rows, on).select(batch.columns)
+        write_batch(new.repartitionByRange(*on).sortWithinPartitions(*on), path, key)
 
     return handle
 
 
-def merge_batches(
-    store: TableStore,
-    name: str,
-    step: Callable[[DataFrame, DataFrame], DataFrame],
-    like: Callable[[DataFrame], DataFrame],
-    now: dt.datetime,
-) -> Batch:
-    """Replace the table by ``step(table, batch)`` for each batch."""
+def merge_batches(state: BucketedState, step: Step) -> Batch:
+    """Apply ``step`` to the buckets of the state that a batch touches; one consumer writes the state."""
 
     def handle(batch: DataFrame, key: BatchKey) -> None:
-        stored = _state(store, name, like(batch))
-        store.commit(name, step(stored, batch), kind=REPLACE, now=now, batch=str(key))
+        state.apply(batch, step, key.number)
 
     return handle
 
 
-def wait_for_dimension(
-    store: TableStore,
-    out: str,
-    buffer: str,
-    dimension: Callable[[int], DataFrame],
-    on: str,
-    event_key: list[str],
-    now: dt.datetime,
-) -> Batch:
-    """Events leave when their dimension row is there; until then they wait in a buffer.
-
-    ``dimension`` gives the dimension as known at a batch. The output is committed first and the
-    buffer is what the output does not hold, so a batch that is run again moves exactly the rows
-    whose output was stored, also when the dimension has grown in between. Of copies of an event
-    the first by all columns in order stays.
-    """
-
-    def handle(batch: DataFrame, key: BatchKey) -> None:
-        waiting = _state(store, buffer, batch)
-        every = batch.unionByName(waiting.select(batch.columns))
-        rows = first_per_key(every, event_key, [F.asc(c) for c in sorted(batch.columns)])
-        known = dimension(key.number).select(on).distinct()
-        ready = rows.join(known, on, "left_semi").select(batch.columns)
-        store.commit(out, absent_rows(_state(store, out, batch), ready, event_key),
-                     kind=APPEND, now=now, batch=str(key))
-        still = absent_rows(_state(store, out, batch), rows, event_key).select(batch.columns)
-        store.commit(buffer, still, kind=REPLACE, now=now, batch=str(key))
-
-    return handle
-
-
-def running_summary(on: list[str], *, add: list[str], low: list[str], high: list[str]):
+def running_summary(on: list[str], *, add: list[str], low: list[str], high: list[str]) -> Step:
     """Step for :func:`merge_batches`: counts added, bounds widened."""
 
     def step(state: DataFrame, batch: DataFrame) -> DataFrame:
@@ -216,28 +259,6 @@ def running_summary(on: list[str], *, add: list[str], low: list[str], high: list
     return step
 
 
-def first_days_summary(on: list[str], *, day: str, days: int):
-    """Step for :func:`merge_batches`: count and first day per group, and the count of events
-    less than ``days`` days after the first one known when they arrive."""
-
-    def step(state: DataFrame, batch: DataFrame) -> DataFrame:
-        daily = batch.groupBy(*on, day).agg(F.count(F.lit(1)).alias("n"))
-        delta = daily.select(
-            *on, F.col("n"), F.col(day).alias("first_day"), F.lit(0).cast("bigint").alias("early")
-        )
-        totals = accumulate(state, delta, on, add=["n", "early"], low=["first_day"])
-        early = count_first_days(
-            daily, totals.select(*on, "first_day"), on, day=day, first_ts="first_day", days=days,
-            add="n",
-        )
-        return merge(
-            totals, early, on, update=[], insert=False, null_safe=True,
-            values={"early": lambda t, s: t("early") + s("n")},
-        )
-
-    return step
-
-
 def drop_near_repeats(stream: DataFrame, key: list[str], ts: str, delay: str) -> DataFrame:
     """Drop repeats that arrive within ``delay`` of each other, with bounded state.
 
@@ -247,8 +268,7 @@ def drop_near_repeats(stream: DataFrame, key: list[str], ts: str, delay: str) ->
     return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark(key)
 
 
-def once_within(store: TableStore, name: str, late: str, on: list[str], ts: str,
-                delay: dt.timedelta, now: dt.datetime) -> Batch:
+def once_within(path: str, late: str, on: list[str], ts: str, delay: dt.timedelta) -> Batch:
     """Append rows whose key was not seen within ``delay``; rows older than that go to ``late``.
 
     The mark is the newest stored time less ``delay``, as before the batch. Only stored rows after
@@ -256,14 +276,14 @@ def once_within(store: TableStore, name: str, late: str, on: list[str], ts: str,
     """
 
     def handle(batch: DataFrame, key: BatchKey) -> None:
-        stored = _state(store, name, batch)
+        stored = rows_so_far(batch.sparkSession, path, batch.schema, key)
         newest = stored.agg(F.max(ts)).first()[0]
         old, recent = F.lit(False), stored
         if newest is not None:
             mark = F.lit(newest - delay)
             old, recent = F.coalesce(F.col(ts) < mark, F.lit(False)), stored.filter(F.col(ts) >= mark)
         rows = first_per_key(batch.filter(~old), on, [F.asc(ts), *[F.asc(c) for c in sorted(batch.columns)]])
-        store.commit(late, batch.filter(old), kind=APPEND, now=now, batch=str(key))
-        store.commit(name, absent_rows(recent, rows, on).select(batch.columns), kind=APPEND, now=now, batch=str(key))
+        write_batch(batch.filter(old), late, key)
+        write_batch(absent_rows(recent, rows, on).select(batch.columns), path, key)
 
     return handle

@@ -7,37 +7,37 @@ import pytest
 from pyspark.sql import functions as F
 
 from sightline.plans import events, runs
-from sightline.sources.tables import APPEND, REPLACE, TableStore
+from sightline.sources.tables import Tables
 
 NOW = dt.datetime(2024, 1, 1)
 
 
-def total(store):
+def total(tables):
     """Step: new rows are appended to one table and added to a running sum in another."""
 
-    def step(changes, batch):
-        stored = store.find("sums")
+    def step(changes, version):
+        stored = tables.replaced("sums", before=version)
         old = changes.limit(0).selectExpr("k", "n") if stored is None else stored.select("k", "n")
         sums = old.union(changes.selectExpr("k", "n")).groupBy("k").agg(F.sum("n").alias("n"))
-        return {"rows": (APPEND, changes.select("k", "n")), "sums": (REPLACE, sums)}
+        return {"rows": changes.select("k", "n"), "sums": sums}
 
     return step
 
 
-def source(spark, store, batches):
+def source(spark, tables, batches):
     for i, rows in enumerate(batches):
-        df = spark.createDataFrame(rows, "k int, n long")
-        store.commit("source", df, now=NOW, batch=f"s{i}")
+        tables.write("source", spark.createDataFrame(rows, "k int, n long"), i + 1)
 
 
-def state(store):
-    return tuple(sorted(tuple(r) for r in store.read(t).select("k", "n").collect()) for t in ("rows", "sums"))
+def state(tables):
+    both = tables.appended("rows"), tables.replaced("sums")
+    return tuple(sorted(tuple(r) for r in t.select("k", "n").collect()) for t in both)
 
 
-@pytest.mark.parametrize("broken", ["rows", "sums", "control/finish"])
+@pytest.mark.parametrize("broken", ["rows", "sums", "control/finish", "after sums"])
 def test_run_that_stops_is_finished_by_the_next(spark, folder, broken):
     first, more = [(1, 1), (2, 5)], [(1, 10)]
-    clean, faulty = TableStore(spark, folder + "/a"), TableStore(spark, folder + "/b")
+    clean, faulty = Tables(spark, folder + "/a"), Tables(spark, folder + "/b")
     source(spark, clean, [first])
     assert runs.Marked(clean, "source", "p").run(total(clean), NOW) == 1
     source(spark, clean, [first, more])
@@ -45,16 +45,19 @@ def test_run_that_stops_is_finished_by_the_next(spark, folder, broken):
     assert runs.Marked(clean, "source", "p").run(total(clean), NOW) is None
 
     source(spark, faulty, [first])
-    real, stopped = TableStore.commit, []
+    real, stopped = Tables.write, []
 
-    def commit(self, name, *args, **kwargs):
-        at = f"{name}/finish" if (kwargs.get("batch") or "").endswith("/finish") else name
+    def write(self, name, df, version, **kwargs):
+        at = f"{name}/finish" if name == "control" and version % 2 == 0 else name
         if at == broken and not stopped:
             stopped.append(at)
             raise RuntimeError("stopped")
-        return real(self, name, *args, **kwargs)
+        real(self, name, df, version, **kwargs)
+        if f"after {name}" == broken and not stopped:
+            stopped.append(broken)
+            raise RuntimeError("stopped")
 
-    TableStore.commit = commit
+    Tables.write = write
     try:
         with pytest.raises(RuntimeError):
             runs.Marked(faulty, "source", "p").run(total(faulty), NOW)
@@ -62,13 +65,13 @@ def test_run_that_stops_is_finished_by_the_next(spark, folder, broken):
         assert runs.Marked(faulty, "source", "p").run(total(faulty), NOW) == 1
         assert runs.Marked(faulty, "source", "p").run(total(faulty), NOW) == 2
     finally:
-        TableStore.commit = real
+        Tables.write = real
     assert state(faulty) == state(clean)
 
 
 def test_id_blocks_do_not_overlap_and_repeat_for_their_owner(spark, folder):
-    store = TableStore(spark, folder)
-    take = lambda owner, n: runs.reserve_ids(store, "blocks", owner, n, 100, NOW)
+    tables = Tables(spark, folder)
+    take = lambda owner, n: runs.reserve_ids(tables, "blocks", owner, n, 100)
     assert [take("a", 10), take("b", 5), take("a", 10), take("c", 1)] == [100, 110, 100, 115]
 
 

@@ -7,8 +7,9 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from sightline.operators.buckets import BucketedState
 from sightline.sources import landing, refresh
-from sightline.sources.tables import REPLACE, TableStore
+from sightline.sources.tables import Tables
 from sightline.streaming import flows
 
 NOW = dt.datetime(2024, 1, 1)
@@ -60,45 +61,44 @@ def test_empty_folder(spark, tmp_path):
     assert landing.land_json_lines(spark, str(tmp_path)).count() == 0
 
 
-def test_store_versions_and_retry(spark, folder):
-    store = TableStore(spark, folder)
-    assert store.find("t") is None
-    assert store.commit("t", spark.range(3), now=NOW, batch="a") == 1
-    # the same batch again, as after a failure: nothing is added
-    assert store.commit("t", spark.range(100), now=NOW, batch="a") == 1
-    assert store.commit("t", spark.range(3, 5), now=NOW, batch="b") == 2
-    assert store.read("t").count() == 5
-    assert store.read("t", as_of=1).count() == 3
-    assert store.changes("t", 1, 2).count() == 2
-    assert store.changes("t", 2, 2).count() == 0
-    assert store.changes("t", None, 1).count() == 3
-    # data written without a manifest row (a crash) is not visible and is overwritten
-    spark.range(50).write.parquet(f"{folder}/t/data/version=3")
-    assert store.read("t").count() == 5
-    store.commit("t", spark.range(7), kind=REPLACE, now=NOW)
-    assert store.read("t").count() == 7
-    assert store.read("t", as_of=2).count() == 5
-    store.commit("t", spark.range(7, 8), now=NOW)
-    assert store.read("t").count() == 8
+def test_versions_by_filters(spark, folder):
+    tables = Tables(spark, folder)
+    assert tables.newest("t") is None and tables.appended("t") is None and tables.replaced("t") is None
+    tables.write("t", spark.range(50), 1)
+    tables.write("t", spark.range(3), 1)  # the same version again, as after a failure
+    tables.write("t", spark.range(3, 5), 2)
+    ids = lambda df: sorted(r["id"] for r in df.collect())
+    assert ids(tables.appended("t")) == [0, 1, 2, 3, 4]
+    assert ids(tables.appended("t", upto=1)) == [0, 1, 2]
+    assert ids(tables.appended("t", after=1, upto=2)) == [3, 4]
+    assert ids(tables.appended("t", after=2, upto=2)) == []
+    assert ids(tables.appended("t", before=2)) == [0, 1, 2]
+    plan = tables.appended("t", after=1)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(version" in plan
+    assert ids(tables.replaced("t")) == [3, 4] and ids(tables.replaced("t", upto=1)) == [0, 1, 2]
+    tables.write("t", spark.range(0), 3)  # an empty load replaces the table by nothing
+    assert tables.newest("t") == 3 and ids(tables.replaced("t")) == [] and len(ids(tables.appended("t"))) == 5
+    tables.write("t", spark.range(9, 10).withColumn("more", F.lit("x")), 4)
+    assert [tuple(r)[:2] for r in tables.appended("t", after=1).orderBy("id").collect()] == [(3, None), (4, None), (9, "x")]
 
 
 def test_refresh_keeps_old_data_on_failure(spark, folder):
-    store = TableStore(spark, folder)
-    refresh.refresh_table(store, "t", spark.range(3).withColumn("b", F.lit(bytearray(b"hi"))), NOW)
-    assert store.read("t").first()["b"] == "aGk="
+    tables = Tables(spark, folder)
+    refresh.refresh_table(tables, "t", spark.range(3).withColumn("b", F.lit(bytearray(b"hi"))), 1)
+    assert tables.replaced("t").first()["b"] == "aGk="
     with pytest.raises(refresh.SchemaDrift):
-        refresh.refresh_table(store, "t", spark.range(9), NOW)
+        refresh.refresh_table(tables, "t", spark.range(9), 2)
     with pytest.raises(refresh.SchemaDrift):
-        refresh.refresh_table(store, "t", spark.range(9).selectExpr("cast(id as int) id", "'x' b"), NOW)
-    assert store.read("t").count() == 3
-    refresh.refresh_table(store, "t", spark.range(4).selectExpr("id", "'x' b", "1 c"), NOW)
-    assert "c" in store.read("t").columns
+        refresh.refresh_table(tables, "t", spark.range(9).selectExpr("cast(id as int) id", "'x' b"), 2)
+    assert tables.replaced("t").count() == 3
+    refresh.refresh_table(tables, "t", spark.range(4).selectExpr("id", "'x' b", "1 c"), 2)
+    assert "c" in tables.replaced("t").columns and "c" not in tables.replaced("t", upto=1).columns
     with pytest.raises(KeyError):
-        refresh.refresh_many(store, {"t": spark.range(1)}, NOW, ["u"])
+        refresh.refresh_many(tables, {"t": spark.range(1)}, 3, ["u"])
     failing = spark.range(1).select(F.raise_error(F.lit("no")).cast("int").alias("id"))
     with pytest.raises(Exception):
-        refresh.refresh_many(store, {"v": failing, "w": spark.range(1)}, NOW)
-    assert store.find("v") is None and store.find("w") is None
+        refresh.refresh_many(tables, {"v": failing, "w": spark.range(1)}, 3)
+    assert tables.replaced("v") is None and tables.replaced("w") is None
 
 
 def test_remote_filter_is_pushed_down(spark, folder):
@@ -111,18 +111,17 @@ def test_remote_filter_is_pushed_down(spark, folder):
     assert "GreaterThan(u" in df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_batch_that_fails_after_its_commit_is_not_applied_twice(spark, folder):
-    store = TableStore(spark, folder + "/s")
+def test_batch_that_fails_after_its_write_is_not_applied_twice(spark, folder):
     src = folder + "/src"
     spark.range(10).selectExpr("id % 3 as k", "1L as n").write.parquet(src)
-    step = flows.running_summary(["k"], add=["n"], low=[], high=[])
-    handle = flows.merge_batches(store, "sum", step, lambda b: b.limit(0), NOW)
+    state = BucketedState(spark, folder + "/sum", ["k"], "k long, n long", 4)
+    handle = flows.merge_batches(state, flows.running_summary(["k"], add=["n"], low=[], high=[]))
     failed = []
 
-    def breaks_once(batch, batch_id):
-        handle(batch, batch_id)
+    def breaks_once(batch, key):
+        handle(batch, key)
         if not failed:
-            failed.append(batch_id)
+            failed.append(key)
             raise RuntimeError("stopped before the position moved")
 
     def run():
@@ -134,13 +133,13 @@ def test_batch_that_fails_after_its_commit_is_not_applied_twice(spark, folder):
     run()
     spark.range(2).selectExpr("id as k", "1L as n").write.mode("append").parquet(src)
     run()
-    assert {r["k"]: r["n"] for r in store.read("sum").collect()} == {0: 5, 1: 4, 2: 3}
+    assert {r["k"]: r["n"] for r in state.read().collect()} == {0: 5, 1: 4, 2: 3}
 
 
 def test_two_consumers_of_one_table_do_not_share_batch_names(spark, folder):
-    store, src = TableStore(spark, folder + "/s"), folder + "/src"
+    src, out = folder + "/src", folder + "/rows"
     spark.range(5).write.parquet(src)
-    handle = flows.append_once(store, "rows", ["id"], NOW, [F.asc("id")])
+    handle = flows.append_once(out, ["id"], [F.asc("id")])
 
     def run(mark):
         flows.run_available(flows.file_stream(spark, src, spark.read.parquet(src).schema), mark, handle)
@@ -148,17 +147,29 @@ def test_two_consumers_of_one_table_do_not_share_batch_names(spark, folder):
     run(folder + "/mark1")
     spark.range(5, 8).write.mode("append").parquet(src)
     run(folder + "/mark2")  # a new checkpoint counts its batches from 0 again
-    assert sorted(r["id"] for r in store.read("rows").collect()) == list(range(8))
+    assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == list(range(8))
+
+
+def test_append_once_reads_row_groups_of_the_batch_keys_only(spark, folder):
+    out = folder + "/rows"
+    handle = flows.append_once(out, ["id"], [F.asc("id")])
+    for number in range(4):
+        handle(spark.range(number * 1000, number * 1000 + 1000), flows.BatchKey("a", number))
+    handle(spark.range(3500, 4500).union(spark.range(3500, 3600)), flows.BatchKey("a", 4))
+    handle(spark.range(3500, 4500), flows.BatchKey("a", 4))  # again, as after a failure
+    assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == list(range(4500))
+    stored = flows.rows_so_far(spark, out, spark.range(1).schema, flows.BatchKey("a", 4)).filter(F.col("id").between(3500, 4499))
+    plan = stored._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(id,3500)" in plan and "LessThanOrEqual(id,4499)" in plan
 
 
 def test_stream_lands_both_kinds_of_files_and_archives_them(spark, tmp_path):
-    source, archive = tmp_path / "in", tmp_path / "done"
+    source, archive, out = tmp_path / "in", tmp_path / "done", str(tmp_path / "staging")
     source.mkdir()
-    store = TableStore(spark, str(tmp_path / "s"))
 
     def run():
         files = flows.landed_files(spark, str(source), max_files=1, archive=str(archive))
-        flows.run_available(files, str(tmp_path / "mark"), flows.land_batches(store, "staging", NOW))
+        flows.run_available(files, str(tmp_path / "mark"), flows.land_batches(out, NOW))
 
     (source / "packed.json.bz2").write_bytes(bz2.compress(f"{line(1)}\n".encode()))
     (source / "plain.json.bz2").write_text(f"[{line(2)},{line(3)}]\n{line(4)}")
@@ -166,7 +177,7 @@ def test_stream_lands_both_kinds_of_files_and_archives_them(spark, tmp_path):
     (source / "late.json.bz2").write_text(line(5))
     run()
     run()
-    rows = store.read("staging").collect()
+    rows = spark.read.parquet(out).collect()
     assert sorted(json.loads(r["json_data"])["n"] for r in rows) == [1, 2, 3, 4, 5]
     plain = {json.loads(r["json_data"])["n"]: r["record_index"] for r in rows if "plain" in r["blob_name"]}
     assert plain == {2: 0, 3: 1, 4: 2}
@@ -174,48 +185,16 @@ def test_stream_lands_both_kinds_of_files_and_archives_them(spark, tmp_path):
 
 
 def test_late_rows_are_kept_apart(spark, folder):
-    store = TableStore(spark, folder)
+    out, late = folder + "/on_time", folder + "/late"
     day = lambda n: dt.datetime(2024, 1, n)
-    handle = flows.once_within(store, "on_time", "late", ["k"], "ts", dt.timedelta(days=2), NOW)
+    handle = flows.once_within(out, late, ["k"], "ts", dt.timedelta(days=2))
     batches = [[(1, day(10)), (1, day(10)), (2, day(9))], [(2, day(10)), (3, day(1)), (4, day(8))], [(5, None), (1, day(11))]]
     for number, rows in enumerate(batches):
         df = spark.createDataFrame(rows, "k int, ts timestamp")
         for _ in range(2):  # a batch that runs again changes nothing
             handle(df, flows.BatchKey("a", number))
-    assert sorted(r["k"] for r in store.read("on_time").collect()) == [1, 2, 4, 5]
-    assert [r["k"] for r in store.read("late").collect()] == [3]
-
-
-def test_retry_with_a_grown_dimension_loses_nothing(spark, folder):
-    store = TableStore(spark, folder)
-    known = {"ids": [1]}
-
-    def dimension(number):
-        return spark.createDataFrame([(i,) for i in known["ids"]], "d int")
-
-    handle = flows.wait_for_dimension(store, "out", "wait", dimension, "d", ["k"], NOW)
-    batch = spark.createDataFrame([(10, 1), (20, 2)], "k int, d int")
-    real, calls = TableStore.commit, []
-
-    def stops_before_the_buffer(self, name, *args, **kwargs):
-        if name == "wait" and not calls:
-            calls.append(name)
-            raise RuntimeError("stopped")
-        return real(self, name, *args, **kwargs)
-
-    TableStore.commit = stops_before_the_buffer
-    try:
-        with pytest.raises(RuntimeError):
-            handle(batch, flows.BatchKey("a", 0))
-        known["ids"] = [1, 2]
-        handle(batch, flows.BatchKey("a", 0))
-    finally:
-        TableStore.commit = real
-    # the output of the batch was stored with the old dimension, so the row waits
-    assert [r["k"] for r in store.read("wait").collect()] == [20]
-    handle(batch.limit(0), flows.BatchKey("a", 1))
-    assert sorted(r["k"] for r in store.read("out").collect()) == [10, 20]
-    assert store.read("wait").count() == 0
+    assert sorted(r["k"] for r in spark.read.parquet(out).collect()) == [1, 2, 4, 5]
+    assert [r["k"] for r in spark.read.parquet(late).collect()] == [3]
 
 
 def test_names_of_stores():
