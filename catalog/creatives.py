@@ -12,6 +12,7 @@ from catalog.registry import query
 from sightline import constants as C
 from sightline.functions import jsons, rules
 from sightline.plans import enrich, push, summary
+from sightline.session import new_scratch
 
 NOW = dt.datetime(2024, 2, 1)
 KEY = ["provider_occurrence_id", "capture_timestamp"]
@@ -308,7 +309,7 @@ def summary_run(t):
             F.lit(2).cast("bigint").alias("seven_days_occ_count"),
         )
     )
-    return summary.occurrence_summary(
+    return stored, summary.occurrence_summary(
         t.raw_events, t.summary_buffer, stored, t.registry, t.chaff, dims(t)
     )
 
@@ -326,7 +327,12 @@ SELECT t.{GROUP.replace(', ', ', t.')}, t.occurrence_count, t.first_run, t.last_
   t.early + COALESCE(s.n, 0) AS seven_days_occ_count FROM totals t LEFT JOIN soon s USING ({GROUP})""",
 )
 def _(t):
-    return summary_run(t).summary
+    stored, run = summary_run(t)
+    state = summary.summary_state(t.spark, new_scratch(t.spark, "summary"), stored, 32)
+    state.apply(stored, lambda _, batch: batch, 0)
+    for _run in range(2):  # a batch that runs again is applied once
+        summary.fold_summary(state, run.daily, 1)
+    return state.read()
 
 
 @query(
@@ -341,6 +347,6 @@ WHERE creative_id IS NULL AND NOT EXISTS (SELECT 1 FROM summary_buffer b
   WHERE c.provider_occurrence_id = b.provider_occurrence_id AND c.provider_code = b.provider_code)""",
 )
 def _(t):
-    return summary_run(t).buffer.select(
+    return summary_run(t)[1].buffer.select(
         "provider_occurrence_id", "provider_code", "creative_url_hash"
     )

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from catalog.registry import query
 from sightline.functions import jsons
 from sightline.operators import merge as m
+from sightline.operators.buckets import BucketedState
+from sightline.session import new_scratch
 
 NOW = dt.datetime(2024, 2, 1)
 
@@ -134,11 +136,18 @@ FROM summary_stored s FULL JOIN ({DELTA}) d ON s.creative_id = d.creative_id AND
 """,
 )
 def _(t):
-    delta = t.daily.withColumnRenamed("occ_cnt", "occurrence_count")
-    return m.accumulate(
-        t.summary_stored, delta, GROUP, add=["occurrence_count"], low=["first_run"],
-        high=["last_run"],
-    )
+    stored, delta = t.summary_stored, t.daily.withColumnRenamed("occ_cnt", "occurrence_count")
+    columns = [*GROUP, "occurrence_count", "first_run", "last_run"]
+    schema = ", ".join(f"{name} {kind}" for name, kind in stored.select(columns).dtypes)
+    state = BucketedState(t.spark, new_scratch(t.spark, "summary"), GROUP, schema, 32)
+
+    def step(state, batch):
+        return m.accumulate(state, batch, GROUP, add=["occurrence_count"], low=["first_run"], high=["last_run"])
+
+    state.apply(stored.select(columns), step, 0)
+    for _run in range(2):  # a batch that runs again is applied once
+        state.apply(delta.select(columns), step, 1)
+    return state.read()
 
 
 @query(

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sightline import constants as C
 from sightline.functions import rules
+from sightline.operators.buckets import BucketedState
 from sightline.operators.joins import constant_lookup
 from sightline.operators.merge import accumulate, count_first_days, merge, park_release
 from sightline.operators.picks import latest_per_key
@@ -106,6 +107,20 @@ def updated_summary(summary: DataFrame, daily: DataFrame) -> DataFrame:
     )
 
 
+def summary_state(spark: SparkSession, path: str, like: DataFrame, buckets: int = 256) -> BucketedState:
+    """A kept summary: one row per group, by hash buckets."""
+    schema = ", ".join(f"{name} {kind}" for name, kind in like.dtypes)
+    return BucketedState(spark, path, GROUP, schema, buckets)
+
+
+def fold_summary(state: BucketedState, daily: DataFrame, batch: int) -> list[int]:
+    """Add a batch of daily counts to a kept summary; returns the buckets that were rewritten.
+
+    A batch that is run again under its number changes nothing.
+    """
+    return state.apply(daily, updated_summary, batch)
+
+
 @dataclass(frozen=True)
 class Summary:
     candidates: DataFrame
@@ -124,8 +139,8 @@ def occurrence_summary(
 ) -> Summary:
     """Counts for new and released events; unresolved events wait in the buffer.
 
-    The caller must apply a batch once: store the result under the batch's id (as
-    ``TableStore.commit`` does) so that a retry does not add the counts twice.
+    The summary is computed over all of its rows. For one that is kept, apply ``daily`` by
+    :func:`fold_summary`, which rewrites touched buckets alone and applies a batch once.
     """
     # stored, because the counts and the buffer both read them
     candidates = materialize(

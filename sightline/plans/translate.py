@@ -17,13 +17,19 @@ from sightline.operators.increments import changes_inclusive
 SYSTEMS = {"vx1": C.SYSTEM_VX1, "vx2": C.SYSTEM_VX2}
 
 
-def _lookups(base: DataFrame, entity: Sequence[str]) -> DataFrame:
-    """One row per code to translate: the primary product and each secondary one, per system.
+#: the system number under which competitors are looked up
+COMPETITOR = 0
 
-    All lookups of a creative go through one join with the code map instead of four. The
-    secondary products are parsed once per row, in a projection of their own.
+
+def _lookups(base: DataFrame, entity: Sequence[str], competitors: bool) -> DataFrame:
+    """One row per code to translate: the primary product and each secondary one, per system, and each
+    competitor.
+
+    All lookups of a creative go through one join with the code maps. The lists are parsed once per
+    row, in a projection of their own.
     """
     shape = jsons.SECONDARY_PRODUCT[len("array<"):-1]
+    rivals = [jsons.parsed(F.col("attribution_competitor"), jsons.REFERENCE_IDS).alias("_rivals")] if competitors else []
     parsed = base.select(
         *entity,
         "primary_product_id",
@@ -31,40 +37,50 @@ def _lookups(base: DataFrame, entity: Sequence[str]) -> DataFrame:
             jsons.parsed(F.col("secondary_products"), jsons.SECONDARY_PRODUCT),
             F.array().cast(jsons.SECONDARY_PRODUCT),
         ).alias("_sec"),
+        *rivals,
     )
     keyed = parsed.withColumn(
         "_ids", nested.sorted_ids(F.transform("_sec", lambda e: e["product_id"]))
     )
+    nothing = F.lit(None).cast(shape)
 
-    def row(product: Column, element: Column, system: str, tail: Column | None) -> Column:
-        return F.struct(
-            F.lit(system).cast("int").alias("system_id"),
-            keys.product_key(product, system, tail).alias("mapping_hash"),
-            element.alias("element"),
-        )
+    def row(key: Column, element: Column, system: str | int) -> Column:
+        return F.struct(F.lit(system).cast("int").alias("system_id"), key.alias("mapping_hash"), element.alias("element"))
 
     def extra(system: str) -> Column:
-        return F.transform("_sec", lambda e: row(e["product_id"], e, system, None))
+        return F.transform("_sec", lambda e: row(keys.product_key(e["product_id"], system, None), e, system))
 
-    nothing = F.lit(None).cast(shape)
-    primary = [
-        row(F.col("primary_product_id"), nothing, s, F.col("_ids")) for s in SYSTEMS.values()
-    ]
-    rows = F.concat(F.array(*primary), *[extra(s) for s in SYSTEMS.values()])
-    return keyed.select(*entity, F.explode(rows).alias("_r")).select(*entity, "_r.*")
+    primary = [row(keys.product_key(F.col("primary_product_id"), s, F.col("_ids")), nothing, s) for s in SYSTEMS.values()]
+    rows = [F.array(*primary), *[extra(s) for s in SYSTEMS.values()]]
+    if competitors:
+        named = F.transform("_rivals", lambda r: row(r["id"].cast("string"), nothing, COMPETITOR))
+        rows.append(F.coalesce(named, F.slice(F.array(primary[0]), 1, 0)))
+    return keyed.select(*entity, F.explode(F.concat(*rows)).alias("_r")).select(*entity, "_r.*")
 
 
-def translate_codes(base: DataFrame, product_map: DataFrame, entity: Sequence[str]) -> DataFrame:
-    """Primary and secondary codes per entity. One missing secondary makes the array NULL.
+def translate_codes(
+    base: DataFrame, product_map: DataFrame, entity: Sequence[str], advertiser_map: DataFrame | None = None
+) -> DataFrame:
+    """Primary and secondary codes per entity, and with ``advertiser_map`` the known competitor codes as
+    a JSON array. One missing secondary makes the array NULL.
 
-    The map is joined as it is: a map too large to broadcast is sort-merge joined, which
+    The maps are joined as one, as they are: a map too large to broadcast is sort-merge joined, which
     spills, so it need not be cut down first.
     """
-    small = product_map.select(
-        "mapping_hash", F.col("system_id").cast("int").alias("system_id"), "target_product_id"
-    )
-    found = _lookups(base, entity).join(small, ["mapping_hash", "system_id"], "left")
+    codes = product_map.select(
+        "mapping_hash", F.col("system_id").cast("int").alias("system_id"), "target_product_id", F.lit(None).cast("string").alias("vx2_code")
+    )
+    if advertiser_map is not None:
+        codes = codes.unionByName(
+            advertiser_map.select(
+                F.col("vx0_company_id").cast("string").alias("mapping_hash"), F.lit(COMPETITOR).alias("system_id"),
+                F.lit(None).cast(dict(product_map.dtypes)["target_product_id"]).alias("target_product_id"),
+                F.col("vx2_code").cast("string").alias("vx2_code"),
+            )
+        )
+    found = _lookups(base, entity, advertiser_map is not None).join(codes, ["mapping_hash", "system_id"], "left")
     e = F.col("element")
+    rival = F.when((F.col("system_id") == COMPETITOR) & F.col("vx2_code").isNotNull(), F.struct(F.col("vx2_code").alias("code")))
     # one list per entity; it is split by system afterwards
     gathered = found.groupBy(*entity).agg(
         *[
@@ -88,6 +104,7 @@ def translate_codes(base: DataFrame, product_map: DataFrame, entity: Sequence[st
                 ),
             )
         ).alias("_all"),
+        *([] if advertiser_map is None else [F.array_sort(F.collect_list(rival)).alias("_codes")]),
     )
 
     def array(system: str) -> Column:
@@ -105,22 +122,7 @@ def translate_codes(base: DataFrame, product_map: DataFrame, entity: Sequence[st
         *entity,
         *[f"{name}_product_id" for name in SYSTEMS],
         *[complete(name).alias(f"{name}_secondary_products") for name in SYSTEMS],
-    )
-
-
-def competitor_codes(base: DataFrame, advertiser_map: DataFrame, entity: Sequence[str]) -> DataFrame:
-    """Known competitor codes per entity as a JSON array, NULL when none is known."""
-    ids = F.explode(jsons.parsed(F.col("attribution_competitor"), jsons.REFERENCE_IDS))
-    rows = base.select(*entity, ids.alias("_c")).select(
-        *entity, F.col("_c.id").alias("vx0_company_id")
-    )
-    small = advertiser_map.select("vx0_company_id", "vx2_code")
-    coded = rows.join(small, "vx0_company_id", "left")
-    codes = F.array_sort(
-        F.collect_list(F.when(F.col("vx2_code").isNotNull(), F.struct(F.col("vx2_code").alias("code"))))
-    )
-    return coded.groupBy(*entity).agg(
-        F.when(F.size(codes) > 0, F.to_json(codes)).alias("attribution_competitor_vx2")
+        *([] if advertiser_map is None else [F.when(F.size("_codes") > 0, F.to_json("_codes")).alias("attribution_competitor_vx2")]),
     )
 
 
@@ -135,11 +137,13 @@ def translation_hold(
 def translate_products(
     base: DataFrame, product_map: DataFrame, advertiser_map: DataFrame
 ) -> DataFrame:
-    """Creatives with codes of both systems, competitor codes and the holding flag."""
+    """Creatives with codes of both systems, competitor codes and the holding flag.
+
+    ``base`` is read twice: its lists for the lookups, and all its columns for the result.
+    """
     entity = ["creative_id", "creative_url_hash"]
     return (
-        base.join(translate_codes(base, product_map, entity), entity, "left")
-        .join(competitor_codes(base, advertiser_map, entity), entity, "left")
+        base.join(translate_codes(base, product_map, entity, advertiser_map), entity, "left")
         .withColumn(
             "holding_flag",
             translation_hold(
