@@ -20,7 +20,8 @@ class PieceTokenizer:
       space. A text with any other white space at a piece's edge is cut by the slower ``SAFE``.
     - otherwise (white space is dropped): every space and line feed is a cut.
 
-    Pieces are learnt many at a time in one joined text. At ``most`` pieces they are forgotten.
+    Pieces are learnt many at a time in one joined text. At ``most`` pieces they are forgotten. A text
+    that may hold the name of an added token is encoded whole, as the library does by default.
     """
 
     SAFE = re.compile(r"(?<=\S) (?=\S)")
@@ -32,7 +33,8 @@ class PieceTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
+        # the first characters of added tokens; the tokenizers' normal forms do not make them from others
+        self.added = sorted({token.content[:2] for token in self.tokenizer.get_added_tokens_decoder().values()})
         self.attached = attached
         self.most = most
         # ids by piece; ``ODD`` where a piece must not stand at a cut. With ``attached`` a piece
@@ -47,7 +49,10 @@ class PieceTokenizer:
             self.gap = int(np.frombuffer(self._one("\x00"), "<u4")[0])
 
     def _one(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return self._ids(text).tobytes()
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
     def _joined(self, pieces: list[str], spaced: bool) -> list[bytes]:
         """Ids of each piece, from one call: they are told apart by what stands between them."""
@@ -55,7 +60,7 @@ class PieceTokenizer:
             text = " \x00 ".join(pieces)
         else:
             text = " " + " ".join(pieces) if spaced else "\n".join(pieces)
-        ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+        ids = self._ids(text)
         if self.attached and spaced:
             starts = np.flatnonzero(self.spaced[ids])
             ends = np.append(starts[1:], len(ids))
@@ -103,20 +108,17 @@ class PieceTokenizer:
         """Ids of every text, a null one as an empty one; nothing is added."""
         if len(self.known) > self.most:
             self.known.clear()
-        cut = [self._cut(t) if t else [] for t in texts]
-        ids = [list(map(self.known.get, pieces)) for pieces in cut]
-        open_texts = [i for i, own in enumerate(ids) if None in own]
-        new: set[str] = set()
-        for i in open_texts:
-            new.update(x for x, own in zip(cut[i], ids[i], strict=True) if own is None)
-        self._learn(new)
-        for i in open_texts:
-            ids[i] = [self.known[x] if own is None else own for x, own in zip(cut[i], ids[i], strict=True)]
+        whole = [bool(t) and any(start in t for start in self.added) for t in texts]
+        cut = [self._cut(t) if t and not w else [] for t, w in zip(texts, whole, strict=True)]
+        new = set().union(*cut).difference(self.known)
+        if new:
+            self._learn(new)
+        known = self.known.__getitem__
         drop = 4 * self.attached  # the line feed put before a text
         out = []
-        for text, own in zip(texts, ids, strict=True):
+        for text, pieces, is_whole in zip(texts, cut, whole, strict=True):
             try:
-                out.append(b"".join(own)[drop:])
+                out.append(self._one(text) if is_whole else b"".join(map(known, pieces))[drop:])
             except TypeError:  # an odd piece
                 out.append(self._slow(text))
         return out
