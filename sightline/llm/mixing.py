@@ -9,7 +9,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sightline.llm.text import GAP, WORD
-from sightline.session import discard, materialize
+from sightline.operators.ids import assign_dense_ids
+from sightline.session import discard, materialize, new_scratch
+
+#: the column in which rows are numbered while they are mixed
+UID = "_mixing_uid"
 
 
 @dataclass(frozen=True)
@@ -17,7 +21,7 @@ class Mix:
     """``share`` of all words is taken, by ``weights`` repeated over the sources in code point order.
 
     A source gives at most ``most`` times its words; a block is ``block_words`` words of one
-    document. One row for each source passes the driver, and ``shards`` boundaries for each.
+    document. The tree splits the quotas of ``chunk`` strata (a source and a pass) at a time.
     """
 
     weights: tuple[int, ...] = (5, 2, 1)
@@ -26,24 +30,28 @@ class Mix:
     block_words: int = 4096
     shards: int = 64
     buckets: int = 1024
-    most_sources: int = 1_000_000
+    chunk: int = 4096
     seed: int = 11
 
 
-def targets(sizes: list[int], weights: list[int], total: float, most: int) -> list[float]:
-    """Shares of ``total`` by weight; what a source cannot give is shared again by the others."""
-    out = [0.0] * len(sizes)
-    active, rest = list(range(len(sizes))), float(total)
-    while active:
-        unit = rest / sum(weights[i] for i in active)
-        full = [i for i in active if unit * weights[i] > most * sizes[i]]
-        for i in full or active:
-            out[i] = float(most * sizes[i]) if full else unit * weights[i]
-        if not full:
+def with_targets(sources: DataFrame, p: Mix) -> DataFrame:
+    """``sources`` (source, source_size, weight) with ``target``: shares of the total by weight; what a
+    source cannot give is shared again by the others. One aggregate over the sources for each round."""
+    full = F.lit(p.most) * F.col("source_size")
+    unit, given = None, F.lit(False)
+    while True:
+        total, held, weights = sources.agg(
+            F.sum("source_size"), F.sum(F.when(given, full)), F.sum(F.when(~given, F.col("weight")))
+        ).first()
+        if not weights:
+            break
+        after = (p.share * total - (held or 0)) / weights
+        if after == unit:
             break
-        rest -= sum(out[i] for i in full)
-        active = [i for i in active if i not in set(full)]
-    return out
+        unit = after
+        given = given | (F.lit(unit) * F.col("weight") > full)
+    shared = F.lit(0.0) if unit is None else F.lit(unit) * F.col("weight")
+    return sources.withColumn("target", F.when(given, full.cast("double")).otherwise(shared))
 
 
 def hypergeometric(rng: np.random.Generator, good: int, bad: int, drawn: int) -> int:
@@ -59,24 +67,22 @@ def hypergeometric(rng: np.random.Generator, good: int, bad: int, drawn: int) ->
     return min(max(round(rng.normal(mean, deviation)), low), high)
 
 
-def split_quotas(quotas: list[int], shards: int, seed: int) -> list[list[int]]:
+def split_quotas(quotas: list[int], sizes: list[int], seed: int) -> list[list[int]]:
     """Blocks of each stratum (inner list) for each shard, by a binary tree of exact splits.
 
     A node's quotas are divided between its halves by one multivariate hypergeometric draw, stratum
-    by stratum. Rows sum to shard sizes at most one apart, columns to the quotas.
+    by stratum. Rows sum to the shard ``sizes``, columns to the quotas.
     """
     rng = np.random.default_rng(seed)
-    total = sum(quotas)
-    reached = [total * j // shards for j in range(shards + 1)]
-    leaves: list[list[int]] = [[]] * shards
-    nodes = [(0, shards, list(quotas))]
+    leaves: list[list[int]] = [[]] * len(sizes)
+    nodes = [(0, len(sizes), list(quotas))]
     while nodes:
         low, high, own = nodes.pop()
         if high - low == 1:
             leaves[low] = own
             continue
         middle = (low + high) // 2
-        wanted, rest, left = reached[middle] - reached[low], sum(own), []
+        wanted, rest, left = sum(sizes[low:middle]), sum(own), []
         for q in own:
             n = hypergeometric(rng, q, rest - q, wanted)
             left.append(n)
@@ -85,12 +91,43 @@ def split_quotas(quotas: list[int], shards: int, seed: int) -> list[list[int]]:
     return leaves
 
 
+def even(total: int, shards: int) -> list[int]:
+    """Sizes at most one apart that sum to the total."""
+    return [total * (j + 1) // shards - total * j // shards for j in range(shards)]
+
+
+def leaf_starts(quotas: DataFrame, p: Mix) -> DataFrame:
+    """``stratum, starts``: the rank of the first block of every shard but the first.
+
+    ``quotas`` has one row per stratum. The tree first divides chunks of strata among the shards, by
+    their sums, and then, chunk after chunk, the strata of each. Only the sums of the chunks and the
+    strata of one chunk are on the driver at once; the result is a stored table.
+    """
+    spark = quotas.sparkSession
+    schema = "stratum long, starts array<long>"
+    chunk = F.floor(F.col("stratum") / p.chunk).alias("chunk")
+    sums = sorted(map(tuple, quotas.groupBy(chunk).agg(F.sum("quota")).collect()))
+    of_chunks = split_quotas([n for _, n in sums], even(sum(n for _, n in sums), p.shards), p.seed)
+    path = new_scratch(spark, "leaves")
+    spark.createDataFrame([], schema).write.parquet(path)
+    for i, (number, _) in enumerate(sums):
+        rows = quotas.filter((F.col("stratum") >= number * p.chunk) & (F.col("stratum") < (number + 1) * p.chunk))
+        own = sorted(map(tuple, rows.select("stratum", "quota").collect()))
+        leaves = np.array(split_quotas([q for _, q in own], [shard[i] for shard in of_chunks], p.seed + 1 + number), np.int64)
+        starts = np.cumsum(leaves.reshape(p.shards, -1), axis=0)[:-1].T.tolist()
+        found = [(stratum, x) for (stratum, _), x in zip(own, starts, strict=True)]
+        spark.createDataFrame(found, schema).coalesce(1).write.mode("append").parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
 def measured(docs: DataFrame) -> DataFrame:
-    """``doc_id, source, size, uid``, stored once; ``size`` is the number of words."""
+    """``doc_id, source, size, uid``, stored once; ``size`` is the number of words. ``uid`` is a column of
+    ``docs``, or made here."""
     size = F.coalesce(F.regexp_count(F.col("text").cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
     doc_id = F.col("doc_id").cast("long").alias("doc_id")
-    rows = docs.select(doc_id, F.col("source").cast("string").alias("source"), size.alias("size"))
-    return materialize(rows.withColumn("uid", F.monotonically_increasing_id()), "measured")
+    uid = F.col(UID) if UID in docs.columns else F.monotonically_increasing_id()
+    rows = docs.select(doc_id, F.col("source").cast("string").alias("source"), size.alias("size"), uid.alias("uid"))
+    return materialize(rows, "measured")
 
 
 def _key(p: Mix, turn: int | Column, block: Column) -> Column:
@@ -98,37 +135,25 @@ def _key(p: Mix, turn: int | Column, block: Column) -> Column:
     return F.xxhash64(F.lit(p.seed), F.lit(turn) if isinstance(turn, int) else turn, "doc_id", block)
 
 
-@dataclass
-class Plan:
-    """What was decided: per source its size and target, per source and pass the cuts of its order."""
-
-    sources: DataFrame  # source, source_size, target, cuts: one struct for each pass
-
-
-def planned(rows: DataFrame, p: Mix) -> Plan:
-    """Targets, then the place in each source's random order where its words are reached.
+def planned(rows: DataFrame, p: Mix) -> DataFrame:
+    """``source, source_size, target, cuts``: targets, and for each pass where in the source's random
+    order the leaves of the splitting tree begin and where its words are reached.
 
     A source is gone through at most ``most`` times (passes), each in an order of its own. Words and
     blocks before a block are sums over hash buckets plus a window inside one bucket, so a source
     with a third of all rows is spread over ``buckets`` windows.
     """
-    spark = rows.sparkSession
-    found = rows.groupBy("source").agg(F.sum("size").alias("n")).limit(p.most_sources + 1).collect()
-    if len(found) > p.most_sources:
-        raise ValueError(f"over {p.most_sources} sources")
-    found = sorted(((r["source"], r["n"]) for r in found), key=lambda x: (x[0] is None, x[0] or ""))
-    sizes = [n for _, n in found]
-    weights = [p.weights[i % len(p.weights)] for i in range(len(found))]
-    wanted = targets(sizes, weights, p.share * sum(sizes), p.most)
-
-    needs = []  # stratum: (source, pass, words)
-    for (source, n), t in zip(found, wanted, strict=True):
-        left = round(t)
-        for turn in range(p.most):
-            if min(left, n) > 0:
-                needs.append((source, turn, min(left, n), len(needs)))
-            left -= min(left, n)
-    strata = spark.createDataFrame(needs, "source string, turn int, need long, stratum int")
+    found = rows.groupBy("source").agg(F.sum("size").alias("source_size")).withColumn("last", F.col("source").isNull())
+    placed = assign_dense_ids(found, ["last", "source"], 0, "position")
+    weights = F.array(*[F.lit(w) for w in p.weights])
+    weight = F.get(weights, (F.col("position") % len(p.weights)).cast("int"))
+    sources = materialize(with_targets(placed.withColumn("weight", weight), p), "sources")
+
+    turns = F.explode(F.sequence(F.lit(0), F.lit(p.most - 1))).alias("turn")
+    strata = sources.select("source", "source_size", F.bround("target").cast("long").alias("wanted"), "position", turns)
+    need = F.least(F.col("wanted") - F.col("turn") * F.col("source_size"), F.col("source_size"))
+    stratum = F.col("position") * p.most + F.col("turn")
+    strata = materialize(strata.select("source", "turn", need.alias("need"), stratum.alias("stratum")).filter("need > 0"), "strata")
 
     starts = F.sequence(F.lit(0), F.floor((F.col("size") - 1) / p.block_words))
     blocks = rows.filter("size > 0").withColumn("block", F.explode(starts))
@@ -150,34 +175,22 @@ def planned(rows: DataFrame, p: Mix) -> Plan:
     )
     ranked = materialize(ranked.filter("before < need"), "ranked")
     last = ranked.filter("before + words >= need").select("stratum", "rank", "key", "uid", "block", (F.col("need") - F.col("before")).alias("cut"))
-    cuts = {r["stratum"]: r for r in last.collect()}  # one row for each stratum
-    quotas = [cuts[i]["rank"] + 1 for i in range(len(needs))]
-    leaves = split_quotas(quotas, p.shards, p.seed)
-    firsts: list[tuple[int, int]] = []
-    for i in range(len(needs)):
-        at = 0
-        for leaf in leaves[:-1]:
-            at += leaf[i]
-            firsts.append((i, at))
-    edges: dict[tuple[int, int], tuple] = {}
-    if firsts:
-        places = spark.createDataFrame(sorted(set(firsts)), "stratum int, rank long")
-        for r in ranked.join(places, ["stratum", "rank"]).select("stratum", "rank", "key", "uid", "block").collect():
-            edges[r["stratum"], r["rank"]] = (r["key"], r["uid"], r["block"])
-
-    by_source: dict = {source: [None] * p.most for source, _ in found}
-    ends = (1 << 63) - 1
-    for source, turn, _, i in needs:
-        own = [edges.get(f, (ends, ends, ends)) for f in firsts[i * (p.shards - 1) : (i + 1) * (p.shards - 1)]]
-        cut = cuts[i]
-        by_source[source][turn] = (cut["key"], cut["uid"], cut["block"], cut["cut"], own)
-    schema = (
-        "source string, source_size long, target double, "
-        "cuts array<struct<key:long,uid:long,block:long,cut:long,edges:array<struct<key:long,uid:long,block:long>>>>"
-    )
-    discard(blocks, ranked)
-    out = [(source, n, t, by_source[source]) for (source, n), t in zip(found, wanted, strict=True)]
-    return Plan(spark.createDataFrame(out, schema))
+    last = materialize(last, "last")
+    leaves = leaf_starts(last.select("stratum", (F.col("rank") + 1).alias("quota")), p)
+    # where leaves begin, as blocks: a leaf after the last block begins at the end of the order
+    wanted = leaves.select("stratum", F.posexplode("starts").alias("leaf", "rank"))
+    ends = F.struct(*[F.lit((1 << 63) - 1).alias(c) for c in ("key", "uid", "block")])
+    at = F.when(F.col("key").isNotNull(), F.struct("key", "uid", F.col("block").cast("long").alias("block"))).otherwise(ends)
+    edges = wanted.join(ranked.select("stratum", "rank", "key", "uid", "block"), ["stratum", "rank"], "left")
+    edges = edges.groupBy("stratum").agg(F.transform(F.array_sort(F.collect_list(F.struct("leaf", at.alias("at")))), lambda x: x["at"]).alias("edges"))
+    cuts = last.join(edges, "stratum", "left").join(strata.select("stratum", "source", "turn"), "stratum")
+    none = F.array().cast("array<struct<key:bigint,uid:bigint,block:bigint>>")
+    cut = F.struct("turn", "key", "uid", F.col("block").cast("long").alias("block"), "cut", F.coalesce("edges", none).alias("edges"))
+    cuts = cuts.groupBy(F.col("source").alias("s")).agg(F.array_sort(F.collect_list(cut)).alias("cuts"))
+    plan = sources.join(cuts, F.col("source").eqNullSafe(F.col("s")), "left")
+    plan = materialize(plan.select("source", "source_size", "target", "cuts"), "plan")
+    discard(sources, strata, blocks, ranked, last)
+    return plan
 
 
 def _taken(p: Mix, turn: int, block: Column) -> Column:
@@ -195,24 +208,41 @@ def _blocks(p: Mix) -> Column:
     return F.when(F.col("size") > 0, F.sequence(F.lit(0).cast("long"), F.floor((F.col("size") - 1) / p.block_words))).otherwise(none)
 
 
-def _with_plan(rows: DataFrame, plan: Plan) -> DataFrame:
-    sources = plan.sources.withColumnRenamed("source", "planned_source")
+def _with_plan(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    sources = plan.withColumnRenamed("source", "planned_source")
     return rows.join(sources, F.col("source").eqNullSafe(F.col("planned_source")), "left")
 
 
+def _draws(p: Mix) -> Column:
+    """The drawn blocks of a row: block, words, the shard whose leaf holds it, and its key."""
+
+    def drawn(turn: int):
+        def block(b: Column) -> Column:
+            key = _key(p, turn, b)
+            at = F.struct(key.alias("key"), F.col("uid"), b.alias("block"))
+            shard = F.size(F.filter(F.get("cuts", F.lit(turn))["edges"], lambda e: e <= at))
+            return F.struct(b.alias("block"), _taken(p, turn, b).alias("words"), shard.alias("shard"), key.alias("key"))
+
+        return block
+
+    turns = [F.transform(_blocks(p), drawn(turn)) for turn in range(p.most)]
+    return F.filter(F.concat(*turns), lambda d: d["words"] > 0)
+
+
 def mix_table(docs: DataFrame, p: Mix | None = None) -> DataFrame:
-    """``doc_id, size, source_size, target, taken`` of every row.
+    """``doc_id, size, source_size, target, taken, shard_words`` of every row.
 
-    A null text has no words and nothing is taken from it; a null source is a source of its own,
-    the last. Repeated rows are drawn each. An empty table gives no rows. The draw depends on
-    ``doc_id`` and the seed, so reruns agree.
+    ``shard_words`` lists the drawn blocks of the row: the shard whose leaf of the splitting tree holds
+    the block, and its words; ``taken`` is their sum. A null text has no words and nothing is taken
+    from it; a null source is a source of its own, the last. Repeated rows are drawn each. An empty
+    table gives no rows. The draw depends on ``doc_id`` and the seed, so reruns agree.
     """
     p = p or Mix()
     rows = measured(docs)
-    joined = _with_plan(rows, planned(rows, p))
-    turns = range(p.most)
-    total = F.aggregate(_blocks(p), F.lit(0).cast("long"), lambda n, b: sum((_taken(p, t, b) for t in turns), n))
-    return joined.select("doc_id", "size", "source_size", "target", total.alias("taken"))
+    joined = _with_plan(rows, planned(rows, p)).withColumn("draws", _draws(p))
+    total = F.aggregate("draws", F.lit(0).cast("long"), lambda n, d: n + d["words"])
+    by_shard = F.transform("draws", lambda d: F.struct(d["shard"].alias("shard"), d["words"].alias("words")))
+    return joined.select("doc_id", "size", "source_size", "target", total.alias("taken"), F.array_sort(by_shard).alias("shard_words"))
 
 
 def mixed(docs: DataFrame, p: Mix | None = None) -> DataFrame:
@@ -222,30 +252,22 @@ def mixed(docs: DataFrame, p: Mix | None = None) -> DataFrame:
     document of several blocks, or taken twice, gives several rows.
     """
     p = p or Mix()
+    # the place of a row in its source is drawn by stored ids, so both uses of them agree
+    docs = materialize(docs.withColumn(UID, F.monotonically_increasing_id()), "mixed")
+    columns = [c for c in docs.columns if c != UID]
     sizes = measured(docs)
     plan = planned(sizes, p)
     discard(sizes)
     text = F.col("text").cast("string")
     rows = docs.select(
-        F.struct(*docs.columns).alias("own"),
+        F.struct(*columns).alias("own"),
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("source").cast("string").alias("source"),
         text.alias("text"),
         F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        F.monotonically_increasing_id().alias("uid"),
+        F.col(UID).alias("uid"),
     )
-
-    def drawn(turn: int):
-        def block(b: Column) -> Column:
-            key = _key(p, turn, b)
-            at = F.struct(key.alias("key"), F.col("uid"), b.alias("block"))
-            shard = F.size(F.filter(F.get("cuts", F.lit(turn))["edges"], lambda e: e <= at))
-            return F.struct(b.alias("block"), _taken(p, turn, b).alias("words"), shard.alias("shard"), key.alias("key"))
-
-        return block
-
-    turns = [F.transform(_blocks(p), drawn(turn)) for turn in range(p.most)]
-    every = _with_plan(rows, plan).withColumn("draw", F.explode(F.filter(F.concat(*turns), lambda d: d["words"] > 0)))
+    every = _with_plan(rows, plan).withColumn("draw", F.explode(_draws(p)))
     # a word with the white space after it; joining them gives back the text
     trimmed = F.regexp_replace("text", "^" + GAP, "")
     pieces = F.split(trimmed, r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])")
@@ -254,4 +276,4 @@ def mixed(docs: DataFrame, p: Mix | None = None) -> DataFrame:
     every = every.withColumn("taken_text", F.when(whole, F.col("text")).otherwise(some))
     every = every.repartition("draw.shard", F.pmod("draw.key", F.lit(16))).sortWithinPartitions("draw.shard", "draw.key")
     changed = {"text": F.col("taken_text"), "n_chars": F.length("taken_text").cast("long")}
-    return every.select(*(changed.get(c, F.col("own")[c]).alias(c) for c in docs.columns))
+    return every.select(*(changed.get(c, F.col("own")[c]).alias(c) for c in columns))
