@@ -2,9 +2,9 @@
 
 A page is read into blocks, each with the path of tags from the root. Text length and punctuation
 are summed per path and divided by the path's blocks, smoothed along the page, fused, and paths
-above a threshold of the page's own spread are content. The article or main element around nearly
-all content is the article, else the element around all of it; every block in it that is not marked
-as something else belongs to the text.
+above a threshold of the page's own spread are content. The article elements that hold content, or
+the main elements, are the article if together they hold nearly all of it, else the element around
+all content; every block in it that is not marked as something else belongs to the text.
 """
 
 from __future__ import annotations
@@ -46,6 +46,12 @@ MARKS = frozenset(
     "sponsored subscribe toolbar widget alert complementary contentinfo search".split()
 )
 HEADER_MARKS = frozenset(("header", "topbar"))
+#: fixed values: words that only say what kind of box a name like "share-buttons" stands for
+BOXES = frozenset(
+    "area articles badge bar block body bottom box boxes btn button buttons card cards col column container content count field "
+    "frame group head heading holder icon icons inner item items js label left link links list listing media module network "
+    "networks outer panel posts right row section slot space stories text title tool tools top unit wrap wrapper".split()
+)
 #: fixed values: of these, the ones that a layout also gives to what surrounds the article
 LAYOUT = frozenset("sidebar widget search menu nav navbar navigation toolbar banner alert footer form modal".split())
 #: fixed values: what may stand in a head; anything else starts the body
@@ -70,7 +76,7 @@ class TagPaths:
 @dataclass
 class Element:
     tag: str
-    path: str
+    path: int
     parent: int
     silent: bool = False
     marked: bool = False
@@ -79,6 +85,7 @@ class Element:
     own: bool = False  # itself marked, by words of the page's layout alone if ``own_layout``
     own_layout: bool = False
     firm: bool = False  # marked by a tag or hidden, or in such an element: not by words alone
+    weak: bool = False  # in an article and named by a mark among other words: marked if it is mostly links
 
     def inherit(self, above: Element) -> None:
         """Marks from its own and those of the element above."""
@@ -99,25 +106,30 @@ class Block:
 NOTHING: frozenset[str] = frozenset()
 
 
-def marks_of(attrs: list[tuple[str, str | None]]) -> tuple[frozenset[str], bool]:
-    """The words of class, id and role, and whether the element is hidden."""
+def marks_of(attrs: list[tuple[str, str | None]]) -> tuple[frozenset[str], bool, bool]:
+    """The words of class, id and role, whether one of the names says nothing but a mark ("share",
+    "share-buttons", not "social-science"), and whether the element is hidden."""
     named = dict(attrs)
     said = " ".join(str(named.get(k) or "") for k in ("class", "id", "role"))
-    words = re.findall(r"[a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", " ", said).lower())
+    names = re.sub(r"(?<=[a-z])(?=[A-Z])", "-", said).lower().split()
+    words = [frozenset(re.findall(r"[a-z]+", name)) for name in names]
+    plain = any(own & MARKS and own <= MARKS | BOXES for own in words)
     hidden = "hidden" in named or "display:none" in str(named.get("style") or "").replace(" ", "").lower()
-    return frozenset(words), hidden
+    return frozenset().union(*words), plain, hidden
 
 
 @dataclass
 class Page(HTMLParser):
     """Blocks of text in page order and the elements that hold them."""
 
-    elements: list[Element] = field(default_factory=lambda: [Element("", "", -1)])
+    elements: list[Element] = field(default_factory=lambda: [Element("", 0, -1)])
     blocks: list[Block] = field(default_factory=list)
 
     def __post_init__(self) -> None:
         HTMLParser.__init__(self, convert_charrefs=True)
         self.open = [0]
+        self.places: dict[str, list[int]] = defaultdict(list)  # of open elements, by tag
+        self.paths: dict[tuple[int, str], int] = {}  # numbers of paths, by the path above and a name
         self.parts: list[str] = []
         self.linked = 0
         self.links = 0
@@ -131,14 +143,13 @@ class Page(HTMLParser):
 
     def _pop(self, tags: set[str] | frozenset, fence: frozenset = frozenset()) -> None:
         """Close the innermost open element with one of these tags, unless a fence stands before it."""
-        for at in range(len(self.open) - 1, 0, -1):
-            tag = self.elements[self.open[at]].tag
-            if tag in tags:
-                self.flush()
-                del self.open[at:]
-                return
-            if tag in fence:
-                return
+        at = max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
+        if not at or at < max((self.places[t][-1] for t in fence if t not in tags and self.places.get(t)), default=0):
+            return
+        self.flush()
+        for element in self.open[at:]:
+            self.places[self.elements[element].tag].pop()
+        del self.open[at:]
 
     def _start_body(self) -> None:
         """Close a head that was left open."""
@@ -159,7 +170,7 @@ class Page(HTMLParser):
         if tag in INLINE:
             self.links += tag == "a"
             return
-        marks, hidden = marks_of(attrs) if attrs else (NOTHING, False)
+        marks, plain, hidden = marks_of(attrs) if attrs else (NOTHING, False, False)
         if tag in ENDS_P:
             self._pop({"p"}, frozenset(("td", "th", "li", "button", "table")))
         if tag in ITSELF_ENDS:
@@ -169,16 +180,21 @@ class Page(HTMLParser):
             self._pop(FRAME | {"header"}, frozenset(("article", "main")))
         above = self.elements[self.open[-1]]
         header = (tag == "header" or bool(marks & HEADER_MARKS)) and not above.in_article
-        marked = tag not in ROOTS and (tag in FRAME or header or bool(marks & MARKS) or hidden)
+        named = bool(marks & MARKS)
+        weak = named and above.in_article and not plain
+        marked = tag not in ROOTS and (tag in FRAME or header or named and not weak or hidden)
         layout = marked and tag not in FRAME and not hidden and not header and marks & MARKS <= LAYOUT
         name = ".".join([tag, *sorted(marks)])
         within = above.in_article or tag in ("article", "main")
         firm = above.firm or tag in FRAME or header or hidden
+        path = self.paths.setdefault((above.path, name), len(self.paths) + 1)
         own = Element(
-            tag, f"{above.path}/{name}", self.open[-1], above.silent or tag in SILENT, in_article=within, own=marked, own_layout=layout, firm=firm,
+            tag, path, self.open[-1], above.silent or tag in SILENT, in_article=within, own=marked, own_layout=layout, firm=firm,
+            weak=weak and not marked,
         )
         own.inherit(above)
         self.elements.append(own)
+        self.places[tag].append(len(self.open))
         self.open.append(len(self.elements) - 1)
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
@@ -203,6 +219,7 @@ def read_page(html: str) -> Page:
     page.feed(html)
     page.close()
     page.flush()
+    confirm(page)
     release(page)
     return page
 
@@ -217,27 +234,59 @@ def weights(page: Page, own: list[int]) -> np.ndarray:
     return total
 
 
+def _inherit(page: Page) -> None:
+    """Bring marks from their elements down to the blocks, after some were changed."""
+    for x in page.elements[1:]:
+        x.inherit(page.elements[x.parent])
+    for b in page.blocks:
+        b.marked = page.elements[b.element].marked
+
+
+def confirm(page: Page) -> None:
+    """Mark what an article names by a mark among other words if more than half of its text is links."""
+    if not any(e.weak for e in page.elements):
+        return
+    mass, linked = weights(page, [len(b.text) for b in page.blocks]), weights(page, [b.linked for b in page.blocks])
+    for i, e in enumerate(page.elements):
+        e.own = e.own or e.weak and 2 * linked[i] > mass[i]
+    _inherit(page)
+
+
 def release(page: Page) -> None:
     """Take back marks by words alone from what holds nearly all of the page's text.
 
-    Such an element holds over half of the text outside firm marks, and nine times what is not
-    marked at all. A page with unmarked text in an article or main element keeps all marks.
+    Such elements hold over half of the text outside firm marks, so they stand in each other. From the
+    outside in, one is released as long as it holds nine times what is not marked at all. A page with
+    unmarked text in an article or main element keeps all marks.
     """
     every = page.elements
     if not any(e.own and not e.firm for e in every):
         return
-    mass = weights(page, [0 if every[b.element].firm else len(b.text) for b in page.blocks])
-    free = sum(len(b.text) for b in page.blocks if not b.marked)
     if any(every[b.element].in_article and not b.marked for b in page.blocks):
         return
-    for i, e in enumerate(every):  # from the outside in
-        if e.own and not e.firm and 2 * mass[i] > mass[0] and 9 * free <= mass[i]:
-            e.own = e.own_layout = False
-            for x in every[1:]:
-                x.inherit(every[x.parent])
-            for b in page.blocks:
-                b.marked = every[b.element].marked
-            free = sum(len(b.text) for b in page.blocks if not b.marked)
+    mass = weights(page, [0 if every[b.element].firm else len(b.text) for b in page.blocks])
+    around = [i for i, e in enumerate(every) if e.own and not e.firm and 2 * mass[i] > mass[0]]
+    if not around:
+        return
+    layouts = [every[i].own_layout for i in around]
+    free = sum(len(b.text) for b in page.blocks if not b.marked)
+    for i in around:
+        every[i].own = every[i].own_layout = False
+    _inherit(page)
+    depth, inner = np.zeros(len(every), np.int64), set(around)
+    for i in range(1, len(every)):
+        depth[i] = depth[every[i].parent] + (i in inner)
+    freed = np.zeros(len(around) + 1)  # text that is unmarked once so many are released
+    for b in page.blocks:
+        if not b.marked and depth[b.element]:
+            freed[depth[b.element]] += len(b.text)
+    done = 0
+    while done < len(around) and 9 * free <= mass[around[done]]:
+        done += 1
+        free += freed[done]
+    for i, layout in list(zip(around, layouts, strict=True))[done:]:
+        every[i].own, every[i].own_layout = True, layout
+    _inherit(page)
 
 
 def content_blocks(page: Page, p: TagPaths) -> np.ndarray:
@@ -260,7 +309,7 @@ def content_blocks(page: Page, p: TagPaths) -> np.ndarray:
     fused = fused * own
     if not own.any():
         return own
-    of_path: dict[str, list[float]] = defaultdict(list)
+    of_path: dict[int, list[float]] = defaultdict(list)
     for path, value in zip(paths, fused, strict=True):
         of_path[path].append(value)
     mean = {path: float(np.mean(values)) for path, values in of_path.items()}
@@ -268,6 +317,19 @@ def content_blocks(page: Page, p: TagPaths) -> np.ndarray:
     return np.array([mean[path] >= limit and mean[path] > 0 for path in paths]) & own
 
 
+def _frames(page: Page, mass: np.ndarray, free: np.ndarray, covered: float, tags: tuple[str, ...]) -> list[int]:
+    """The outermost elements of these tags with unmarked text, if together they hold the share
+    ``covered`` of the content."""
+    within, found = [False] * len(page.elements), []
+    for i, e in enumerate(page.elements):
+        within[i] = i > 0 and within[e.parent]
+        if e.tag in tags and not within[i]:
+            within[i] = True
+            if free[i] > 0:
+                found.append(i)
+    return found if sum(mass[i] for i in found) >= covered * mass[0] else []
+
+
 def main_text(html: str | None, p: TagPaths) -> str:
     """The article of one page: blocks in page order, joined by one blank; empty if there is none."""
     page = read_page(html) if html else None
@@ -279,18 +341,16 @@ def main_text(html: str | None, p: TagPaths) -> str:
     mass = weights(page, [len(b.text) * int(yes) for b, yes in zip(page.blocks, chosen, strict=True)])
     if not mass[0]:
         return ""
-    # the last element that holds enough is the innermost: children come after their parents
-    at = int(np.flatnonzero(mass >= p.covered * mass[0])[-1])
-    while at > 0 and page.elements[at].tag not in ("article", "main"):
-        at = page.elements[at].parent
-    best = at
-    if not best:  # no such frame: the innermost element around all content that is not a mere piece of it
+    free = weights(page, [len(b.text) * (not b.marked) for b in page.blocks])
+    frames = _frames(page, mass, free, p.covered, ("article",)) or _frames(page, mass, free, p.covered, ("article", "main"))
+    if not frames:  # the innermost element around all content that is not a mere piece of it
         best = int(np.flatnonzero(mass == mass[0])[-1])
         holds = {e.parent for e in page.elements}
         while best > 0 and (page.elements[best].tag in PIECES or best not in holds):
             best = page.elements[best].parent
-    inside = {best}
-    for i in range(best + 1, len(page.elements)):
+        frames = [best]
+    inside = set(frames)
+    for i in range(min(frames) + 1, len(page.elements)):
         if page.elements[i].parent in inside:
             inside.add(i)
     return " ".join(b.text for b in page.blocks if b.element in inside and not b.marked)

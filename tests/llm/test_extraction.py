@@ -1,5 +1,9 @@
 import html
+import random
 import re
+import time
+
+from helpers import prose
 
 from sightline.llm import tagpaths
 from sightline.llm.text import table
@@ -70,6 +74,57 @@ def test_marked_wrapper_of_the_whole_page():
     assert tagpaths.main_text(page, P) == "short"
 
 
+def test_several_articles_and_their_own_names():
+    read = lambda body: tagpaths.main_text(f"<html><body><nav>Home, now.</nav>{body}<footer>(c) x</footer></body></html>", P)
+    long, small = LONG.strip(), "A short one, it is."
+    assert read(f"<article><p>{LONG}</p></article><article><p>{small}</p></article>") == f"{long} {small}"
+    assert read(f"<main><div class=list>One, two.</div><article><p>{LONG}</p></article><article>{small}</article></main>") == f"{long} {small}"
+    for name in ("class=search-engines", "id=social-science", "class='related-work history'", "class=reply-to-critics", "id=notice-of-death"):
+        body = f"<article><h1>Title</h1><p>{LONG}</p><div {name}><p>{small}</p></div></article>"
+        assert read(body) == f"Title {long} {small}", name
+    for name in ("class=ad", "class=share-buttons", "id=comments", "class=cookieNotice", "class='x newsletter-signup'", "class=ad-slot", "hidden"):
+        body = f"<article><h1>Title</h1><p>{LONG}</p><div {name}><p>{small}</p></div><p>End.</p></article>"
+        assert read(body) == f"Title {long} End.", name
+    linked = f"<div class=related-reading-here><a href=x>{small}</a> <a href=y>And more.</a></div>"
+    assert read(f"<article><p>{LONG}</p>{linked}</article>") == long
+
+
+def generated(rng, marked):
+    """A page without an article element, and what it says: content in nested divs among other parts."""
+    words = lambda n: " ".join(prose(rng.random(), n).split())
+    content, wanted = [], []
+    for _ in range(rng.randint(1, 6)):
+        if rng.random() < 0.4:
+            title = words(3)
+            content.append(f"<h2>{title}</h2>")
+            wanted.append(title)
+        for _ in range(rng.randint(1, 4)):
+            text = words(rng.randint(12, 60)).replace(" ", ", ", 3) + "."
+            content.append(rng.choice(["<p>{}</p>", "<p>{}", "<div><p>{}</p></div>", "<section class=part><p>{}</p></section>"]).format(text))
+            wanted.append(text)
+        if rng.random() < 0.5:
+            content.append(f"<div class='{rng.choice(marked)}'><a href=x>{words(4)}</a></div>")
+    side = f"<div class=sidebar><ul><li><a href=x>{words(2)}</a><li>{words(2)}</ul></div>"
+    body = f"<nav><ul><li>{words(2)}</ul></nav><div class=page><div class=text>{''.join(content)}</div>{side}</div><footer>{words(5)}</footer>"
+    return f"<html><head><title>{words(2)}</title><body>{body}", " ".join(wanted)
+
+
+def test_generated_template_without_article():
+    rng = random.Random(8)
+    for _ in range(60):
+        page, want = generated(rng, ["ad", "share", "related-posts", "newsletter"])
+        assert tagpaths.main_text(page, P) == want
+
+
+def test_deep_and_broken_pages_take_linear_time():
+    deep = 16000
+    for page in ("<div>" * deep, "<div>" * deep + "</p>" * deep, "<p><button>" + "<div>" * deep, "<div class=search>" * deep + LONG, "<td>" * deep,
+                 "<ul><li>" * deep + "a, b.", "<article>" * deep + "a", "<p class=x>a.</p>" * deep, "</div>" * deep, "<div class=search-here>" * deep + "a, b."):
+        start = time.perf_counter()
+        tagpaths.main_text(page, P)
+        assert time.perf_counter() - start < 2.5, page[:30]
+
+
 def test_odd_pages(spark):
     rows = [
         (1, "u", None), (2, "u", ""), (3, "u", "<nav>Menu</nav>"), (4, None, "plain words only"), (5, "u", "<p>cut off, here. <b"),
