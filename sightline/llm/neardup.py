@@ -24,7 +24,7 @@ class NearDup:
     drops a candidate whose estimate lies below ``floor``: for the largest sets the floor is four
     standard deviations under 0.75. Where a side has ``small`` shingles or fewer, one bin that two
     of them share may move the estimate under the floor, so sketches are not asked there. ``parts``
-    splits a bucket where neighbours are compared.
+    splits a bucket where neighbours are compared; ``block`` members of a bucket meet as many at once.
     """
 
     width: int = 5
@@ -36,6 +36,7 @@ class NearDup:
     floor: float = 0.67
     small: int = 64
     parts: int = 64
+    block: int = 256
     seed: int = 20240607
 
     @property
@@ -168,7 +169,8 @@ def open_members(members: DataFrame, labels: DataFrame) -> DataFrame:
         "bucket", "doc_id", F.coalesce("component", "doc_id").alias("component")
     )
     mixed = labelled.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    return materialize(labelled.join(mixed.filter("low < high").select("bucket"), "bucket", "left_semi"), "open")
+    # merged, so that Spark can split a bucket with very many members
+    return materialize(labelled.join(mixed.filter("low < high").select("bucket").hint("merge"), "bucket", "left_semi"), "open")
 
 
 def chained(members: DataFrame, p: NearDup) -> DataFrame:
@@ -185,13 +187,21 @@ def chained(members: DataFrame, p: NearDup) -> DataFrame:
 def across(members: DataFrame, classes: DataFrame, p: NearDup) -> DataFrame:
     """All pairs of one bucket and different components that sizes and sketches leave over.
 
-    A pair that meets in several buckets comes from the smallest of them.
+    A pair that meets in several buckets comes from the smallest of them. The members of a bucket are
+    cut into blocks by a hash, and each block meets each other one under a key of its own, so no task
+    gets more than the pairs of two blocks.
     """
+    blocks = members.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / p.block).alias("blocks"))
+    members = members.join(blocks.hint("merge"), "bucket")
+    own = F.pmod(F.xxhash64(F.lit(p.seed), "doc_id"), F.col("blocks"))
     sides = classes.select("doc_id", "n_shingles", "n_samples", "sketch", "bands")
-    members = materialize(members.join(sides, "doc_id"), "across")
-    x, y = members.alias("x"), members.alias("y")
+    members = materialize(members.withColumn("own", own).join(sides, "doc_id"), "across")
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    x = members.withColumns({"left": F.col("own"), "right": every}).alias("x")
+    y = members.withColumns({"left": every, "right": F.col("own")}).alias("y")
     first = F.array_min(F.array_intersect("x.bands", "y.bands")) == F.col("x.bucket")
-    both = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.component") < F.col("y.component")) & _open(p) & first)
+    met = reduce(Column.__and__, [F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("bucket", "left", "right")])
+    both = x.join(y, met & (F.col("x.component") < F.col("y.component")) & _open(p) & first)
     return both.select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b")).distinct()
 
 
@@ -218,7 +228,7 @@ def near_components(docs: DataFrame, p: NearDup | None = None) -> DataFrame:
     posted = classes.filter("doc_id is not null").select(F.explode("bands").alias("bucket"), "doc_id")
     buckets = posted.groupBy("bucket").agg(F.min("doc_id").alias("lead"), F.max("doc_id").alias("last"))
     buckets = buckets.filter("lead < last").select("bucket", "lead")
-    members = materialize(posted.join(buckets, "bucket"), "members")
+    members = materialize(posted.join(buckets.hint("merge"), "bucket"), "members")
     # texts are always met by a sort-merge join, so that the plan is the same at every size
     wanted = members.select("doc_id").distinct().hint("merge")
     sets = materialize(shingle_sets(with_long_id(docs).join(wanted, "doc_id", "left_semi"), p), "sets")
