@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sightline.llm.text import map_texts, with_long_id
+from sightline.session import discard, materialize
 
 #: fixed values: insults that vote from the start, whatever the labelled rows hold
 INSULTS = (
@@ -198,15 +199,17 @@ def learnt(docs: DataFrame, labels: DataFrame, p: Toxicity) -> Model:
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), "toxic").filter("toxic in (0, 1)")
     known = known.filter(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(p.labelled)
-    # at most p.labelled narrow rows
-    sample = with_long_id(docs).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic")
+    # at most p.labelled narrow rows; of rows that repeat an id the one with the smallest text is learnt from
+    found = with_long_id(docs).join(F.broadcast(chosen), "doc_id")
+    sample = materialize(found.groupBy("doc_id", "toxic").agg(F.min(F.col("text").cast("string")).alias("text")), "sample")
     entries = mined(sample, p)
 
     def make(texts, kept):
         return kept["doc_id"], kept["toxic"], [describe(t, entries, p) for t in texts]
 
     rows = map_texts(sample, "text", ["doc_id", "toxic"], make, "doc_id long, toxic int, x array<double>")
-    rows = sorted(rows.limit(2 * p.labelled).collect())
+    rows = sorted(rows.collect())
+    discard(sample)
     if not rows:
         x = np.stack([describe("", entries, p), describe(INSULTS, entries, p)])
         given = np.array([0.0, 1.0])
