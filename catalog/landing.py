@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from catalog.registry import query
 from sightline.functions.keys import url_fingerprint
 from sightline.operators.collect import run_summary
-from sightline.session import new_scratch
+from sightline.session import materialize, new_scratch
 from sightline.sources import landing, refresh
 from sightline.sources.tables import Tables, sorted_by_month
 from sightline.streaming import flows
@@ -68,52 +68,48 @@ def _(t):
     return rows.unionByName(bad)
 
 
+URL_KEY = "split_part({0}, '.', 1) || '.' || split_part({0}, '.', 2) || '.' || split_part({0}, '.', -1)"
+
+
 @query(
     "staging_rows",
-    """
-SELECT COUNT(*) AS n_rows, TRUE AS gapless, TRUE AS named,
-  COUNT(DISTINCT split_part(u, '.', 1) || '.' || split_part(u, '.', 2) || '.' || split_part(u, '.', -1)) AS n_urls
-FROM (SELECT json_extract_string(json_data, '$.occurrence.creative.url') AS u FROM landed)
+    f"""
+SELECT json_data, MIN(json_data) OVER (PARTITION BY {URL_KEY.format('u')}) AS first_of_url, TRUE AS gapless, TRUE AS named
+FROM (SELECT json_data, json_extract_string(json_data, '$.occurrence.creative.url') AS u FROM landed)
 """,
 )
 def _(t):
+    # the hash has no counterpart in the SQL engine, so each row is compared by the first row of its class
     rows = landing.json_array_rows(
         landing.land_json_lines(t.spark, landed_folder(t, t.landed, 3))
     )
-    staged = landing.staging_rows(rows, F.lit(NOW))
-    index = F.col("record_index")
-    per_file = staged.groupBy("source_filename").agg(
-        F.count(F.lit(1)).alias("n"),
-        (
-            (F.min(index) == 0)
-            & (F.max(index) == F.count(F.lit(1)) - 1)
-            & (F.countDistinct(index) == F.count(F.lit(1)))
-        ).alias("ok"),
-        F.min(~F.col("source_filename").endswith(".bz2")).alias("named"),
+    staged = materialize(landing.staging_rows(rows, F.lit(NOW)), "staged")
+    index, n = F.col("record_index"), F.count(F.lit(1))
+    files = staged.groupBy("source_filename").agg(
+        ((F.min(index) == 0) & (F.max(index) == n - 1) & (F.countDistinct(index) == n)).alias("gapless")
+    )
+    first = staged.groupBy("creative_url_hash").agg(F.min("json_data").alias("first_of_url"))
+    named = F.col("blob_name") == F.concat("source_filename", F.lit(".bz2"))
+    same = F.col("creative_url_hash").eqNullSafe(F.col("_hash"))
+    return (
+        staged.join(files, "source_filename")
+        .join(first.withColumnRenamed("creative_url_hash", "_hash"), same)
+        .select("json_data", "first_of_url", "gapless", named.alias("named"))
     )
-    urls = staged.agg(F.countDistinct("creative_url_hash")).scalar()
-    return per_file.agg(
-        F.sum("n").alias("n_rows"), F.min("ok").alias("gapless"), F.min("named").alias("named")
-    ).withColumn("n_urls", urls)
 
 
 @query(
     "url_fingerprint",
-    """
-WITH k AS (SELECT CASE WHEN html LIKE '%nav%' THEN url END AS url FROM pages)
-SELECT COUNT(*) AS n_rows, CAST(COUNT_IF(url IS NULL) AS BIGINT) AS n_null,
-  COUNT(DISTINCT split_part(url, '.', 1) || '.' || split_part(url, '.', 2) || '.' || split_part(url, '.', -1))
-  AS n_keys FROM k
+    f"""
+WITH k AS (SELECT page_id, CASE WHEN html LIKE '%nav%' THEN url END AS url FROM pages)
+SELECT page_id, url IS NULL AS unknown, MIN(page_id) OVER (PARTITION BY {URL_KEY.format('url')}) AS first_page FROM k
 """,
 )
 def _(t):
-    # the hash has no counterpart in the SQL engine, so its equality classes are compared
     url = F.when(F.col("html").contains("nav"), F.col("url"))
-    return t.pages.select(url_fingerprint(url).alias("h")).agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(F.col("h").isNull()).alias("n_null"),
-        F.countDistinct("h").alias("n_keys"),
-    )
+    hashed = t.pages.select("page_id", url_fingerprint(url).alias("h"))
+    first = hashed.groupBy("h").agg(F.min("page_id").alias("first_page")).withColumnRenamed("h", "_h")
+    return hashed.join(first, F.col("h").eqNullSafe(F.col("_h"))).select("page_id", F.col("h").isNull().alias("unknown"), "first_page")
 
 
 STAGED = """

@@ -10,6 +10,7 @@ from catalog.registry import query
 from sightline.functions import jsons
 from sightline.operators import merge as m
 from sightline.operators.buckets import BucketedState
+from sightline.plans import events
 from sightline.session import new_scratch
 
 NOW = dt.datetime(2024, 2, 1)
@@ -284,6 +285,13 @@ moves AS (
 MARK = dt.datetime(2024, 1, 10)
 
 
+def stored_by_month(t) -> str:
+    """Gold events as a stored table that is partitioned by month."""
+    path = new_scratch(t.spark, "gold")
+    t.gold_event.write.partitionBy("capture_month").parquet(path)
+    return path
+
+
 @query(
     "reparent",
     f"""
@@ -296,11 +304,9 @@ FROM gold_event e LEFT JOIN moves m ON m.occurrence_id = e.occurrence_id
 """,
 )
 def _(t):
-    from sightline.plans.events import apply_reparent, newest_creatives, reparented
-
-    changed = newest_creatives(t.creative, F.lit(MARK))
-    moves = reparented(t.gold_event, changed, t.dedupe_map)
-    return apply_reparent(t.gold_event, moves, F.lit(NOW)).select(
+    path = stored_by_month(t)
+    events.reparent_in_place(path, t.creative, t.dedupe_map, F.lit(MARK), F.lit(NOW))
+    return t.spark.read.parquet(path).select(
         "occurrence_id", "creative_id",
         F.col("provider_parent_creative_url_hash").alias("parent_hash"), "updated_timestamp",
     )
@@ -317,10 +323,9 @@ FROM gold_event e LEFT JOIN changed b ON b.creative_id = e.creative_id
 """,
 )
 def _(t):
-    from sightline.plans.events import newest_creatives, set_delete_flag
-
-    changed = newest_creatives(t.creative, F.lit(MARK))
-    return set_delete_flag(t.gold_event, changed, F.lit(NOW)).select("occurrence_id", "delete_flag")
+    path = stored_by_month(t)
+    events.flag_in_place(path, t.creative, F.lit(MARK), F.lit(NOW))
+    return t.spark.read.parquet(path).select("occurrence_id", "delete_flag")
 
 
 @query(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -20,7 +21,7 @@ from sightline.plans.enrich import (
     property_company_view,
 )
 from sightline.plans.families import mapped
-from sightline.session import materialize
+from sightline.session import discard, materialize
 
 EVENT_KEY = ["country_iso_2_code", "provider_occurrence_id"]
 GOLD_KEY = ["country_iso_2_code", "capture_date", "capture_month", "provider_occurrence_id"]
@@ -519,6 +520,51 @@ def touched_months(
     return moved.select(month).union(flagged.select(month)).distinct()
 
 
+def rewrite_months(
+    path: str, months: DataFrame, change: Callable[[DataFrame], DataFrame], month: str = "capture_month"
+) -> int:
+    """Apply ``change`` to the rows of the listed months of a table partitioned by month, and write these
+    months alone. Returns how many.
+
+    The new months are written to the shared folder first, so a lost executor never reads what is being
+    replaced.
+    """
+    spark = months.sparkSession
+    months = materialize(months.select(month).distinct(), "months")
+    count = months.count()
+    if count:
+        gold = spark.read.parquet(path)
+        part = gold.join(months, month, "left_semi").select(gold.columns)
+        fresh = materialize(change(part), "reacted")
+        writer = fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(month).parquet(path)
+        discard(fresh)
+    discard(months)
+    return count
+
+
+def reparent_in_place(
+    path: str, creatives: DataFrame, dedupe_map: DataFrame, since: Column, now: Column, month: str = "capture_month"
+) -> int:
+    """:func:`apply_reparent` on a table partitioned by month; rewrites months with an event that moves."""
+    gold = creatives.sparkSession.read.parquet(path)
+    moves = materialize(reparented(gold, newest_creatives(creatives, since), dedupe_map), "moves")
+    months = gold.select("occurrence_id", month).join(moves.select("occurrence_id"), "occurrence_id", "left_semi")
+    count = rewrite_months(path, months, lambda part: apply_reparent(part, moves, now), month)
+    discard(moves)
+    return count
+
+
+def flag_in_place(path: str, creatives: DataFrame, since: Column, now: Column, month: str = "capture_month") -> int:
+    """:func:`set_delete_flag` on a table partitioned by month; rewrites months with an event to flag."""
+    gold = creatives.sparkSession.read.parquet(path)
+    changed = materialize(newest_creatives(creatives, since), "changed")
+    months = touched_months(gold, changed, gold.select("occurrence_id").limit(0), month)
+    count = rewrite_months(path, months, lambda part: set_delete_flag(part, changed, now), month)
+    discard(changed)
+    return count
+
+
 def react_in_place(
     path: str, creatives: DataFrame, dedupe_map: DataFrame, since: Column, now: Column,
     month: str = "capture_month",
@@ -526,22 +572,14 @@ def react_in_place(
     """As :func:`react_to_creatives` on a table partitioned by month; rewrites only touched months.
 
     Gold is read by its key columns to find the moves and the months, and then in whole only in
-    those months. The new months are written to the shared folder first, so a lost executor never
-    reads what is being replaced; a repeated reaction gives the same rows. Returns the number of
-    months written.
+    those months. A repeated reaction gives the same rows. Returns the number of months written.
     """
-    spark = creatives.sparkSession
-    gold = spark.read.parquet(path)
+    gold = creatives.sparkSession.read.parquet(path)
     changed = materialize(newest_creatives(creatives, since), "changed")
     moves = materialize(reparented(gold, changed, dedupe_map), "moves")
-    months = materialize(touched_months(gold, changed, moves, month), "months")
-    count = months.count()
-    if count:
-        part = gold.join(months, month, "left_semi").select(gold.columns)
-        after = set_delete_flag(apply_reparent(part, moves, now), changed, now)
-        fresh = materialize(after, "reacted")
-        writer = fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy(month).parquet(path)
+    months = touched_months(gold, changed, moves, month)
+    count = rewrite_months(path, months, lambda part: set_delete_flag(apply_reparent(part, moves, now), changed, now), month)
+    discard(changed, moves)
     return count
 
 
