@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from catalog.registry import query
 from sightline.operators import increments as inc
+from sightline.operators.collect import write_reported
+from sightline.session import new_scratch
 from sightline.sources.tables import version_range
 
 NOW = dt.datetime(2024, 2, 1)
@@ -105,10 +107,11 @@ FROM control, ({top}) x"""
     ),
 )
 def _(t):
-    moved = inc.finish_from_result(
-        t.control, "flow EUROPE", t.advert_coded, "updated_timestamp", F.lit(NOW),
-        ~F.col("holding_flag"),
-    )
+    # the mark moves by what the write has seen, in the same pass
+    path = new_scratch(t.spark, "result")
+    rows = t.advert_coded.select("creative_id", "updated_timestamp", "holding_flag").filter(~F.col("holding_flag"))
+    report = write_reported(rows, lambda df: df.write.parquet(path), ts="updated_timestamp")
+    moved = inc.finish_at(t.control, "flow EUROPE", report.newest, F.lit(NOW))
     # a result without rows leaves the mark alone
     same = inc.finish_from_result(
         moved, "flow ASIA", t.advert_coded, "updated_timestamp", F.lit(NOW), F.lit(False)
@@ -125,9 +128,11 @@ def _(t):
     ),
 )
 def _(t):
-    return inc.advance_from_source(
-        t.control, "flow AFRICA", t.creative, "updated_timestamp", F.lit(NOW)
-    ).select("watermark_name", "start_timestamp", "end_timestamp")
+    path = new_scratch(t.spark, "changes")
+    own = t.control.filter("watermark_name = 'flow AFRICA'").agg(F.max("end_timestamp"))
+    rows = t.creative.select("creative_id", "updated_timestamp").filter(F.col("updated_timestamp") > own.scalar())
+    report = write_reported(rows, lambda df: df.write.parquet(path), ts="updated_timestamp")
+    return inc.finish_at(t.control, "flow AFRICA", report.newest, F.lit(NOW)).select("watermark_name", "start_timestamp", "end_timestamp")
 
 
 @query(

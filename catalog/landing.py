@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from catalog.registry import query
 from sightline.functions.keys import url_fingerprint
-from sightline.operators.collect import run_summary
+from sightline.operators.collect import write_reported
 from sightline.session import materialize, new_scratch
 from sightline.sources import landing, refresh
 from sightline.sources.tables import Tables, sorted_by_month
@@ -267,6 +267,11 @@ SELECT COUNT(*) AS n_rows, COUNT(DISTINCT primary_product_id) AS n_ids,
 """,
 )
 def _(t):
-    return run_summary(
-        t.advert_coded, id="primary_product_id", ts="updated_timestamp", held=F.col("holding_flag")
+    # the report comes from the write itself; only distinct ids are counted on the written column
+    path = new_scratch(t.spark, "merged")
+    rows = t.advert_coded.select("primary_product_id", "updated_timestamp", "holding_flag")
+    report = write_reported(rows, lambda df: df.write.parquet(path), ts="updated_timestamp", held=F.col("holding_flag"))
+    return t.spark.read.parquet(path).agg(F.countDistinct("primary_product_id").alias("n_ids")).select(
+        F.lit(report.n_rows).cast("long").alias("n_rows"), "n_ids", F.lit(report.merged).cast("long").alias("merged"),
+        F.lit(report.held).cast("long").alias("held"), report.newest.alias("newest"),
     )

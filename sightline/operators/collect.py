@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -56,3 +57,43 @@ def run_summary(df: DataFrame, *, id: str, ts: str, held: Column | None = None)
         F.count_if(flag).alias("held"),
         F.max(F.when(~flag, F.col(ts))).alias("newest"),
     )
+
+
+@dataclass(frozen=True)
+class Report:
+    """What a write has seen of its own rows; ``newest_micros`` counts microseconds since 1970, UTC."""
+
+    n_rows: int
+    merged: int
+    held: int
+    newest_micros: int | None
+
+    @property
+    def newest(self) -> Column:
+        """The newest timestamp of the rows that were not held, as a literal; NULL without one."""
+        return F.timestamp_micros(F.lit(self.newest_micros).cast("long"))
+
+
+def write_reported(
+    df: DataFrame, write: Callable[[DataFrame], None], *, ts: str, held: Column | None = None
+) -> Report:
+    """Write ``df`` and report on it from the same pass: the plan runs once, and the report is of the
+    rows that were written, whatever happens to the sources meanwhile.
+
+    ``write`` must write all rows of the frame it is given, once. Distinct ids cannot be observed;
+    count them on what was written.
+    """
+    flag = F.lit(False) if held is None else F.coalesce(held, F.lit(False))
+    seen = Observation()
+    micros = F.unix_micros(F.col(ts).cast("timestamp"))
+    write(
+        df.observe(
+            seen,
+            F.count(F.lit(1)).alias("n_rows"),
+            F.count_if(~flag).alias("merged"),
+            F.count_if(flag).alias("held"),
+            F.max(F.when(~flag, micros)).alias("newest"),
+        )
+    )
+    found = seen.get
+    return Report(found["n_rows"], found["merged"], found["held"], found["newest"])

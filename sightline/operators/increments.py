@@ -113,13 +113,12 @@ def finish_ts(
     return _set(control, F.lit(name), now, changes)
 
 
-def finish_from(control: DataFrame, name: str, newest: DataFrame, now: Column) -> DataFrame:
+def finish_at(control: DataFrame, name: str, newest: Column, now: Column) -> DataFrame:
     """Move the window to ``[old end, newest]``; nothing changes when ``newest`` is NULL.
 
-    ``newest`` has one row and one column: the maximum over the processed rows.
+    ``newest`` is one value for all rows, as the ``newest`` of a :class:`~sightline.operators.collect.Report`.
     """
-    top = newest.toDF("_top")
-    joined = control.withColumn("_top", top.scalar())
+    joined = control.withColumn("_top", newest.cast("timestamp"))
     hit = (F.col("watermark_name") == name) & F.col("_top").isNotNull()
     changes = {
         "start_timestamp": F.col("end_timestamp"),
@@ -135,6 +134,11 @@ def finish_from(control: DataFrame, name: str, newest: DataFrame, now: Column) -
     )
 
 
+def finish_from(control: DataFrame, name: str, newest: DataFrame, now: Column) -> DataFrame:
+    """As :func:`finish_at`; ``newest`` has one row and one column: the maximum over the processed rows."""
+    return finish_at(control, name, newest.toDF("_top").scalar(), now)
+
+
 def finish_from_result(
     control: DataFrame, name: str, result: DataFrame, ts: str, now: Column, where: Column | None = None
 ) -> DataFrame:

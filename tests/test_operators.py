@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sightline.operators import increments as inc
 from sightline.operators import merge as m
+from sightline.operators.collect import write_reported
 from sightline.operators.ids import assign_dense_ids
 from sightline.operators.joins import near_size_join
 from sightline.operators.picks import first_per_key, latest_per_key
@@ -222,3 +223,19 @@ def test_collected_keeps_rows_without_a_key(spark):
     assert sorted(out, key=str) == sorted(
         [(1, "b", ["a", "b"]), (1, "a", ["a", "b"]), (None, "c", ["c"]), (None, None, ["c"])], key=str
     )
+
+
+def test_report_of_a_write_comes_from_the_same_pass(spark, folder):
+    rows = [(1, dt.datetime(2024, 1, 3), False), (2, dt.datetime(2024, 1, 9), True), (3, dt.datetime(2024, 1, 5), None), (3, None, False)]
+    df = spark.createDataFrame(rows, "id int, ts timestamp, held boolean")
+    report = write_reported(df, lambda x: x.write.parquet(folder + "/out"), ts="ts", held=F.col("held"))
+    assert (report.n_rows, report.merged, report.held) == (4, 3, 1)
+    assert spark.read.parquet(folder + "/out").count() == 4
+    control = spark.createDataFrame([("a", dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2), "x", None), ("b", None, None, "x", None)],
+                                    "watermark_name string, start_timestamp timestamp, end_timestamp timestamp, transaction_status string, updated_timestamp timestamp")
+    moved = inc.finish_at(control, "a", report.newest, F.lit(dt.datetime(2024, 2, 1))).orderBy("watermark_name").collect()
+    assert (moved[0]["start_timestamp"], moved[0]["end_timestamp"]) == (dt.datetime(2024, 1, 2), dt.datetime(2024, 1, 5))
+    assert moved[1]["end_timestamp"] is None and moved[1]["transaction_status"] == "x"
+    none = write_reported(df.limit(0), lambda x: x.write.parquet(folder + "/none"), ts="ts")
+    assert (none.n_rows, none.newest_micros) == (0, None)
+    assert inc.finish_at(control, "a", none.newest, F.lit(None)).filter("watermark_name = 'a'").first()["transaction_status"] == "x"
