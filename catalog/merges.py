@@ -10,6 +10,7 @@ from catalog.registry import query
 from sightline.functions import jsons
 from sightline.operators import merge as m
 from sightline.operators.buckets import BucketedState
+from sightline.operators.layout import BucketedTable
 from sightline.plans import events
 from sightline.session import new_scratch
 
@@ -64,17 +65,27 @@ def _(t):
     return m.insert_only(stored, new, key)
 
 
-@query(
-    "merge_upsert_all",
-    """
+UPSERTED = """
 SELECT s.k, s.v, s.n, s.ts, s.w FROM part_state s WHERE s.k NOT IN (SELECT k FROM part_delta)
 UNION ALL SELECT k, v, n, ts, w FROM part_delta
-""",
-)
+"""
+
+
+@query("merge_upsert_all", UPSERTED)
 def _(t):
     return m.upsert(t.part_state.drop("label"), t.part_delta, ["k"])
 
 
+@query("merge_bucketed", UPSERTED)
+def _(t):
+    # the state lies in buckets of its key; two merges on it move the delta alone
+    table = BucketedTable(t.spark, new_scratch(t.spark, "parts"), ["k"], 8)
+    table.load(t.part_state.drop("label"))
+    for version in range(2):
+        table.merge(t.part_delta, lambda state, delta: m.upsert(state, delta, ["k"]), version)
+    return table.read(2)
+
+
 @query(
     "merge_update_subset",
     """
