@@ -174,13 +174,15 @@ class WaveletFile:
 
 @dataclass(frozen=True)
 class TokenFiles:
-    """``file_ids`` ids close a file; a longer document is not split."""
+    """``file_ids`` ids close a file; a longer document is not split. A task gets about ``task_bytes`` of
+    texts, and there are ``partitions`` tasks at least."""
 
     tokenizer: str
     attached: bool = True
     end_id: int = 0
     partitions: int = 64
     file_ids: int = 1 << 21
+    task_bytes: int = 256 << 20
 
 
 MANIFEST = "task int, place int, path string, n_docs long, n_tokens long"
@@ -227,7 +229,8 @@ def write_files(docs: DataFrame, folder: str, p: TokenFiles) -> DataFrame:
             yield flush()
 
     rows = with_long_id(docs).withColumn("text", F.col("text").cast("string"))
-    ordered = rows.repartitionByRange(p.partitions, "doc_id").sortWithinPartitions("doc_id")
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    ordered = rows.repartitionByRange(max(p.partitions, -(-size // p.task_bytes)), "doc_id").sortWithinPartitions("doc_id")
     return materialize(ordered.mapInArrow(run, MANIFEST), "manifest")
 
 

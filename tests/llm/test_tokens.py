@@ -1,6 +1,7 @@
 import random
 import zlib
 from collections import defaultdict
+from dataclasses import replace
 
 import numpy as np
 import public_tokenizers
@@ -94,4 +95,7 @@ def test_files_round_trip(spark, folder):
         own = [*whole(text), 0]
         assert tuple(got[i + 1]) == (i + 1, at, len(own), zlib.crc32(np.array(own, "<u4").tobytes()))
         at += len(own)
+    more = wavelet.write_files(docs, f"file://{folder}/more", replace(p, task_bytes=2000))
+    assert files.select("task").distinct().count() <= 3 < more.select("task").distinct().count()
+    assert {tuple(r) for r in wavelet.read_files(more).collect()} == {tuple(r) for r in got.values()}
     assert wavelet.read_files(wavelet.write_files(docs.limit(0), f"file://{folder}/none", p)).collect() == []
