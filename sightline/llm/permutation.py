@@ -59,10 +59,21 @@ def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
     return np.concatenate(arrays) if arrays else np.empty((0, width))
 
 
+def tame(x: np.ndarray) -> np.ndarray:
+    """Rows whose squares leave the range of doubles, divided by their largest component: cosines stay."""
+    with np.errstate(over="ignore"):
+        squares = np.einsum("ij,ij->i", x, x)
+    wild = ~((squares > 1e-280) & (squares < 1e280))
+    if wild.any():
+        x = x.copy()
+        x[wild] /= np.abs(x[wild]).max(axis=1)[:, None]
+    return x
+
+
 def search_block(data: pa.Table, queries: pa.Table, pivots: np.ndarray, p: Permutations) -> pa.Table:
     """The nearest rows of one block for each query of one block, exactly scored."""
     width = pivots.shape[1]
-    x, q = _matrix(data["embedding"], width), _matrix(queries["embedding"], width)
+    x, q = tame(_matrix(data["embedding"], width)), tame(_matrix(queries["embedding"], width))
     ids, query_ids = data["ids"].to_pylist(), queries["vec_id"].to_pylist()
     x_norm, q_norm = np.sqrt(np.einsum("ij,ij->i", x, x)), np.sqrt(np.einsum("ij,ij->i", q, q))
     prefix = min(p.prefix, len(pivots))
@@ -124,7 +135,7 @@ def nearest_neighbours(vectors: DataFrame, p: Permutations | None = None) -> Dat
         empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
         return empty
     sample = entries.orderBy(F.xxhash64(F.get("ids", F.lit(0))), F.get("ids", F.lit(0))).limit(p.pivots).collect()
-    pivots = np.array([r["embedding"] for r in sample])
+    pivots = tame(np.array([r["embedding"] for r in sample]))
     pivots /= np.linalg.norm(pivots, axis=1)[:, None]
     blocks, query_blocks = -(-n // p.block_rows), -(-n_queries // p.block_queries)
     left = _spread(entries, F.get("ids", F.lit(0)), blocks, "theirs", query_blocks)

@@ -51,3 +51,16 @@ def test_recall_with_production_parameters(spark):
     key = lambda df: {(r["query_id"], r["vec_id"]) for r in df.collect()}
     found, exact = key(permutation.nearest_neighbours(rows, p)), key(permutation.exact_neighbours(rows, 5, p))
     assert len(found & exact) / len(exact) >= 0.9
+
+
+def test_extreme_components_keep_their_cosines(spark):
+    rng = np.random.default_rng(5)
+    vectors = rng.normal(size=(60, 8))
+    scales = np.array([1e300, 1e-300, 1.0, 1e160])[np.arange(60) % 4]
+    rows = [(i, [float(v) for v in x * s]) for i, (x, s) in enumerate(zip(vectors, scales, strict=True))]
+    p = permutation.Permutations(every=10, rerank=1.0)
+    found = permutation.nearest_neighbours(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), p).collect()
+    unit = vectors / np.linalg.norm(vectors, axis=1)[:, None]
+    assert len(found) == 30
+    for r in found:
+        assert abs(r["score"] - unit[r["query_id"]] @ unit[r["vec_id"]]) < 1e-12
