@@ -216,7 +216,7 @@ def _(t):
     # a Parquet stand-in; with format="jdbc" the same filter goes to the database
     return refresh.read_remote_table(
         t.spark, {"path": f"{t.folder}/orders.parquet"}, "o_orderdate", dt.datetime(1999, 6, 1),
-        format="parquet",
+        format="parquet", split=("o_orderkey", 4),
     ).select("o_orderkey", F.col("o_orderdate").cast("timestamp").alias("o_orderdate"))
 
 

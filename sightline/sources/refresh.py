@@ -79,6 +79,18 @@ def refresh_many(
     return names
 
 
+def split_options(rows: DataFrame, column: str, partitions: int) -> dict[str, str]:
+    """Options that let a relational source be read by ranges of a column, in that many tasks.
+
+    The bounds are one aggregate, which relational sources compute themselves. They only cut the ranges:
+    rows outside and NULLs are read too. Without a value there is nothing to cut.
+    """
+    low, high = rows.agg(F.min(column), F.max(column)).first()
+    if low is None:
+        return {}
+    return {"partitionColumn": column, "lowerBound": str(low), "upperBound": str(high), "numPartitions": str(partitions)}
+
+
 def read_remote_table(
     spark: SparkSession,
     options: dict[str, str],
@@ -86,16 +98,24 @@ def read_remote_table(
     since: dt.datetime | None = None,
     *,
     format: str = "jdbc",
+    split: tuple[str, int] | None = None,
 ) -> DataFrame:
     """A relational table with the change filter pushed to the source.
 
-    ``options`` are those of the data source. For parallel JDBC reads they should name
-    ``partitionColumn``, ``lowerBound``, ``upperBound`` and ``numPartitions``.
+    ``options`` are those of the data source. ``split`` names a numeric, date or timestamp column and
+    the number of tasks: the rows are then read by ranges of the column, between the least and the
+    greatest value that the change filter leaves.
     """
-    reader = spark.read.format(format).options(**options)
-    df = reader.load()
-    if changed_column is not None and since is not None:
+
+    def changed(df: DataFrame) -> DataFrame:
+        if changed_column is None or since is None:
+            return df
         ntz = isinstance(df.schema[changed_column].dataType, T.TimestampNTZType)
         mark = F.lit(since).cast("timestamp_ntz" if ntz else "timestamp")
-        df = df.filter(F.col(changed_column) > mark)
+        return df.filter(F.col(changed_column) > mark)
+
+    df = changed(spark.read.format(format).options(**options).load())
+    if split is not None:
+        ranges = split_options(df, *split)
+        df = changed(spark.read.format(format).options(**options, **ranges).load())
     return df

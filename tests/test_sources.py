@@ -111,6 +111,18 @@ def test_remote_filter_is_pushed_down(spark, folder):
     assert "GreaterThan(u" in df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_remote_reads_are_split_by_the_changed_rows(spark, folder):
+    path = folder + "/r"
+    spark.range(100).select("id", F.timestamp_seconds("id").alias("u")).write.parquet(path)
+    since = dt.datetime(1970, 1, 1, 0, 0, 39)
+    rows = spark.read.parquet(path).filter(F.col("u") > F.lit(since))
+    assert refresh.split_options(rows, "id", 8) == {"partitionColumn": "id", "lowerBound": "40", "upperBound": "99", "numPartitions": "8"}
+    assert refresh.split_options(rows, "u", 2)["lowerBound"] == "1970-01-01 00:00:40"
+    assert refresh.split_options(rows.limit(0), "id", 8) == {}
+    df = refresh.read_remote_table(spark, {"path": path}, "u", since, format="parquet", split=("id", 8))
+    assert df.count() == 60
+
+
 def test_batch_that_fails_after_its_write_is_not_applied_twice(spark, folder):
     src = folder + "/src"
     spark.range(10).selectExpr("id % 3 as k", "1L as n").write.parquet(src)
