@@ -5,6 +5,7 @@ import numpy as np
 from helpers import AWKWARD, documents, prose
 
 from sightline.llm import toxicity
+from sightline.llm.text import table
 
 
 def corpus():
@@ -41,6 +42,13 @@ def test_held_out_accuracy_and_split(spark):
     assert all(abs(again[r["doc_id"]] - r["score"]) < 1e-9 for r in rows)
 
 
+def test_held_out_rows_of_the_given_tables(spark):
+    docs, labels = (table(spark, "/root/testdata/sf0.1", name) for name in ("documents", "labels"))
+    rows = toxicity.toxicity_table(docs, labels).filter("held_out").join(labels.filter("toxic is not null"), "doc_id")
+    sums = dict(rows.groupBy("toxic").agg({"predicted": "avg"}).collect())
+    assert sums[1] >= 0.85 and sums[0] <= 0.005, sums
+
+
 def test_without_labels_and_empty(spark):
     docs = documents(spark, ["you pathetic moron, you stupid idiot", prose(1, 40), None])
     none = spark.createDataFrame([], "doc_id long, toxic int")
@@ -55,5 +63,5 @@ def test_label_model_down_weights_copies():
     vote = lambda right: np.where(rng.random(3000) < right, truth, ~truth).astype(float)
     good, weak = [vote(0.85) for _ in range(4)], vote(0.6)
     votes = np.column_stack([*good, *[weak] * 6])  # six copies of one weak voter
-    found = toxicity.label_model(votes, vote(0.8), toxicity.Toxicity()) > 0.5
+    found = toxicity.label_model(votes, vote(0.8), toxicity.Toxicity(trust=0.8)) > 0.5
     assert (found == truth).mean() > 0.93
