@@ -155,12 +155,16 @@ def likely(pairs: DataFrame, sketches: DataFrame, p: NearDup) -> DataFrame:
 
 
 def confirm(sets: DataFrame, pairs: DataFrame, p: NearDup) -> DataFrame:
-    """The pairs ``(a, b)`` whose full shingle sets are similar enough."""
+    """The pairs ``(a, b)`` whose full shingle sets are similar enough.
+
+    Pairs may repeat where a doc_id does. They are not made distinct here, so that Spark can split the
+    join where one document stands in very many pairs.
+    """
     left = sets.select(F.col("doc_id").alias("a"), F.col("own").alias("own_a"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("own").alias("own_b"))
     shared = F.size(F.array_intersect("own_a", "own_b"))
     both = pairs.join(right, "b").join(left, "a").select("a", "b", shared.alias("shared"), (F.size("own_a") + F.size("own_b")).alias("total"))
-    return both.filter(F.col("shared") * 100 >= (F.col("total") - F.col("shared")) * p.similar).select("a", "b").distinct()
+    return both.filter(F.col("shared") * 100 >= (F.col("total") - F.col("shared")) * p.similar).select("a", "b")
 
 
 def open_members(members: DataFrame, labels: DataFrame) -> DataFrame:

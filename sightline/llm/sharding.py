@@ -168,7 +168,9 @@ def write_shards(docs: DataFrame, path: str, p: Sharding | None = None) -> None:
     of ``docs`` itself is replaced.
     """
     p = p or Sharding()
-    cuts, shards = fitted(sized(docs), p)
+    rows = sized(docs)
+    cuts, shards = fitted(rows, p)
+    discard(rows)
     text = F.col("text").cast("string")
     part = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
     own = F.struct(*(c for c in docs.columns if c != "shard")).alias("own")
