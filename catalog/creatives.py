@@ -328,10 +328,9 @@ SELECT t.{GROUP.replace(', ', ', t.')}, t.occurrence_count, t.first_run, t.last_
 )
 def _(t):
     stored, run = summary_run(t)
-    state = summary.summary_state(t.spark, new_scratch(t.spark, "summary"), stored, 32)
+    state = summary.summary_state(t.spark, new_scratch(t.spark, "summary"), stored, 8)
     state.apply(stored, lambda _, batch: batch, 0)
-    for _run in range(2):  # a batch that runs again is applied once
-        summary.fold_summary(state, run.daily, 1)
+    summary.fold_summary(state, run.daily, 1)
     return state.read()
 
 

@@ -151,12 +151,12 @@ def _(t):
     stored, delta = t.summary_stored, t.daily.withColumnRenamed("occ_cnt", "occurrence_count")
     columns = [*GROUP, "occurrence_count", "first_run", "last_run"]
     schema = ", ".join(f"{name} {kind}" for name, kind in stored.select(columns).dtypes)
-    state = BucketedState(t.spark, new_scratch(t.spark, "summary"), GROUP, schema, 32)
+    state = BucketedState(t.spark, new_scratch(t.spark, "summary"), GROUP, schema, 8)
 
     def step(state, batch):
         return m.accumulate(state, batch, GROUP, add=["occurrence_count"], low=["first_run"], high=["last_run"])
 
-    state.apply(stored.select(columns), step, 0)
+    state.apply(stored.select(columns), lambda _, batch: batch, 0)
     for _run in range(2):  # a batch that runs again is applied once
         state.apply(delta.select(columns), step, 1)
     return state.read()
