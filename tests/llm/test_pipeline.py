@@ -3,12 +3,13 @@
 from collections import Counter
 
 from helpers import WORD
+from test_mixing import targets
 from test_neardup import components_of
 from test_pii import base
 from test_quality import base as counts
 
 import corpus_pipeline as c
-from sightline.llm import mixing, pii
+from sightline.llm import pii
 from sightline.llm.text import table
 from sightline.session import materialize
 
@@ -53,7 +54,7 @@ def test_stages(spark):
     for r in after:
         took[source[r["doc_id"]]] += len(WORD.findall(r["text"]))
     order = sorted(size)
-    want = mixing.targets([size[s] for s in order], [(5, 2, 1)[i % 3] for i in range(len(order))], 1.5 * sum(size.values()), 2)
+    want = targets([size[s] for s in order], [(5, 2, 1)[i % 3] for i in range(len(order))], 1.5 * sum(size.values()), 2)
     assert all(abs(took[s] - t) <= 1 for s, t in zip(order, want, strict=True))
 
     before, after, _ = seen[4]
