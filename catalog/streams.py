@@ -205,21 +205,21 @@ def _(t):
     .replace("SELECT o_orderkey, CASE WHEN o_orderdate <", "SELECT o_orderkey, o_orderdate, CASE WHEN o_orderdate <"),
 )
 def _(t):
-    # a month after the rules' time is over in some seconds; no row changes after the first run
+    # a month after the rules' time is over in half a minute; no row changes after the first run
     session = flows.state_session(t.spark)
     columns, reason = hold_columns(), F.col("reason")
     rows = t.orders.select("o_orderkey", hold_reason_of(columns).alias("reason"), F.col("o_orderdate").cast("timestamp").alias("classified"))
     end = rules.hold_end(reason, columns | {"classified_ts": F.col("classified"), "ai_sent_ts": F.lit(NO_END).cast("timestamp")})
     path, out, position = new_scratch(t.spark, "rows"), new_scratch(t.spark, "out"), mark(t)
     rows.write.parquet(path)
-    soon = dt.datetime.now(dt.timezone.utc) + dt.timedelta(seconds=6)
+    soon = dt.datetime.now(dt.timezone.utc) + dt.timedelta(seconds=30)
     until = F.when(end <= F.lit(HOLD_NOW + dt.timedelta(days=31)), F.lit(soon)).when(end.isNotNull(), F.lit(NO_END).cast("timestamp"))
 
     def run(at):
         stream = flows.file_stream(session, path, rows.schema)
         flows.run_timed(stateful.hold_until(stream, ["o_orderkey"], until, F.col("classified")), position, flows.changed_rows(out), at)
 
-    run(soon - dt.timedelta(seconds=6))
+    run(soon - dt.timedelta(seconds=30))
     run(soon + dt.timedelta(seconds=1))
     like = stateful.hold_until(flows.file_stream(session, path, rows.schema), ["o_orderkey"], until, F.col("classified")).schema
     done = flows.rows_so_far(t.spark, out, like).select(

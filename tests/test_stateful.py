@@ -141,7 +141,7 @@ def test_hold_ends_although_no_row_changes(session, folder):
 
     free = [(False, 1, "free"), (False, 2, "over")]
     assert run(start) == (free, [(4, "far"), (5, "new"), (6, "held")])
-    soon = dt.datetime.now(dt.timezone.utc) + dt.timedelta(seconds=15)
+    soon = dt.datetime.now(dt.timezone.utc) + dt.timedelta(seconds=30)
     add(session, f"{folder}/src", [(3, soon, day(1), "soon")], schema)
     assert run(start) == (free, [(3, "soon"), (4, "far"), (5, "new"), (6, "held")])
     assert run(soon) == (free + [(True, 3, "soon")], [(4, "far"), (5, "new"), (6, "held")])
