@@ -173,8 +173,11 @@ def open_members(members: DataFrame, labels: DataFrame) -> DataFrame:
         "bucket", "doc_id", F.coalesce("component", "doc_id").alias("component")
     )
     mixed = labelled.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    # merged, so that Spark can split a bucket with very many members
-    return materialize(labelled.join(mixed.filter("low < high").select("bucket").hint("merge"), "bucket", "left_semi"), "open")
+    # stored and merged, so that Spark can split a bucket with very many members
+    mixed = materialize(mixed.filter("low < high").select("bucket"), "mixed")
+    left = materialize(labelled.join(mixed.hint("merge"), "bucket", "left_semi"), "open")
+    discard(mixed)
+    return left
 
 
 def chained(members: DataFrame, p: NearDup) -> DataFrame:
@@ -195,7 +198,7 @@ def across(members: DataFrame, classes: DataFrame, p: NearDup) -> DataFrame:
     cut into blocks by a hash, and each block meets each other one under a key of its own, so no task
     gets more than the pairs of two blocks.
     """
-    blocks = members.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / p.block).alias("blocks"))
+    blocks = materialize(members.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / p.block).alias("blocks")), "blocks")
     members = members.join(blocks.hint("merge"), "bucket")
     own = F.pmod(F.xxhash64(F.lit(p.seed), "doc_id"), F.col("blocks"))
     sides = classes.select("doc_id", "n_shingles", "n_samples", "sketch", "bands")
@@ -231,8 +234,9 @@ def near_components(docs: DataFrame, p: NearDup | None = None) -> DataFrame:
 
     posted = classes.filter("doc_id is not null").select(F.explode("bands").alias("bucket"), "doc_id")
     buckets = posted.groupBy("bucket").agg(F.min("doc_id").alias("lead"), F.max("doc_id").alias("last"))
-    buckets = buckets.filter("lead < last").select("bucket", "lead")
+    buckets = materialize(buckets.filter("lead < last").select("bucket", "lead"), "buckets")
     members = materialize(posted.join(buckets.hint("merge"), "bucket"), "members")
+    discard(buckets)
     # texts are always met by a sort-merge join, so that the plan is the same at every size
     wanted = members.select("doc_id").distinct().hint("merge")
     sets = materialize(shingle_sets(with_long_id(docs).join(wanted, "doc_id", "left_semi"), p), "sets")
