@@ -8,13 +8,19 @@ key, and parts of a group are put together when they are read.
 from __future__ import annotations
 
 import datetime as dt
+import sys
 from collections.abc import Iterator, Sequence
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+# processors travel with the query: Spark sets them up in a process of the driver's host whose path need
+# not hold this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 #: what a row of :func:`wait_for_dimension` is
 OUT, EXPIRED = "out", "expired"
 #: names of state variables, as the state of a checkpoint is read by them
