@@ -13,6 +13,7 @@ from sightline.functions import jsons, keys, nested
 from sightline.operators.joins import in_any
 from sightline.operators.merge import merge
 from sightline.operators.increments import changes_inclusive
+from sightline.session import materialize
 
 SYSTEMS = {"vx1": C.SYSTEM_VX1, "vx2": C.SYSTEM_VX2}
 
@@ -21,14 +22,8 @@ SYSTEMS = {"vx1": C.SYSTEM_VX1, "vx2": C.SYSTEM_VX2}
 COMPETITOR = 0
 
 
-def _lookups(base: DataFrame, entity: Sequence[str], competitors: bool) -> DataFrame:
-    """One row per code to translate: the primary product and each secondary one, per system, and each
-    competitor.
-
-    All lookups of a creative go through one join with the code maps. The lists are parsed once per
-    row, in a projection of their own.
-    """
-    shape = jsons.SECONDARY_PRODUCT[len("array<"):-1]
+def _lists(base: DataFrame, entity: Sequence[str], competitors: bool) -> DataFrame:
+    """The codes to translate per row, parsed once and stored: three lookups read them."""
     rivals = [jsons.parsed(F.col("attribution_competitor"), jsons.REFERENCE_IDS).alias("_rivals")] if competitors else []
     parsed = base.select(
         *entity,
@@ -39,25 +34,41 @@ def _lookups(base: DataFrame, entity: Sequence[str], competitors: bool) -> DataF
         ).alias("_sec"),
         *rivals,
     )
-    keyed = parsed.withColumn(
-        "_ids", nested.sorted_ids(F.transform("_sec", lambda e: e["product_id"]))
-    )
-    nothing = F.lit(None).cast(shape)
+    return materialize(parsed, "code-lists")
 
-    def row(key: Column, element: Column, system: str | int) -> Column:
-        return F.struct(F.lit(system).cast("int").alias("system_id"), key.alias("mapping_hash"), element.alias("element"))
 
-    def extra(system: str) -> Column:
-        return F.transform("_sec", lambda e: row(keys.product_key(e["product_id"], system, None), e, system))
+def _lookups(lists: DataFrame, entity: Sequence[str], competitors: bool) -> DataFrame:
+    """One row per code to translate that a creative has alone: the primary product per system, and each
+    competitor."""
 
-    primary = [row(keys.product_key(F.col("primary_product_id"), s, F.col("_ids")), nothing, s) for s in SYSTEMS.values()]
-    rows = [F.array(*primary), *[extra(s) for s in SYSTEMS.values()]]
+    def row(key: Column, system: str | int) -> Column:
+        return F.struct(F.lit(system).cast("int").alias("system_id"), key.alias("mapping_hash"))
+
+    ids = nested.sorted_ids(F.transform("_sec", lambda e: e["product_id"]))
+    keyed = lists.withColumn("_ids", ids)
+    primary = [row(keys.product_key(F.col("primary_product_id"), s, F.col("_ids")), s) for s in SYSTEMS.values()]
+    rows = [F.array(*primary)]
     if competitors:
-        named = F.transform("_rivals", lambda r: row(r["id"].cast("string"), nothing, COMPETITOR))
+        named = F.transform("_rivals", lambda r: row(r["id"].cast("string"), COMPETITOR))
         rows.append(F.coalesce(named, F.slice(F.array(primary[0]), 1, 0)))
     return keyed.select(*entity, F.explode(F.concat(*rows)).alias("_r")).select(*entity, "_r.*")
 
 
+def _secondary_codes(elements: DataFrame, codes: DataFrame) -> DataFrame:
+    """Per product of the elements, its codes of all systems: products are hashed and looked up once each,
+    however many creatives name them."""
+    products = elements.select(F.col("element.product_id").alias("_product")).filter(F.col("_product").isNotNull()).distinct()
+    asked = F.array(
+        *[
+            F.struct(F.lit(int(s)).alias("system_id"), keys.product_key(F.col("_product"), s, None).alias("mapping_hash"))
+            for s in SYSTEMS.values()
+        ]
+    )
+    found = products.select("_product", F.explode(asked).alias("_r")).select("_product", "_r.*")
+    found = found.join(codes.drop("vx2_code"), ["mapping_hash", "system_id"], "left")
+    return found.groupBy("_product").agg(F.collect_list(F.struct("system_id", "target_product_id")).alias("_targets"))
+
+
 def translate_codes(
     base: DataFrame, product_map: DataFrame, entity: Sequence[str], advertiser_map: DataFrame | None = None
 ) -> DataFrame:
@@ -65,11 +76,13 @@ def translate_codes(
     a JSON array. One missing secondary makes the array NULL.
 
     The maps are joined as one, as they are: a map too large to broadcast is sort-merge joined, which
-    spills, so it need not be cut down first.
+    spills, so it need not be cut down first. Secondary products meet their codes by product, one row
+    per element; the hashes of the map are only shuffled once per product.
     """
     codes = product_map.select(
         "mapping_hash", F.col("system_id").cast("int").alias("system_id"), "target_product_id", F.lit(None).cast("string").alias("vx2_code")
     )
+    secondary = codes
     if advertiser_map is not None:
         codes = codes.unionByName(
             advertiser_map.select(
@@ -78,38 +91,42 @@ def translate_codes(
                 F.col("vx2_code").cast("string").alias("vx2_code"),
             )
         )
-    found = _lookups(base, entity, advertiser_map is not None).join(codes, ["mapping_hash", "system_id"], "left")
+    lists = _lists(base, entity, advertiser_map is not None)
+    single = _lookups(lists, entity, advertiser_map is not None).join(codes, ["mapping_hash", "system_id"], "left")
+    elements = lists.select(*entity, F.explode("_sec").alias("element")).filter(F.col("element").isNotNull())
+    several = elements.withColumn("_product", F.col("element.product_id")).join(
+        _secondary_codes(elements, secondary), "_product", "left"
+    )
+    found = single.drop("mapping_hash").unionByName(several.drop("_product"), allowMissingColumns=True)
     e = F.col("element")
     rival = F.when((F.col("system_id") == COMPETITOR) & F.col("vx2_code").isNotNull(), F.struct(F.col("vx2_code").alias("code")))
     # one list per entity; it is split by system afterwards
     gathered = found.groupBy(*entity).agg(
         *[
-            F.max(
-                F.when((F.col("system_id") == int(s)) & e.isNull(), F.col("target_product_id"))
-            ).alias(f"{name}_product_id")
+            F.max(F.when(F.col("system_id") == int(s), F.col("target_product_id"))).alias(f"{name}_product_id")
             for name, s in SYSTEMS.items()
         ],
-        F.collect_list(
-            F.when(
-                e.isNotNull(),
-                F.struct(
-                    "system_id",
-                    F.struct(
-                        e["sort_order"].alias("sort_order"),
-                        e["type"].alias("type"),
-                        e["subtype"].alias("subtype"),
-                        F.col("target_product_id").alias("product_id"),
-                        e["is_dominant"].alias("is_dominant"),
-                    ).alias("product"),
-                ),
-            )
-        ).alias("_all"),
+        F.collect_list(F.when(e.isNotNull(), F.struct(e, F.col("_targets").alias("targets")))).alias("_elements"),
         *([] if advertiser_map is None else [F.array_sort(F.collect_list(rival)).alias("_codes")]),
     )
+    # a product without an id has no code in any system
+    target = dict(product_map.dtypes)["target_product_id"]
+    unknown = F.array(
+        *[F.struct(F.lit(int(s)).alias("system_id"), F.lit(None).cast(target).alias("target_product_id")) for s in SYSTEMS.values()]
+    )
+
+    def product(e: Column, code: Column) -> Column:
+        return F.struct(
+            e["sort_order"].alias("sort_order"), e["type"].alias("type"), e["subtype"].alias("subtype"),
+            code.alias("product_id"), e["is_dominant"].alias("is_dominant"),
+        )
 
     def array(system: str) -> Column:
-        of_system = F.filter("_all", lambda p: p["system_id"] == int(system))
-        return F.array_sort(F.transform(of_system, lambda p: p["product"]))
+        def coded(x: Column) -> Column:
+            mine = F.filter(F.coalesce(x["targets"], unknown), lambda c: c["system_id"] == int(system))
+            return F.transform(mine, lambda c: product(x["element"], c["target_product_id"]))
+
+        return F.array_sort(F.flatten(F.transform("_elements", coded)))
 
     split = gathered.withColumns({f"_{name}": array(s) for name, s in SYSTEMS.items()})
 

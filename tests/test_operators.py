@@ -197,6 +197,30 @@ def test_translation_with_hot_product(spark):
     assert {r["creative_id"]: r["codes"] for r in out.collect()} == expected
 
 
+def test_secondary_products_are_hashed_once_each(spark, tmp_path):
+    import json
+
+    elements = [{"sort_order": 2, "type": "t", "product_id": p} for p in (5, 5, None)]
+    lists = [elements[:2], elements[:1], elements, [None, elements[0]], []]
+    base = spark.createDataFrame(
+        [(i, 1, json.dumps(x)) for i, x in enumerate(lists)] + [(1, 1, json.dumps(lists[1]))],
+        "creative_id bigint, primary_product_id bigint, secondary_products string",
+    )
+    key = lambda system: F.upper(F.md5(F.concat(F.lit("5"), F.lit(system))))
+    # the map names two targets for one key: both are listed, as by a plain join
+    codes = spark.sql("select 1 as system_id, 7 as target_product_id union all select 1, 8 union all select 2, 9")
+    codes = codes.withColumn("mapping_hash", key(F.col("system_id").cast("string")))
+    out = translate.translate_codes(base, codes, ["creative_id"])
+    products = lambda c: F.from_json(c, "array<struct<product_id:bigint>>")["product_id"]
+    found = out.select("creative_id", products("vx1_secondary_products"), products("vx2_secondary_products")).collect()
+    assert {r[0]: (r[1], r[2]) for r in found} == {
+        0: ([7, 7, 8, 8], [9, 9]), 1: ([7, 7, 8, 8], [9, 9]), 2: (None, None), 3: ([7, 8], [9]), 4: (None, None),
+    }
+    # one row per element, not one per element and system, goes to the code lookup, without its hash
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join LeftOuter, (_product" in plan
+
+
 def test_first_per_key_is_stable(spark, skewed):
     df = frame(spark, skewed)
     order = [F.desc_nulls_last("ts"), F.asc("id")]
