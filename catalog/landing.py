@@ -17,11 +17,20 @@ from sightline.streaming import flows
 NOW = dt.datetime(2024, 2, 1)
 
 
-def landed_folder(t, rows, files: int) -> str:
-    """Write JSON lines as bzip2 files to a fresh shared folder."""
-    path = new_scratch(t.spark, "landed")
-    lines = rows.select(F.col("json_data").alias("value")).repartition(files)
-    lines.write.option("compression", "bzip2").text(path)
+#: deliveries in one landed file: a file is packed by one task, so more rows come in more files
+ROWS_PER_FILE = 50_000
+
+
+def file_sets(rows, files: int) -> int:
+    """How many sets of ``files`` files the rows fill; one at least."""
+    return max(1, -(-rows.count() // (files * ROWS_PER_FILE)))
+
+
+def landed_folder(t, rows, files: int, path: str | None = None) -> str:
+    """Write JSON lines as whole sets of ``files`` bzip2 files to a shared folder, a fresh one by default."""
+    path = path or new_scratch(t.spark, "landed")
+    lines = rows.select(F.col("json_data").alias("value")).repartition(files * file_sets(rows, files))
+    lines.write.mode("append").option("compression", "bzip2").text(path)
     return path
 
 
@@ -131,8 +140,7 @@ def _(t):
         flows.run_available(files, mark, flows.land_batches(out, NOW))
 
     run()
-    late = t.landed.filter(~early).select(F.col("json_data").alias("value"))
-    late.write.mode("append").option("compression", "bzip2").text(folder)
+    landed_folder(t, t.landed.filter(~early), 2, folder)
     run()
     run()  # nothing new
     staged = t.spark.read.parquet(out)
@@ -147,13 +155,15 @@ def _(t):
 @query("bounded_append", "SELECT json_data, 3 AS n_batches, TRUE AS bounded FROM landed")
 def _(t):
     folder, out = landed_folder(t, t.landed, 6), new_scratch(t.spark, "staging")
-    files = flows.landed_files(t.spark, folder, max_files=2)
+    # a batch takes a third of the files, as with one set of six
+    most_files = 2 * file_sets(t.landed, 6)
+    files = flows.landed_files(t.spark, folder, max_files=most_files)
     flows.run_available(files, new_scratch(t.spark, "mark"), flows.land_batches(out, NOW))
     rows = t.spark.read.parquet(out)
     batches = rows.groupBy("version").agg(F.countDistinct("blob_name").alias("files"))
     n_batches, most = F.count(F.lit(1)).cast("int"), F.max("files")
     return rows.select(
-        "json_data", batches.agg(n_batches).scalar().alias("n_batches"), (batches.agg(most).scalar() <= 2).alias("bounded")
+        "json_data", batches.agg(n_batches).scalar().alias("n_batches"), (batches.agg(most).scalar() <= most_files).alias("bounded")
     )
 
 

@@ -227,3 +227,17 @@ def test_no_local_scratch_on_a_cluster():
     session = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=context)
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_folder(session)
+
+
+def test_more_deliveries_come_in_more_files(spark, tmp_path, monkeypatch):
+    import os
+    from types import SimpleNamespace
+
+    from catalog import landing as queries
+
+    monkeypatch.setattr(queries, "ROWS_PER_FILE", 10)
+    rows = spark.range(95).select(F.to_json(F.struct("id")).alias("json_data"))
+    for files, expected in ((4, 12), (20, 20)):
+        folder = queries.landed_folder(SimpleNamespace(spark=spark), rows, files, str(tmp_path / str(files)))
+        assert sum(name.endswith(".bz2") for name in os.listdir(folder)) == expected
+        assert landing.land_json_lines(spark, folder).distinct().count() == 95
