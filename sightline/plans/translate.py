@@ -23,9 +23,9 @@ COMPETITOR = 0
 
 
 def _lists(base: DataFrame, entity: Sequence[str], competitors: bool) -> DataFrame:
-    """The codes to translate per row, parsed once and stored: three lookups read them."""
+    """The codes to translate per row."""
     rivals = [jsons.parsed(F.col("attribution_competitor"), jsons.REFERENCE_IDS).alias("_rivals")] if competitors else []
-    parsed = base.select(
+    return base.select(
         *entity,
         "primary_product_id",
         F.coalesce(
@@ -34,7 +34,6 @@ def _lists(base: DataFrame, entity: Sequence[str], competitors: bool) -> DataFra
         ).alias("_sec"),
         *rivals,
     )
-    return materialize(parsed, "code-lists")
 
 
 def _lookups(lists: DataFrame, entity: Sequence[str], competitors: bool) -> DataFrame:
@@ -219,6 +218,8 @@ def affected_creatives(
 def resync_products(affected: DataFrame, product_map: DataFrame) -> DataFrame:
     """Affected creatives with old and new codes, where the primary differs or a secondary was
     touched."""
+    # read for the lookups and for the old codes
+    affected = materialize(affected, "affected")
     fresh = translate_codes(affected, product_map, ["creative_id"])
     renamed = fresh.select("creative_id", *[F.col(c).alias(f"new_{c}") for c in CODES])
     old = affected.withColumnsRenamed({c: f"old_{c}" for c in CODES})
