@@ -147,3 +147,45 @@ def test_hold_ends_although_no_row_changes(session, folder):
     assert run(soon) == (free + [(True, 3, "soon")], [(4, "far"), (5, "new"), (6, "held")])
     add(session, f"{folder}/src", [(6, None, day(3), "changed")], schema)
     assert run(start) == (sorted(free + [(True, 3, "soon"), (False, 6, "changed")]), [(4, "far"), (5, "new")])
+
+
+def groups_of(session, folder, name):
+    state = session.read.format("statestore").option("stateVarName", name).load(f"{folder}/mark")
+    return state.select("key").distinct().count(), state.count()
+
+
+def test_held_keys_share_groups_of_state(session, folder):
+    schema, far = "id double, until timestamp, changed timestamp", dt.datetime.now(dt.timezone.utc) + dt.timedelta(days=9)
+    add(session, f"{folder}/src", [(float(i), far, day(1)) for i in range(60)] + [(float("nan"), far, day(2)), (None, far, day(1))], schema)
+    like = session.createDataFrame([], schema)
+
+    def run():
+        rows = flows.file_stream(session, f"{folder}/src", like.schema)
+        held = stateful.hold_until(rows, ["id"], F.col("until"), F.col("changed"), groups=3)
+        flows.run_timed(held, f"{folder}/mark", flows.changed_rows(f"{folder}/out"), dt.datetime.now(dt.timezone.utc))
+        return flows.rows_so_far(session, f"{folder}/out", held.schema).count()
+
+    assert run() == 0
+    assert groups_of(session, folder, stateful.HELD) == (3, 62)
+    add(session, f"{folder}/src", [(float("nan"), None, day(3)), (5.0, None, day(3))], schema)
+    assert run() == 2
+    assert stateful.held_rows(session, f"{folder}/mark", like).count() == 60
+
+
+def test_waiting_keys_share_groups_of_state(session, folder):
+    add(session, f"{folder}/events", [(i, i % 40, day(1), None) for i in range(80)], EVENT)
+    events, joined = streams(session, folder, salts=2, groups=2)
+    flows.copy_available(joined, f"{folder}/mark", f"{folder}/out")
+    assert groups_of(session, folder, stateful.WAITING) == (4, 80)
+    add(session, f"{folder}/known", [(7, "b", day(9))], KNOWN)
+    flows.copy_available(streams(session, folder, salts=2, groups=2)[1], f"{folder}/mark", f"{folder}/out")
+    assert sorted(r["event_id"] for r in session.read.parquet(f"{folder}/out").collect()) == [7, 47]
+    assert waiting(session, folder, events) == [i for i in range(80) if i % 40 != 7]
+
+
+def test_days_are_counted_before_the_shuffle():
+    import pyarrow as pa
+
+    rows = pa.RecordBatch.from_pydict({"k": ["a", None, "a"] * 50, "_salt": [0] * 150, "_day": [dt.date(2024, 1, 1)] * 150, "_n": [1] * 150})
+    found = [row for batch in stateful._combined(iter([rows, rows])) for row in batch.to_pylist()]
+    assert sorted((str(r["k"]), r["_n"]) for r in found) == [("None", 100), ("a", 200)]
