@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -140,10 +140,21 @@ def compact_events(changes: DataFrame) -> DataFrame:
     )
 
 
-def combine_events(
-    fresh: DataFrame, held: DataFrame, dedupe_map: DataFrame, dims: Dims
-) -> DataFrame:
-    """New and held events, the held copy first, with chain key, parent, property and market."""
+#: what is only carried along: no join or pick between the pick per event and gold reads it
+PAYLOAD = [
+    "provider_occurrence_id", "provider_creative_id", "capture_date", "capture_month", "purchase_method_id", *CAMPAIGN,
+    "provider_campaign_landing_page_domain", "ad_insertion_point", "provider_raw_json", "daisy_chain",
+]
+#: the key of an event without NULLs, so that its payload is joined on the key it lies by
+ROW_KEY = ["_country", "_occurrence"]
+
+
+def picked_events(fresh: DataFrame, held: DataFrame) -> DataFrame:
+    """New and held events, one row per event, the held copy first, with place key and chain key.
+
+    Both keys are read from the payload before the pick, and the order of the pick ends in a hash of the
+    whole row, so that a frame without the payload picks the same rows.
+    """
     if "provider_raw_json" not in fresh.columns:
         fresh = compact_events(fresh)
     new_side = fresh.select(
@@ -167,12 +178,7 @@ def combine_events(
         "ad_insertion_point", "provider_raw_json", "daisy_chain",
         F.lit(None).cast("bigint").alias("publisher_id"),
     )
-    one = first_per_key(
-        new_side.unionByName(held_side),
-        EVENT_KEY,
-        [F.desc("source_flag"), F.asc("capture_timestamp"), F.asc("provider_code"),
-         F.asc_nulls_last("creative_url_hash")],
-    )
+    both = new_side.unionByName(held_side)
     raw = F.col("provider_raw_json")
     city = rules.city_key(
         F.col("provider_code"),
@@ -181,25 +187,51 @@ def combine_events(
         jsons.text_at(raw, "$.region_state_name"),
         rules.CITY_BY_DMA,
     )
-    chained = one.withColumns(
+    marked = both.withColumns(
         {
-            "mediator_chain": nested.chain_with_roles(F.col("daisy_chain")),
-            "_path": nested.chain_path(F.col("daisy_chain")),
+            "_city": city,
+            "chain_md5": nested.chain_key(
+                F.col("purchase_method_id"), nested.chain_path(F.col("daisy_chain"))
+            ),
+            "_tie": F.xxhash64(*both.columns),
+            **{
+                key: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit(""))
+                for key, c in zip(ROW_KEY, EVENT_KEY, strict=True)
+            },
         }
-    ).withColumn(
-        "chain_md5", nested.chain_key(F.col("purchase_method_id"), F.col("_path"))
-    ).drop("_path")
+    )
+    return first_per_key(
+        marked,
+        ROW_KEY,
+        [F.desc("source_flag"), F.asc("capture_timestamp"), F.asc("provider_code"),
+         F.asc_nulls_last("creative_url_hash"), F.asc("_tie")],
+    ).drop("_tie")
+
+
+def looked_up(picked: DataFrame, dedupe_map: DataFrame, dims: Dims) -> DataFrame:
+    """Picked events with parent, property and market."""
     parents = mapped(dedupe_map).filter(F.col("parent_creative_id").isNotNull()).select(
         F.col("child_creative_url_hash").alias("creative_url_hash"), "parent_creative_url_hash"
     )
-    enriched = enrich_media_market(
-        chained.join(parents, "creative_url_hash", "left"), dims, city_key=city
-    )
+    # the parent comes last: the advert is looked up next, by the same key
+    enriched = enrich_media_market(picked, dims, city_key=F.col("_city")).join(parents, "creative_url_hash", "left")
     is_held = F.col("source_flag") == C.SOURCE_HELD
     return enriched.withColumn(
         "media_property_id",
         F.when(is_held, F.col("held_property_id")).otherwise(F.col("media_property_id")),
-    ).drop("held_property_id")
+    ).drop("held_property_id", "_city")
+
+
+def with_chain_roles(events: DataFrame) -> DataFrame:
+    return events.withColumn("mediator_chain", nested.chain_with_roles(F.col("daisy_chain")))
+
+
+def combine_events(
+    fresh: DataFrame, held: DataFrame, dedupe_map: DataFrame, dims: Dims
+) -> DataFrame:
+    """New and held events, the held copy first, with chain key, parent, property and market."""
+    picked = with_chain_roles(picked_events(fresh, held)).drop(*ROW_KEY)
+    return looked_up(picked, dedupe_map, dims)
 
 
 # ---- gate ----------------------------------------------------------------------------------
@@ -246,9 +278,25 @@ def gate_events(
     chains: DataFrame,
     dims: Dims,
     run_key: Column,
+    key: Sequence[str] = tuple(EVENT_KEY),
 ) -> DataFrame:
-    """Combined events with hold flag, delete flag and house-ad flag, one row per event."""
-    lookup = subjects(creatives, dedupe_map).withColumnRenamed("creative_url_hash", "_own")
+    """Combined events with hold flag, delete flag and house-ad flag, one row per event (``key``)."""
+    products = dims.product
+    first = products.select(
+        F.col("product_id").alias("primary_product_id"), F.col("current_product_id").alias("_cur"),
+        F.col("parent_id").alias("_p1"), F.col("subsidiary_id").alias("_s1"),
+    )
+    current = products.select(
+        F.col("product_id").alias("_cur"), F.col("parent_id").alias("_p2"),
+        F.col("subsidiary_id").alias("_s2"),
+    )
+    # an advert's product is looked up per creative, not per event
+    lookup = (
+        subjects(creatives, dedupe_map)
+        .withColumnRenamed("creative_url_hash", "_own")
+        .join(first, "primary_product_id", "left")
+        .join(current, "_cur", "left")
+    )
     seen = combined.join(lookup, F.col("creative_url_hash") == F.col("_own"), "left").filter(
         # an event row belongs to one of its creative's parents
         F.col("_own").isNull() | F.col("parent_creative_url_hash").eqNullSafe(F.col("_parent"))
@@ -264,15 +312,6 @@ def gate_events(
     with_chain = F.col("provider_code").isin(C.PROVIDER_WEB, C.PROVIDER_SOCIAL) & (
         F.col("chain_md5") == F.col("_chain")
     )
-    products = dims.product
-    first = products.select(
-        F.col("product_id").alias("primary_product_id"), F.col("current_product_id").alias("_cur"),
-        F.col("parent_id").alias("_p1"), F.col("subsidiary_id").alias("_s1"),
-    )
-    current = products.select(
-        F.col("product_id").alias("_cur"), F.col("parent_id").alias("_p2"),
-        F.col("subsidiary_id").alias("_s2"),
-    )
     companies = property_company_view(dims).select(
         F.col("legacy_media_property_id").alias("media_property_id"), "source_channel_id",
         "vx0_parent_company_id",
@@ -280,8 +319,6 @@ def gate_events(
     joined = (
         seen.join(origins, "source_channel", "left")
         .join(links, with_chain, "left")
-        .join(first, "primary_product_id", "left")
-        .join(current, "_cur", "left")
         .join(companies, ["media_property_id", "source_channel_id"], "left")
     ).filter(rules.passes_video_guard(F.col("source_channel"), F.col("_mime")))
     subject = F.col("_subject")
@@ -310,7 +347,7 @@ def gate_events(
     )
     return latest_per_key(
         flagged,
-        EVENT_KEY,
+        key,
         "capture_timestamp",
         F.asc_nulls_last("creative_id"),
         F.asc_nulls_last("media_property_id"),
@@ -426,10 +463,12 @@ def gold_events(
     fresh = materialize(new_events(compact_events(changes)), "new-events")
     added = materialize(new_chains(chains, deployment_chains(fresh), now), "chains")
     known = chains.unionByName(added, allowMissingColumns=True)
-    combined = combine_events(fresh, buffer, dedupe_map, dims)
-    classified = materialize(
-        gate_events(combined, creatives, dedupe_map, known, dims, run_key), "classified"
-    )
+    # lookups and the gate shuffle an event's keys only; its payload is shuffled once and joined at the end
+    picked = picked_events(fresh, buffer)
+    slim = looked_up(picked.drop(*PAYLOAD), dedupe_map, dims)
+    gated = gate_events(slim, creatives, dedupe_map, known, dims, run_key, ROW_KEY)
+    payload = with_chain_roles(picked.select(*ROW_KEY, *PAYLOAD))
+    classified = materialize(gated.join(payload, ROW_KEY).drop(*ROW_KEY), "classified")
     candidates = gold_candidates(classified, dims, next_id, now)
     return GoldRun(
         inserts=absent_rows(gold, candidates, GOLD_KEY),

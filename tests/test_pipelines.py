@@ -89,3 +89,24 @@ def test_summary_released_after_registration(tables):
     assert first.buffer.count() > 0
     rejected = first.buffer.join(t.chaff, "creative_url_hash", "left_semi").count()
     assert second.buffer.count() == rejected
+
+
+def test_payload_and_keys_are_of_one_row(spark):
+    # two held copies of an event that differ in the payload alone, and events without a key
+    held = spark.createDataFrame(
+        [("1", "US", "a"), ("1", "US", "b"), (None, "US", "c"), (None, None, "d"), ("", None, "e"), ("=", "US", "f")],
+        "provider_occurrence_id string, country_iso_2_code string, provider_campaign_name string",
+    )
+    types = {"capture_timestamp": "timestamp", "capture_date": "date", "provider_creative_url_hash": "bigint"}
+    held = held.withColumns(
+        {c: F.lit(None).cast(types.get(c, "string")) for c in events.HELD_COLUMNS if c not in held.columns}
+    ).withColumn("purchase_method_id", F.when(F.col("provider_campaign_name") == "a", 1).otherwise(2))
+    names = {"provider_creative_url_hash": "creative_url_hash", "media_property_id": "publisher_id"}
+    fresh = held.limit(0).withColumnsRenamed(names).withColumn("publisher_id", F.lit(1).cast("bigint"))
+    picked = events.picked_events(fresh, held)
+    keys = picked.drop(*events.PAYLOAD).join(picked.select(*events.ROW_KEY, *events.PAYLOAD), events.ROW_KEY)
+    columns = sorted(picked.columns)
+    found = keys.select(columns).collect()
+    assert sorted(map(str, found)) == sorted(map(str, picked.select(columns).collect()))
+    assert len(found) == 5
+    assert "a" not in {r["provider_campaign_name"] for r in found} or "b" not in {r["provider_campaign_name"] for r in found}
