@@ -125,20 +125,20 @@ def _near(p: NearDup) -> Column:
     many there are follows from the sizes of two sets at ``floor``, with shared and own shingles
     spread over the bins at random.
     """
-    odd = reduce(
-        Column.__add__,
-        (F.bit_count(F.col("x.sketch")[i].bitwiseXOR(F.col("y.sketch")[i])) for i in range(p.bits // 64)),
-    )
-    differing = -F.log(1 - F.least(odd, F.lit(p.bits // 2 - 1)) * (2.0 / p.bits)) * (p.bits / 2)
+    words = F.zip_with("x.sketch", "y.sketch", lambda v, w: F.bit_count(v.bitwiseXOR(w)))
+    odd = F.aggregate(words, F.lit(0), lambda total, n: total + n)
     a, b = F.col("x.n_samples"), F.col("y.n_samples")
-    same = (a + b - differing) / 2
     n_x, n_y = F.col("x.n_shingles"), F.col("y.n_shingles")
     shared = (n_x + n_y) * (p.floor / (1 + p.floor))
     empty = lambda n: F.exp(-n / p.bins)
     both = 1 - empty(n_x) - empty(n_y) + empty(n_x + n_y - shared)
     twice = (both - (1 - empty(n_x + n_y - shared)) * p.floor) * p.bins
     sizes = F.least(n_x, n_y) * 100 >= F.greatest(n_x, n_y) * p.similar
-    return sizes & (same >= (a + b - same - twice) * p.floor)
+    # same >= (a + b - same - twice) * floor, solved for the population count, which then stands here once and as
+    # a loop: word by word the join's code grows beyond what the JVM compiles, and each pair costs tenfold
+    differing = a + b - (a + b - twice) * (2 * p.floor / (1 + p.floor))
+    most = (1 - F.exp(differing * (-2.0 / p.bits))) * (p.bits / 2)
+    return sizes & (F.least(odd, F.lit(p.bits // 2 - 1)) <= most)
 
 
 def _open(p: NearDup) -> Column:

@@ -101,3 +101,10 @@ def test_components_of_chains_and_stars(spark):
     found = dict(graph.components(df, "a", "b").collect())
     assert found == {**dict.fromkeys(range(41), 0), **dict.fromkeys(range(100, 150), 100)}
     assert graph.components(df.limit(0), "a", "b").collect() == []
+
+
+def test_the_sketch_test_of_a_pair_stays_short(spark):
+    from sightline.llm.neardup import NearDup, _near
+
+    # code of a pair's test that grows with the words of the sketch is not compiled by the JVM
+    assert str(_near(NearDup())).count("bit_count") == 1
