@@ -25,6 +25,7 @@ class NearDup:
     standard deviations under 0.75. Where a side has ``small`` shingles or fewer, one bin that two
     of them share may move the estimate under the floor, so sketches are not asked there. ``parts``
     splits a bucket where neighbours are compared; ``block`` members of a bucket meet as many at once.
+    Intermediate lists are written by one task for ``task_rows`` documents, or two for each core.
     """
 
     width: int = 5
@@ -37,6 +38,7 @@ class NearDup:
     small: int = 64
     parts: int = 64
     block: int = 256
+    task_rows: int = 5000
     seed: int = 20240607
 
     @property
@@ -167,15 +169,15 @@ def confirm(sets: DataFrame, pairs: DataFrame, p: NearDup) -> DataFrame:
     return both.filter(F.col("shared") * 100 >= (F.col("total") - F.col("shared")) * p.similar).select("a", "b")
 
 
-def open_members(members: DataFrame, labels: DataFrame) -> DataFrame:
+def open_members(members: DataFrame, labels: DataFrame, tasks: int | None = None) -> DataFrame:
     """``bucket, doc_id, component`` of the buckets that still hold more than one component."""
     labelled = members.join(labels, members.doc_id == labels.node, "left").select(
         "bucket", "doc_id", F.coalesce("component", "doc_id").alias("component")
     )
     mixed = labelled.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     # stored and merged, so that Spark can split a bucket with very many members
-    mixed = materialize(mixed.filter("low < high").select("bucket"), "mixed")
-    left = materialize(labelled.join(mixed.hint("merge"), "bucket", "left_semi"), "open")
+    mixed = materialize(mixed.filter("low < high").select("bucket"), "mixed", tasks)
+    left = materialize(labelled.join(mixed.hint("merge"), "bucket", "left_semi"), "open", tasks)
     discard(mixed)
     return left
 
@@ -191,18 +193,18 @@ def chained(members: DataFrame, p: NearDup) -> DataFrame:
     return found[0].union(found[1]).select(F.least("doc_id", "other").alias("a"), F.greatest("doc_id", "other").alias("b")).distinct()
 
 
-def across(members: DataFrame, classes: DataFrame, p: NearDup) -> DataFrame:
+def across(members: DataFrame, classes: DataFrame, p: NearDup, tasks: int | None = None) -> DataFrame:
     """All pairs of one bucket and different components that sizes and sketches leave over.
 
     A pair that meets in several buckets comes from the smallest of them. The members of a bucket are
     cut into blocks by a hash, and each block meets each other one under a key of its own, so no task
     gets more than the pairs of two blocks.
     """
-    blocks = materialize(members.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / p.block).alias("blocks")), "blocks")
+    blocks = materialize(members.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / p.block).alias("blocks")), "blocks", tasks)
     members = members.join(blocks.hint("merge"), "bucket")
     own = F.pmod(F.xxhash64(F.lit(p.seed), "doc_id"), F.col("blocks"))
     sides = classes.select("doc_id", "n_shingles", "n_samples", "sketch", "bands")
-    members = materialize(members.withColumn("own", own).join(sides, "doc_id"), "across")
+    members = materialize(members.withColumn("own", own).join(sides, "doc_id"), "across", tasks)
     every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     x = members.withColumns({"left": F.col("own"), "right": every}).alias("x")
     y = members.withColumns({"left": every, "right": F.col("own")}).alias("y")
@@ -228,36 +230,37 @@ def near_components(docs: DataFrame, p: NearDup | None = None) -> DataFrame:
     """
     p = p or NearDup()
     rows = materialize(describe(docs, p), "minhash")
+    tasks = max(2 * docs.sparkSession.sparkContext.defaultParallelism, rows.count() // p.task_rows)
     full = rows.filter(F.col("digest").isNotNull())
-    classes = materialize(_first_of(full).select("digest", "doc_id", "n_shingles", "bands", "n_samples", "sketch"), "classes")
+    classes = materialize(_first_of(full).select("digest", "doc_id", "n_shingles", "bands", "n_samples", "sketch"), "classes", tasks)
     sketches = classes.select("doc_id", "n_shingles", "n_samples", "sketch")
 
     posted = classes.filter("doc_id is not null").select(F.explode("bands").alias("bucket"), "doc_id")
     buckets = posted.groupBy("bucket").agg(F.min("doc_id").alias("lead"), F.max("doc_id").alias("last"))
-    buckets = materialize(buckets.filter("lead < last").select("bucket", "lead"), "buckets")
-    members = materialize(posted.join(buckets.hint("merge"), "bucket"), "members")
+    buckets = materialize(buckets.filter("lead < last").select("bucket", "lead"), "buckets", tasks)
+    members = materialize(posted.join(buckets.hint("merge"), "bucket"), "members", tasks)
     discard(buckets)
     # texts are always met by a sort-merge join, so that the plan is the same at every size
     wanted = members.select("doc_id").distinct().hint("merge")
-    sets = materialize(shingle_sets(with_long_id(docs).join(wanted, "doc_id", "left_semi"), p), "sets")
+    sets = materialize(shingle_sets(with_long_id(docs).join(wanted, "doc_id", "left_semi"), p), "sets", tasks)
 
     def linked(labels: DataFrame | None, pairs: DataFrame) -> DataFrame:
         edges = confirm(sets, pairs, p)
         if labels is not None:
             edges = edges.union(labels.select("node", "component"))
-        return components(edges, "a", "b")
+        return components(edges, "a", "b", tasks=tasks)
 
     star = members.filter("doc_id != lead").select(F.col("lead").alias("a"), F.col("doc_id").alias("b")).distinct()
-    labels = materialize(linked(None, likely(star, sketches, p)), "labels")
-    left = open_members(members.select("bucket", "doc_id"), labels)
+    labels = materialize(linked(None, likely(star, sketches, p)), "labels", tasks)
+    left = open_members(members.select("bucket", "doc_id"), labels, tasks)
     discard(members)
-    labels = materialize(linked(labels, likely(chained(left, p), sketches, p)), "labels")
-    left = open_members(left.select("bucket", "doc_id"), labels)
-    edges = confirm(sets, across(left, classes, p), p).union(labels.select("node", "component"))
+    labels = materialize(linked(labels, likely(chained(left, p), sketches, p)), "labels", tasks)
+    left = open_members(left.select("bucket", "doc_id"), labels, tasks)
+    edges = confirm(sets, across(left, classes, p, tasks), p).union(labels.select("node", "component"))
 
     named = classes.select("digest", F.col("doc_id").alias("head"))
     copies = full.select("doc_id", "digest").join(named, "digest").filter("doc_id != head")
-    final = materialize(components(edges.union(copies.select("doc_id", "head")), "a", "b"), "components")
+    final = materialize(components(edges.union(copies.select("doc_id", "head")), "a", "b", tasks=tasks), "components", tasks)
     discard(classes, sets, left, labels)
     out = rows.select("doc_id", "n_shingles").join(final, rows.doc_id == final.node, "left")
     component = F.coalesce("component", "doc_id")

@@ -7,6 +7,7 @@ from helpers import AWKWARD, documents, prose
 
 from sightline.llm import graph, neardup
 from sightline.llm.text import split_words
+from sightline.session import materialize
 
 
 def sets_of(texts):
@@ -108,3 +109,28 @@ def test_the_sketch_test_of_a_pair_stays_short(spark):
 
     # code of a pair's test that grows with the words of the sketch is not compiled by the JVM
     assert str(_near(NearDup())).count("bit_count") == 1
+
+
+def test_stars_take_no_round_and_lists_few_files(spark, monkeypatch):
+    written = []
+
+    def counted(df, label, tasks=None):
+        stored = materialize(df, label, tasks)
+        written.append(len(stored.inputFiles()))
+        return stored
+
+    monkeypatch.setattr(graph, "materialize", counted)
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        stars = spark.createDataFrame([(1, x) for x in range(2, 60)] + [(100, x) for x in range(101, 160)], "a long, b long")
+        found = dict(graph.components(stars, "a", "b", tasks=3).collect())
+        assert len(written) == 1 and written[0] <= 3
+        assert found == {x: 1 for x in range(1, 60)} | {x: 100 for x in range(100, 160)}
+        chain = spark.createDataFrame([(x, x + 1) for x in range(40)] + [(3, 3), (None, 5)], "a long, b long")
+        assert dict(graph.components(chain, "a", "b", tasks=3).collect()) == dict.fromkeys(range(41), 0)
+        assert max(written) <= 3
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
