@@ -20,15 +20,16 @@ class PieceTokenizer:
       space. A text with any other white space at a piece's edge is cut by the slower ``SAFE``.
     - otherwise (white space is dropped): every space and line feed is a cut.
 
-    Pieces are learnt many at a time in one joined text. At ``most`` pieces they are forgotten. A text
-    that may hold the name of an added token is encoded whole, as the library does by default.
+    Pieces are learnt many at a time in one joined text. About ``most`` are kept, in two
+    generations: when the younger has half of them, the older is forgotten but for pieces that were met
+    again. A text that may hold the name of an added token is encoded whole, as the library does by default.
     """
 
     SAFE = re.compile(r"(?<=\S) (?=\S)")
     JOINED = 512
     ODD = 0
 
-    def __init__(self, path: str, attached: bool, most: int = 900_000):
+    def __init__(self, path: str, attached: bool, most: int = 1_200_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -40,6 +41,7 @@ class PieceTokenizer:
         # ids by piece; ``ODD`` where a piece must not stand at a cut. With ``attached`` a piece
         # follows a line feed, which is its first character, or else a space.
         self.known: dict[str, bytes | int] = {}
+        self.older: dict[str, bytes | int] = {}
         if attached:
             self.feed = self._one("\n")
             self.gap = int(np.frombuffer(self.feed, "<u4")[0])
@@ -106,11 +108,14 @@ class PieceTokenizer:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of every text, a null one as an empty one; nothing is added."""
-        if len(self.known) > self.most:
-            self.known.clear()
+        if 2 * len(self.known) > self.most:
+            self.older, self.known = self.known, {}
         whole = [bool(t) and any(start in t for start in self.added) for t in texts]
         cut = [self._cut(t) if t and not w else [] for t, w in zip(texts, whole, strict=True)]
         new = set().union(*cut).difference(self.known)
+        again = {x: self.older[x] for x in new if x in self.older}
+        self.known.update(again)
+        new.difference_update(again)
         if new:
             self._learn(new)
         known = self.known.__getitem__
@@ -127,7 +132,7 @@ class PieceTokenizer:
 _LOADED: dict[tuple, PieceTokenizer] = {}
 
 
-def loaded(path: str, attached: bool, most: int = 900_000) -> PieceTokenizer:
+def loaded(path: str, attached: bool, most: int = 1_200_000) -> PieceTokenizer:
     """The worker's tokenizer of this file, with what it has learnt in earlier tasks."""
     if (path, attached) not in _LOADED:
         _LOADED[path, attached] = PieceTokenizer(path, attached)

@@ -41,10 +41,12 @@ def encode(ids: np.ndarray, doc_ids: list[int | None], ends: np.ndarray, level:
     bits = max(int(current.max()).bit_length() if len(current) else 0, 1)
     zeros, planes = [], []
     for b in reversed(range(bits)):
-        mask = ((current >> b) & 1).astype(bool)
+        mask = (current & current.dtype.type(1 << b)) != 0
         planes.append(packer.compress(np.packbits(mask, bitorder="little").tobytes()))
-        zeros.append(len(mask) - int(np.count_nonzero(mask)))
-        current = np.concatenate([current[~mask], current[mask]])
+        # positions move random bits faster than masks do
+        first, then = np.flatnonzero(~mask), np.flatnonzero(mask)
+        zeros.append(len(first))
+        current = np.concatenate([current[first], current[then]])
     known = np.array([x is not None for x in doc_ids], np.uint8)
     own = np.array([x or 0 for x in doc_ids], "<i8")
     docs = packer.compress(known.tobytes() + own.tobytes() + np.asarray(ends, "<i8").tobytes())

@@ -31,6 +31,24 @@ def test_pieces_give_the_ids_of_whole_texts(name):
             assert np.frombuffer(ids, "<u4").tolist() == whole(text), repr(text)
 
 
+def test_pieces_that_are_met_again_are_not_learnt_again(monkeypatch):
+    own = tokens.PieceTokenizer(public_tokenizers.path("byte_bpe_50k.json"), True, most=400)
+    learnt, learn = [], own._learn
+
+    def noted(new):
+        learnt.extend(new)
+        learn(new)
+
+    monkeypatch.setattr(own, "_learn", noted)
+    whole = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    for i in range(30):
+        text = " ".join(["often", "met", *(f"once{i}x{k}" for k in range(50))])
+        assert np.frombuffer(own.encode([text])[0], "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
+        assert len(own.known) + len(own.older) <= 400 + 2 * 52
+    assert learnt.count("met") == 1
+    assert len(learnt) == len(set(learnt))
+
+
 def test_packing_round_trip(spark):
     rng = random.Random(4)
     texts = [prose(i, rng.choice([3, 40, 300, 2500])) for i in range(150)] + AWKWARD
