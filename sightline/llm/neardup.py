@@ -197,20 +197,23 @@ def across(members: DataFrame, classes: DataFrame, p: NearDup, tasks: int | None
     """All pairs of one bucket and different components that sizes and sketches leave over.
 
     A pair that meets in several buckets comes from the smallest of them. The members of a bucket are
-    cut into blocks by a hash, and each block meets each other one under a key of its own, so no task
-    gets more than the pairs of two blocks.
+    cut into blocks by a hash, and each block meets itself and each later one under a key of its own, so
+    no task gets more than the pairs of two blocks.
     """
     blocks = materialize(members.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / p.block).alias("blocks")), "blocks", tasks)
     members = members.join(blocks.hint("merge"), "bucket")
     own = F.pmod(F.xxhash64(F.lit(p.seed), "doc_id"), F.col("blocks"))
     sides = classes.select("doc_id", "n_shingles", "n_samples", "sketch", "bands")
     members = materialize(members.withColumn("own", own).join(sides, "doc_id"), "across", tasks)
-    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-    x = members.withColumns({"left": F.col("own"), "right": every}).alias("x")
-    y = members.withColumns({"left": every, "right": F.col("own")}).alias("y")
+    later = F.explode(F.sequence("own", F.col("blocks") - 1))
+    earlier = F.explode(F.sequence(F.lit(0).cast("long"), F.col("own")))
+    x = members.withColumns({"left": F.col("own"), "right": later}).alias("x")
+    y = members.withColumns({"left": earlier, "right": F.col("own")}).alias("y")
     first = F.array_min(F.array_intersect("x.bands", "y.bands")) == F.col("x.bucket")
     met = reduce(Column.__and__, [F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("bucket", "left", "right")])
-    both = x.join(y, met & (F.col("x.component") < F.col("y.component")) & _open(p) & first)
+    # in one block a pair stands in both orders, in two blocks in one
+    once = (F.col("x.component") < F.col("y.component")) | ((F.col("x.left") < F.col("x.right")) & (F.col("x.component") > F.col("y.component")))
+    both = x.join(y, met & once & _open(p) & first)
     return both.select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b")).distinct()
 
 

@@ -134,3 +134,13 @@ def test_stars_take_no_round_and_lists_few_files(spark, monkeypatch):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", partitions)
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_blocks_of_a_bucket_lose_no_pair(spark):
+    p = neardup.NearDup(block=4)
+    rows = [(i, 10, 10, [0] * 32, [7, 8 + i % 2]) for i in range(40)]
+    classes = spark.createDataFrame(rows, "doc_id long, n_shingles long, n_samples int, sketch array<long>, bands array<long>")
+    members = spark.createDataFrame([(7, i, i // 2) for i in range(40)], "bucket long, doc_id long, component long")
+    found = neardup.across(members, classes, p)
+    pairs = sorted(tuple(r) for r in found.collect())
+    assert pairs == [(a, b) for a, b in combinations(range(40), 2) if a // 2 != b // 2]
