@@ -41,12 +41,13 @@ def encode(ids: np.ndarray, doc_ids: list[int | None], ends: np.ndarray, level:
     bits = max(int(current.max()).bit_length() if len(current) else 0, 1)
     zeros, planes = [], []
     for b in reversed(range(bits)):
-        mask = (current & current.dtype.type(1 << b)) != 0
-        planes.append(packer.compress(np.packbits(mask, bitorder="little").tobytes()))
-        # positions move random bits faster than masks do
-        first, then = np.flatnonzero(~mask), np.flatnonzero(mask)
+        plane = np.packbits((current & current.dtype.type(1 << b)) != 0, bitorder="little")
+        planes.append(packer.compress(plane.tobytes()))
+        # a plane is an Arrow mask, and Arrow's filters move random bits faster than numpy's
+        values = pa.array(current)
+        first, then = (values.filter(pa.Array.from_buffers(pa.bool_(), len(values), [None, pa.py_buffer(x)])) for x in (~plane, plane))
         zeros.append(len(first))
-        current = np.concatenate([current[first], current[then]])
+        current = np.concatenate([first.to_numpy(), then.to_numpy()])
     known = np.array([x is not None for x in doc_ids], np.uint8)
     own = np.array([x or 0 for x in doc_ids], "<i8")
     docs = packer.compress(known.tobytes() + own.tobytes() + np.asarray(ends, "<i8").tobytes())
@@ -168,8 +169,9 @@ class WaveletFile:
         for level in reversed(range(self.bits)):
             mask = np.unpackbits(self.planes[level].packed, count=self.n, bitorder="little").astype(bool)
             before = np.empty_like(value)
-            before[~mask] = value[: self.zeros[level]]
-            before[mask] = value[self.zeros[level] :] | value.dtype.type(1 << (self.bits - 1 - level))
+            # positions move random bits faster than masks do
+            before[np.flatnonzero(~mask)] = value[: self.zeros[level]]
+            before[np.flatnonzero(mask)] = value[self.zeros[level] :] | value.dtype.type(1 << (self.bits - 1 - level))
             value = before
         return value.astype("<u4")
 

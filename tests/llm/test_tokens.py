@@ -49,6 +49,43 @@ def test_pieces_that_are_met_again_are_not_learnt_again(monkeypatch):
     assert len(learnt) == len(set(learnt))
 
 
+@pytest.mark.parametrize("name", RULES)
+def test_cuts_before_stops_and_beside_white_space(name, monkeypatch):
+    monkeypatch.setattr(tokens.PieceTokenizer, "GROUP", 300, raising=False)
+    rng = random.Random(3)
+    parts = ["ab", "é", "C", ".", ",", "...", "'s", "'", " ", "  ", "\n", "\n\n", "\t", "\x1c", "\x85", "\xa0", "\u3000", "1", "\x00", "漢"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 12))) for _ in range(6000)]
+    own = tokens.PieceTokenizer(public_tokenizers.path(name), RULES[name], most=300)
+    whole = encoder(name)
+    for at in range(0, len(texts), 500):
+        for text, ids in zip(texts[at : at + 500], own.encode(texts[at : at + 500]), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == whole(text), repr(text)
+
+
+def test_a_word_is_learnt_once_whatever_stop_follows(monkeypatch):
+    own = tokens.PieceTokenizer(public_tokenizers.path("byte_bpe_50k.json"), True)
+    learnt, learn = [], own._learn
+    monkeypatch.setattr(own, "_learn", lambda new: (learnt.extend(new), learn(new)))
+    text = "so blicket, a blicket. A blicket\nor blicket... (blicket)"
+    assert np.frombuffer(own.encode([text])[0], "<u4").tolist() == encoder("byte_bpe_50k.json")(text)
+    assert [x for x in learnt if "blicket" in x and "(" not in x] == ["blicket"]
+
+
+def test_wide_white_space_does_not_make_the_rest_of_a_text_slow(monkeypatch):
+    own = tokens.PieceTokenizer(public_tokenizers.path("byte_bpe_50k.json"), True)
+    monkeypatch.setattr(own, "_slow", None)
+    text = " one  two.\n\nthree \n four five\t six "
+    assert np.frombuffer(own.encode([text])[0], "<u4").tolist() == encoder("byte_bpe_50k.json")(text)
+    assert {"five\t six ", "\n one  two"} <= set(own.known)
+
+
+def test_long_pieces_are_forgotten_sooner():
+    own = tokens.PieceTokenizer(public_tokenizers.path("byte_bpe_50k.json"), True, most=400)
+    for i in range(20):
+        own.encode([f"{i}x" + "ab1" * 2000])
+    assert len(own.known) + len(own.older) < 10
+
+
 def test_packing_round_trip(spark):
     rng = random.Random(4)
     texts = [prose(i, rng.choice([3, 40, 300, 2500])) for i in range(150)] + AWKWARD
