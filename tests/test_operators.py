@@ -73,6 +73,67 @@ def test_size_join_matches_brute_force(spark, skewed):
     assert "NestedLoop" not in plan(out) and "Cartesian" not in plan(out)
 
 
+def test_size_join_in_packs_matches_brute_force(spark, skewed):
+    rng = random.Random(5)
+    few = [(rng.randrange(400), rng.randrange(300)) for _ in range(12)] + [(100, 100)]
+    sizes = [(n, rng.choice([None, "a", "b"]), *rng.choice(few), rng.choice("xy")) for n in range(200)]
+    # packs of one place and packs of several, with rows near a pack but near none of its sizes
+    sizes += [(n, "c", rng.randrange(-5, 410), rng.randrange(-5, 310), "x") for n in range(200, 500)]
+    sizes += [sizes[0], (900, "a", None, 5, "x"), (901, "a", 5, 5, None)]
+    rows = [
+        (i, *((100, 100) if k == 0 else (w, h)), "z" if i % 7 == 1 else "x")
+        for i, k, _, w, h in skewed
+    ]
+    rows += [rows[0], (9000, None, 5, "x"), (9001, 5, None, "x"), (9002, 100, 100, None)]
+    events = spark.createDataFrame(rows, "id bigint, w int, h int, c string").coalesce(1)
+    table = spark.createDataFrame(sizes, "size bigint, tag string, sw int, sh int, sc string")
+    near = {
+        "width": "w", "height": "h", "size_width": "sw", "size_height": "sh",
+        "tolerance": 10, "equal": [("c", "sc")],
+    }
+    want = []
+    for row in rows:
+        _, w, h, c = row
+        found = [
+            s for s in sizes
+            if None not in (w, h, s[2], s[3]) and abs(w - s[2]) <= 10 and abs(h - s[3]) <= 10
+            and c == s[4]
+        ]
+        want += [row + s for s in found or [(None,) * 5]]
+    assert len(want) > len(rows) + 2000
+    for pack in (3, 1000):
+        out = near_size_join(events, table, **near, pack=pack)
+        assert out.columns == [*events.columns, *table.columns]
+        assert sorted(map(tuple, out.collect()), key=repr) == sorted(want, key=repr)
+    # sizes without columns of their own
+    out = near_size_join(events, table.select("sw", "sh", "sc"), **near, pack=3)
+    bare = [w[:4] + w[6:] for w in want]
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted(bare, key=repr)
+    assert "NestedLoop" not in plan(out) and "Cartesian" not in plan(out)
+
+
+def test_size_join_in_packs_shares_a_hot_place(spark):
+    # one input task and one place: many tasks make the pairs, and rows are shuffled once
+    events = spark.range(2000, numPartitions=1).selectExpr("id", "100 as w", "100 as h")
+    table = spark.range(300).selectExpr("id as size", "105 as sw", "95 as sh")
+    out = near_size_join(
+        events, table, width="w", height="h", size_width="sw", size_height="sh", tolerance=10,
+        pack=20,
+    )
+    counts = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(counts) == 600_000 and max(counts) < 120_000
+    left = plan(out).split("SortMergeJoin")[1].split("Exchange")
+    assert "REPARTITION_BY_NUM" in left[1]
+
+
+def test_range_query_makes_pairs_in_many_tasks(spark, tables):
+    from catalog.registry import QUERIES
+
+    out = QUERIES["join_range"](spark, tables.folder)
+    counts = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(counts) < sum(counts) / 4
+
+
 def test_merge_rules(spark):
     rng = random.Random(1)
     target = [(k, rng.choice([None, 1, 2]), rng.choice([None, 5, 6])) for k in range(200)]
